@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType, NumericType, StringType
 
-from indicast.schema import GPI_MARKER, INDICATOR_LABELS, QA
+from indicast.schema import GPI_IDS, INDICATOR_LABELS, QA
 
 _WS = r"^\s+|\s+$"
 
@@ -60,8 +60,8 @@ def clip(c: Column, lo: float, hi: float) -> Column:
 
 
 def is_gpi(ind: str | Column) -> Column:
-    """Parity-index indicators are recognised by their id."""
-    return col_of(ind).contains(GPI_MARKER)
+    """Parity-index indicators: the catalogue ids marked as parity indices."""
+    return col_of(ind).isin(*GPI_IDS)
 
 
 def range_lo(ind: str | Column) -> Column:

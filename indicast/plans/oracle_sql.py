@@ -70,3 +70,5 @@ def with_stages(upto: str, body: str, extra: list[str] | None = None) -> str:
     names = _ORDER[: _ORDER.index(upto) + 1]
     ctes = [_CTES[n] for n in names] + list(extra or [])
     return "WITH " + ",\n".join(ctes) + "\n" + body
+
+GPI_IN = "(" + ", ".join(_q(i) for i in IND_IDS if "GPIA" in i) + ")"

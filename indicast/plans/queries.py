@@ -115,3 +115,171 @@ def q_wide(spark, sf):
 
 
 __all__ = ["QUERIES", "ORACLES", "register", "INDICATOR_IDS", "F", "dq"]
+
+
+# ---------------------------------------------------------------- quality
+from indicast.operators import quality as Q  # noqa: E402
+from indicast.plans.oracle_sql import GPI_IN  # noqa: E402
+
+_HARM_COLS = ["INDICATOR_ID", "INDICATOR_LABEL", "ISO3", "YEAR", "VALUE", "SOURCE",
+              "REGION", "INCOME_GROUP"]
+_LONG_COLS = _HARM_COLS[:6]
+_WS_STRIP = r"regexp_replace(ISO3, '^\s+|\s+$', '', 'g')"
+
+
+def _mr_ctes(t: str) -> str:
+    return f"""
+, e AS (SELECT count(DISTINCT ISO3) * count(DISTINCT YEAR) AS expected FROM {t}),
+mr AS (
+  SELECT c.CAT_POS, c.INDICATOR_ID, c.INDICATOR_LABEL, e.expected AS N_EXPECTED,
+         coalesce(a.n, 0) AS N_VALID,
+         CASE WHEN e.expected > 0 THEN (1 - coalesce(a.n, 0) / e.expected) * 100 ELSE 0 END AS miss
+  FROM cat c LEFT JOIN (SELECT INDICATOR_ID, count(VALUE) AS n FROM {t} GROUP BY INDICATOR_ID) a
+       ON a.INDICATOR_ID = c.INDICATOR_ID
+  CROSS JOIN e)"""
+
+
+def _range_detail() -> str:
+    return (f"'VALUE outside [' || CASE WHEN INDICATOR_ID IN {GPI_IN} THEN '{QA.gpi_min}, {QA.gpi_max}' "
+            f"ELSE '{QA.rate_min}, {QA.rate_max}' END || '] for ' || INDICATOR_ID")
+
+
+def _range_cond() -> str:
+    return (f"INDICATOR_ID IS NOT NULL AND VALUE IS NOT NULL AND ("
+            f"VALUE < CASE WHEN INDICATOR_ID IN {GPI_IN} THEN {QA.gpi_min} ELSE {QA.rate_min} END OR "
+            f"VALUE > CASE WHEN INDICATOR_ID IN {GPI_IN} THEN {QA.gpi_max} ELSE {QA.rate_max} END)")
+
+
+def _missing_rows(cols: list[str]) -> str:
+    vals = {"INDICATOR_ID": "INDICATOR_ID", "ISO3": "'ALL'", "YEAR": "CAST(NULL AS INTEGER)",
+            "VALUE": "CAST(NULL AS DOUBLE)"}
+    sel = ", ".join(f"{vals.get(c, 'CAST(NULL AS VARCHAR)')} AS {c}" for c in cols)
+    return (f"SELECT {sel}, 'HIGH_MISSING_RATE' AS QA_FLAG, "
+            f"printf('%.1f%% missing (threshold {QA.max_missing_pct}%%)', miss) AS QA_DETAIL "
+            f"FROM mr WHERE miss > {QA.max_missing_pct}")
+
+
+def _row_flag_selects(cols: list[str]) -> list[str]:
+    c = ", ".join(cols)
+    return [
+        f"SELECT {c}, 'OUT_OF_RANGE' AS QA_FLAG, {_range_detail()} AS QA_DETAIL FROM rf WHERE {_range_cond()}",
+        f"SELECT {c}, 'DUPLICATE_KEY' AS QA_FLAG, '{Q.DETAIL_DUP}' AS QA_DETAIL FROM rf WHERE _n > 1",
+        f"SELECT {c}, 'IMPLAUSIBLE_YEAR' AS QA_FLAG, '{Q.DETAIL_YEAR}' AS QA_DETAIL FROM rf "
+        f"WHERE YEAR IS NOT NULL AND YEAR NOT BETWEEN {QA.year_min} AND {QA.year_max}",
+        f"SELECT {c}, 'MISSING_ISO3' AS QA_FLAG, '{Q.DETAIL_ISO3}' AS QA_DETAIL FROM rf WHERE ISO3 IS NULL OR {_WS_STRIP} = ''",
+    ]
+
+
+def _rf_cte(t: str) -> str:
+    return f"""
+, rf AS (SELECT *, count(*) OVER (PARTITION BY INDICATOR_ID, ISO3, YEAR) AS _n FROM {t})"""
+
+
+def _flags_sql(t: str, cols: list[str], which: str = "all") -> str:
+    """Flag rows of table ``t``: all rules, or one of range/dup/year/iso3/missing."""
+    rows = _row_flag_selects(cols)
+    pick = {"range": [rows[0]], "dup": [rows[1]], "year": [rows[2]], "iso3": [rows[3]],
+            "missing": [_missing_rows(cols)], "all": rows + [_missing_rows(cols)]}[which]
+    return "\nUNION ALL\n".join(pick)
+
+
+def _stage_for(t: str) -> str:
+    return "harmonized" if t == "harmonized" else "long"
+
+
+def _flags_query(t: str, cols: list[str], which: str) -> str:
+    return with_stages(_stage_for(t), _mr_ctes(t) + _rf_cte(t) + "\n" + _flags_sql(t, cols, which))
+
+
+def _summary_tail(t: str, cols: list[str]) -> str:
+    return f""",
+fl AS ({_flags_sql(t, cols, "all")}),
+nf AS (SELECT INDICATOR_ID, count(*) AS n FROM fl WHERE INDICATOR_ID IS NOT NULL GROUP BY INDICATOR_ID),
+s AS (
+  SELECT mr.INDICATOR_ID, mr.INDICATOR_LABEL, CAST(N_EXPECTED AS BIGINT) AS N_EXPECTED,
+         CAST(N_VALID AS BIGINT) AS N_VALID,
+         CAST(greatest(N_EXPECTED - N_VALID, 0) AS BIGINT) AS N_MISSING,
+         CAST(CASE WHEN N_EXPECTED > 0 THEN round((N_EXPECTED - N_VALID) / N_EXPECTED * 100, 2)
+              ELSE 0 END AS DOUBLE) AS MISSING_PCT,
+         CAST(coalesce(nf.n, 0) AS BIGINT) AS N_FLAGGED
+  FROM mr LEFT JOIN nf ON nf.INDICATOR_ID = mr.INDICATOR_ID)"""
+
+
+def _summary_sql(t: str, cols: list[str]) -> str:
+    return with_stages(_stage_for(t), _mr_ctes(t) + _rf_cte(t) + _summary_tail(t, cols) + f"""
+SELECT *, CASE WHEN MISSING_PCT > {QA.max_missing_pct} AND N_FLAGGED > 0 THEN 'WARN_MISSING|FAIL'
+               WHEN MISSING_PCT > {QA.max_missing_pct} THEN 'WARN_MISSING'
+               WHEN N_FLAGGED > 0 THEN 'FAIL' ELSE 'PASS' END AS QA_STATUS
+FROM s""")
+
+
+def _raw_long(spark, sf):
+    return S.raw_long(spark, sf).select(*H.LONG_COLS)
+
+
+@register("c1_out_of_range", _flags_query("harmonized", _HARM_COLS, "range"))
+def q_c1(spark, sf):
+    """C1 on the harmonised table."""
+    return Q.check_value_range(S.harmonized(spark, sf))
+
+
+@register("c2_missing_rate", _flags_query("harmonized", _HARM_COLS, "missing"))
+def q_c2(spark, sf):
+    """HIGH_MISSING_RATE rows on the harmonised table."""
+    return Q.check_missing_rate(S.harmonized(spark, sf)).select(
+        *[F.col(c) if c in ("INDICATOR_ID", "ISO3", "YEAR", "VALUE")
+          else F.lit(None).cast("string").alias(c) for c in _HARM_COLS], "QA_FLAG", "QA_DETAIL")
+
+
+@register("c3_duplicate_key", _flags_query("long", _LONG_COLS, "dup"))
+def q_c3(spark, sf):
+    """C3/W3 on the raw long table (the harmonised one has unique keys)."""
+    return Q.check_duplicates(_raw_long(spark, sf))
+
+
+@register("c4_implausible_year", _flags_query("long", _LONG_COLS, "year"))
+def q_c4(spark, sf):
+    """C4 on the raw long table."""
+    return Q.check_year_range(_raw_long(spark, sf))
+
+
+@register("c5_missing_iso3", _flags_query("long", _LONG_COLS, "iso3"))
+def q_c5(spark, sf):
+    """C5 on the raw long table."""
+    return Q.check_missing_iso3(_raw_long(spark, sf))
+
+
+@register("c6_all_flags", _flags_query("harmonized", _HARM_COLS, "all"))
+def q_c6(spark, sf):
+    """Every flag on the harmonised table."""
+    return Q.run_checks(S.harmonized(spark, sf))
+
+
+@register("c6_all_flags_raw", _flags_query("long", _LONG_COLS, "all"))
+def q_c6_raw(spark, sf):
+    """C6/U2 on the raw long table, where all five rules can fire."""
+    return Q.run_checks(_raw_long(spark, sf))
+
+
+@register("a3_qa_summary", _summary_sql("harmonized", _HARM_COLS))
+def q_a3(spark, sf):
+    """A3: per-indicator QA summary of the harmonised table."""
+    return Q.qa_summary(S.harmonized(spark, sf))
+
+
+@register("a3_qa_summary_raw", _summary_sql("long", _LONG_COLS))
+def q_a3_raw(spark, sf):
+    """A3 on the raw long table."""
+    return Q.qa_summary(_raw_long(spark, sf))
+
+
+@register("a4_pass_tally", with_stages("harmonized", _mr_ctes("harmonized") + _rf_cte("harmonized")
+                                       + _summary_tail("harmonized", _HARM_COLS) + f"""
+SELECT count(CASE WHEN NOT (MISSING_PCT > {QA.max_missing_pct}) AND N_FLAGGED = 0 THEN 1 END) AS N_PASS,
+       count(*) AS N_INDICATORS, (SELECT count(*) FROM fl) AS N_FLAGGED_ROWS
+FROM s"""))
+def q_a4(spark, sf):
+    """A4: indicators passing and flagged rows in total."""
+    h = S.harmonized(spark, sf)
+    flagged = Q.run_checks(h)
+    return Q.pass_tally(Q.qa_summary(h, flagged), flagged)
