@@ -283,3 +283,147 @@ def q_a4(spark, sf):
     h = S.harmonized(spark, sf)
     flagged = Q.run_checks(h)
     return Q.pass_tally(Q.qa_summary(h, flagged), flagged)
+
+
+# ---------------------------------------------------------------- views
+from indicast.operators import views as V  # noqa: E402
+from indicast.plans.oracle_sql import _q, _values  # noqa: E402
+from indicast.schema import DASHBOARD_LABELS, TREND_DEFAULT_COUNTRIES  # noqa: E402
+
+_TREND_IN = "(" + ", ".join(_q(c) for c in TREND_DEFAULT_COUNTRIES) + ")"
+_IND0 = INDICATOR_IDS[0]
+_LATEST = "(SELECT max(YEAR) FROM wide)"
+_FILTER_REGION = "South Asia"
+_FILTER_YEARS = (2001, 2003)
+
+
+def _sub(sql: str) -> str:
+    """Wrap a WITH-query as a derived table."""
+    return f"({sql}) AS sub"
+
+
+@register("p9_trend_extract", with_stages("wide", f"""
+SELECT ISO3, YEAR, REGION, {dq(_IND0)} FROM wide
+WHERE ISO3 IN {_TREND_IN} AND {dq(_IND0)} IS NOT NULL"""))
+def q_p9(spark, sf):
+    """Trend extract for the default countries and the first indicator."""
+    return V.trend_extract(S.wide(spark, sf))
+
+
+@register("a8_regional_mean", with_stages("wide", f"""
+SELECT REGION, YEAR, round(avg({dq(_IND0)}), 6) AS {dq(_IND0)} FROM wide
+WHERE REGION IS NOT NULL GROUP BY REGION, YEAR"""))
+def q_a8(spark, sf):
+    """Regional mean by year."""
+    return V.regional_mean_by_year(S.wide(spark, sf))
+
+
+@register("p10_equity_extract", with_stages("wide", f"""
+SELECT ISO3, REGION, INCOME_GROUP, "GPIA.CR.1", "GPIA.CR.2" FROM wide
+WHERE YEAR = {_LATEST} AND "GPIA.CR.1" IS NOT NULL"""))
+def q_p10(spark, sf):
+    """Parity extract for the latest year."""
+    return V.equity_extract(S.wide(spark, sf))
+
+
+@register("a9_regional_gpi", with_stages("wide", f"""
+SELECT REGION, round(avg("GPIA.CR.1"), 6) AS "GPIA.CR.1" FROM wide
+WHERE YEAR = {_LATEST} AND "GPIA.CR.1" IS NOT NULL AND REGION IS NOT NULL GROUP BY REGION"""))
+def q_a9(spark, sf):
+    """Regional mean parity index for the latest year."""
+    return V.regional_gpi(S.wide(spark, sf))
+
+
+@register("a10_overview_kpis", with_stages("wide", f"""
+SELECT count(DISTINCT ISO3) AS N_COUNTRIES, CAST({len(INDICATOR_IDS)} AS BIGINT) AS N_INDICATORS,
+       min(YEAR) AS YEAR_MIN, max(YEAR) AS YEAR_MAX,
+       (SELECT count(VALUE) FROM harmonized) AS N_OBSERVATIONS
+FROM wide"""))
+def q_a10(spark, sf):
+    """A10: overview KPIs."""
+    h = S.harmonized(spark, sf)
+    return V.overview_kpis(R.pivot_wide(h), h)
+
+
+@register("a11_countries_per_region", with_stages("wide", """
+SELECT REGION, count(*) AS N_COUNTRIES FROM (SELECT DISTINCT ISO3, REGION FROM wide)
+WHERE REGION IS NOT NULL GROUP BY REGION"""))
+def q_a11(spark, sf):
+    """Countries per region."""
+    return V.countries_per_region(S.wide(spark, sf))
+
+
+@register("a12_availability", with_stages("wide", "SELECT ISO3, YEAR, " + ", ".join(
+    f"CAST({dq(i)} IS NOT NULL AS INTEGER) AS {dq(i)}" for i in INDICATOR_IDS) + " FROM wide"))
+def q_a12(spark, sf):
+    """Availability matrix."""
+    return V.availability_matrix(S.wide(spark, sf))
+
+
+@register("a13_years_heatmap", with_stages("wide", "SELECT ISO3, " + ", ".join(
+    f"count({dq(i)}) AS {dq(i)}" for i in INDICATOR_IDS) + " FROM wide GROUP BY ISO3"))
+def q_a13(spark, sf):
+    """Years of data per country and indicator."""
+    return V.years_heatmap(S.wide(spark, sf))
+
+
+@register("a15_pick_lists", with_stages("wide", """
+SELECT DISTINCT * FROM (
+  SELECT 'ISO3' AS LIST_ID, ISO3 AS ITEM FROM wide
+  UNION ALL SELECT 'REGION', REGION FROM wide
+  UNION ALL SELECT 'INCOME_GROUP', INCOME_GROUP FROM wide) WHERE ITEM IS NOT NULL"""))
+def q_a15(spark, sf):
+    """Sorted distinct selector values."""
+    return V.pick_lists(S.wide(spark, sf))
+
+
+@register("p11_filtered_table", with_stages("wide", f"""
+SELECT * FROM wide WHERE REGION = {_q(_FILTER_REGION)}
+AND YEAR BETWEEN {_FILTER_YEARS[0]} AND {_FILTER_YEARS[1]}"""))
+def q_p11(spark, sf):
+    """Filtered table (one region, a year range, all income groups)."""
+    return V.filter_table(S.wide(spark, sf), region=_FILTER_REGION, years=_FILTER_YEARS)
+
+
+@register("a16_row_counts", with_stages("wide", """
+SELECT 'long' AS TABLE_NAME, count(*) AS N_ROWS FROM long
+UNION ALL SELECT 'harmonized', count(*) FROM harmonized
+UNION ALL SELECT 'wide', count(*) FROM wide"""))
+def q_a16(spark, sf):
+    """Row counts of the stage tables."""
+    long = S.raw_long(spark, sf)
+    h = S.harmonized(spark, sf)
+    return V.row_counts(long=long, harmonized=h, wide=R.pivot_wide(h))
+
+
+@register("a17_coverage_summary", "SELECT INDICATOR_ID, INDICATOR_LABEL, N_OBSERVATIONS, COVERAGE_PCT, "
+          "YEAR_MIN, YEAR_MAX FROM " + _sub(ORACLES["a1_coverage"]))
+def q_a17(spark, sf):
+    """Coverage summary columns."""
+    return V.coverage_summary(R.coverage(S.harmonized(spark, sf)))
+
+
+@register("p14_status_class", "SELECT *, CASE WHEN QA_STATUS = 'PASS' THEN 'ok' WHEN QA_STATUS LIKE '%WARN%' "
+          "THEN 'warn' ELSE 'fail' END AS STATUS_CLASS FROM " + _sub(ORACLES["a3_qa_summary_raw"]))
+def q_p14(spark, sf):
+    """Severity class of each QA status (raw input, where statuses vary)."""
+    return V.qa_status_classes(Q.qa_summary(_raw_long(spark, sf)))
+
+
+_DASH_VALUES = _values(DASHBOARD_LABELS, ["INDICATOR_ID", "DL"])
+
+
+@register("j2_dashboard_labels", with_stages("harmonized", f"""
+SELECT h.INDICATOR_ID, d.DL AS INDICATOR_LABEL, h.ISO3, h.YEAR, h.VALUE, h.SOURCE, h.REGION, h.INCOME_GROUP
+FROM harmonized h LEFT JOIN {_DASH_VALUES} ON d.INDICATOR_ID = h.INDICATOR_ID""".replace(
+    "AS t(INDICATOR_ID, DL)", "AS d(INDICATOR_ID, DL)")))
+def q_j2(spark, sf):
+    """Dictionary lookup of the dashboard labels."""
+    return V.with_dashboard_labels(S.harmonized(spark, sf))
+
+
+@register("p17_sample_head", with_stages("harmonized", """
+SELECT * FROM harmonized ORDER BY INDICATOR_ID, ISO3, YEAR LIMIT 4"""))
+def q_p17(spark, sf):
+    """First rows of the ordered long table (the top-n is the feature)."""
+    return V.sample_head(S.harmonized(spark, sf), ["INDICATOR_ID", "ISO3", "YEAR"])

@@ -30,6 +30,24 @@ INDICATORS = [
     ("TRTP.2", "Proportion of trained teachers — lower secondary"),
 ]
 
+# Second label set used by the dashboard views (same ids, shorter labels).
+DASHBOARD_LABELS = [
+    ("CR.1", "Completion rate — primary"),
+    ("CR.2", "Completion rate — lower secondary"),
+    ("CR.3", "Completion rate — upper secondary"),
+    ("ROFST.1", "Out-of-school rate — primary"),
+    ("ROFST.2", "Out-of-school rate — lower secondary"),
+    ("ROFST.3", "Out-of-school rate — upper secondary"),
+    ("PPPRT.1", "Pre-primary participation rate"),
+    ("GPIA.CR.1", "GPI — completion rate, primary"),
+    ("GPIA.CR.2", "GPI — completion rate, lower secondary"),
+    ("TRTP.1", "Trained teachers — primary (%)"),
+    ("TRTP.2", "Trained teachers — lower secondary (%)"),
+]
+
+# Default country selection of the trend view.
+TREND_DEFAULT_COUNTRIES = ["MDG", "GHA", "IND", "BRA", "FRA"]
+
 # Country dimension: ISO3 -> (region, income group), 30 countries.
 COUNTRIES = [
     ("MDG", "Sub-Saharan Africa", "Low income"),
