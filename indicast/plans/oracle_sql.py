@@ -72,3 +72,67 @@ def with_stages(upto: str, body: str, extra: list[str] | None = None) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body
 
 GPI_IN = "(" + ", ".join(_q(i) for i in IND_IDS if "GPIA" in i) + ")"
+
+
+def knn_ctes(k: int = 5, block: str | None = None) -> str:
+    """CTEs (to append after the ``wide`` stage) that produce ``knn_filled``:
+    every wide row with missing cells filled by the k-NN rule, before clip."""
+    cols = IND_IDS
+    ss = " + ".join(
+        f"CASE WHEN r.{dq(c)} IS NOT NULL AND d.{dq(c)} IS NOT NULL "
+        f"THEN (r.{dq(c)} - d.{dq(c)}) * (r.{dq(c)} - d.{dq(c)}) ELSE 0 END" for c in cols)
+    nc = " + ".join(
+        f"CASE WHEN r.{dq(c)} IS NOT NULL AND d.{dq(c)} IS NOT NULL THEN 1 ELSE 0 END" for c in cols)
+    any_null = " OR ".join(f"r.{dq(c)} IS NULL" for c in cols)
+    cells = "\n  UNION ALL ".join(
+        f"SELECT ISO3, YEAR, {i} AS j, {dq(c)} AS v FROM wide" for i, c in enumerate(cols))
+    blk = f" AND r.{block} = d.{block}" if block else ""
+    piv = ",\n    ".join(
+        f"max(CASE WHEN f.j = {i} THEN f.v END) AS {dq(c)}" for i, c in enumerate(cols))
+    return f"""
+, cells AS ({cells}),
+pairs AS (
+  SELECT r.ISO3 AS r_iso3, r.YEAR AS r_year, d.ISO3 AS d_iso3, d.YEAR AS d_year,
+         ({ss}) AS ss, ({nc}) AS nc
+  FROM wide r JOIN wide d ON NOT (r.ISO3 = d.ISO3 AND r.YEAR = d.YEAR){blk}
+  WHERE ({any_null})),
+miss AS (SELECT ISO3, YEAR, j FROM cells WHERE v IS NULL),
+cand AS (
+  SELECT m.ISO3, m.YEAR, m.j, c.v, round(p.ss / p.nc, 9) AS dd, p.d_iso3, p.d_year
+  FROM miss m
+  JOIN pairs p ON p.r_iso3 = m.ISO3 AND p.r_year = m.YEAR
+  JOIN cells c ON c.ISO3 = p.d_iso3 AND c.YEAR = p.d_year AND c.j = m.j
+  WHERE c.v IS NOT NULL AND p.nc > 0),
+topk AS (
+  SELECT ISO3, YEAR, j, avg(v) AS iv FROM (
+    SELECT *, row_number() OVER (PARTITION BY ISO3, YEAR, j ORDER BY dd, d_iso3, d_year) AS rn
+    FROM cand) WHERE rn <= {k} GROUP BY ISO3, YEAR, j),
+colmean AS (SELECT j, avg(v) AS mv FROM cells GROUP BY j),
+filled AS (
+  SELECT c.ISO3, c.YEAR, c.j, coalesce(c.v, t.iv, cm.mv) AS v
+  FROM cells c LEFT JOIN topk t ON t.ISO3 = c.ISO3 AND t.YEAR = c.YEAR AND t.j = c.j
+  LEFT JOIN colmean cm ON cm.j = c.j),
+knn_filled AS (
+  SELECT w.ISO3, w.YEAR, w.REGION, w.INCOME_GROUP,
+    {piv}
+  FROM wide w JOIN filled f ON f.ISO3 = w.ISO3 AND f.YEAR = w.YEAR
+  GROUP BY w.ISO3, w.YEAR, w.REGION, w.INCOME_GROUP)"""
+
+
+def clip_round_select(src: str) -> str:
+    """SELECT that clips every indicator column of ``src`` and rounds to 4."""
+    parts = []
+    for c in IND_IDS:
+        lo, hi = (QA.gpi_min, QA.gpi_max) if "GPIA" in c else (QA.rate_min, QA.rate_max)
+        parts.append(f"round(greatest({lo}, least({hi}, {dq(c)})), 4) AS {dq(c)}")
+    return f"SELECT ISO3, YEAR, REGION, INCOME_GROUP, {', '.join(parts)} FROM {src}"
+
+
+def audit_select(src: str, label: str) -> str:
+    """A5 audit of ``src`` as UNION ALL rows."""
+    return "\nUNION ALL ".join(
+        f"SELECT {_q(c)} AS INDICATOR_ID, {i} AS POS, {_q(label)} AS LABEL, "
+        f"CAST(count(*) AS BIGINT) AS N_TOTAL, CAST(count(*) - count({dq(c)}) AS BIGINT) AS N_MISSING, "
+        f"CAST(CASE WHEN count(*) > 0 THEN round((count(*) - count({dq(c)})) / count(*) * 100, 2) "
+        f"ELSE 0 END AS DOUBLE) AS PCT_MISSING FROM {src}"
+        for i, c in enumerate(IND_IDS))

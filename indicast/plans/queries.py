@@ -427,3 +427,51 @@ SELECT * FROM harmonized ORDER BY INDICATOR_ID, ISO3, YEAR LIMIT 4"""))
 def q_p17(spark, sf):
     """First rows of the ordered long table (the top-n is the feature)."""
     return V.sample_head(S.harmonized(spark, sf), ["INDICATOR_ID", "ISO3", "YEAR"])
+
+
+# ---------------------------------------------------------------- imputation
+from indicast.operators import impute as I  # noqa: E402
+from indicast.plans.oracle_sql import audit_select, clip_round_select, knn_ctes  # noqa: E402
+
+
+def _imputed(spark, sf):
+    return I.impute_wide(S.wide(spark, sf))
+
+
+@register("a5_missing_audit", with_stages("wide", audit_select("wide", "before")))
+def q_a5(spark, sf):
+    """A5: missing audit of the wide table."""
+    return I.audit_missing(S.wide(spark, sf), "before")
+
+
+@register("i4_imputed_wide", with_stages("wide", knn_ctes() + "\n" + clip_round_select("knn_filled")))
+def q_i4(spark, sf):
+    """I1 + I3 + I4: exact k-NN imputation, clipped and rounded."""
+    return _imputed(spark, sf)
+
+
+@register("i1_knn_raw", with_stages("wide", knn_ctes() + "\nSELECT * FROM knn_filled"))
+def q_i1(spark, sf):
+    """Exact k-NN fill before clip/round."""
+    return I.knn_impute(S.wide(spark, sf))
+
+
+@register("i1b_knn_blocked", with_stages("wide", knn_ctes(block="REGION") + "\nSELECT * FROM knn_filled"))
+def q_i1b(spark, sf):
+    """K-NN with donors restricted to the receiver's region (approximate variant)."""
+    return I.knn_impute_blocked(S.wide(spark, sf), block="REGION")
+
+
+@register("a6_imputation_report", with_stages("wide", knn_ctes() + f"""
+, imp AS ({clip_round_select("knn_filled")}),
+b AS ({audit_select("wide", "before")}),
+a AS ({audit_select("imp", "after")})
+SELECT b.INDICATOR_ID, coalesce(c.INDICATOR_LABEL, '') AS INDICATOR_LABEL, b.N_TOTAL,
+       b.N_MISSING AS N_MISSING_BEFORE, b.PCT_MISSING AS PCT_MISSING_BEFORE,
+       a.N_MISSING AS N_MISSING_AFTER, a.PCT_MISSING AS PCT_MISSING_AFTER,
+       CAST(greatest(b.N_MISSING - a.N_MISSING, 0) AS BIGINT) AS N_IMPUTED, 'KNN' AS METHOD
+FROM b JOIN a ON a.INDICATOR_ID = b.INDICATOR_ID LEFT JOIN cat c ON c.INDICATOR_ID = b.INDICATOR_ID"""))
+def q_a6(spark, sf):
+    """before/after imputation report."""
+    w = S.wide(spark, sf)
+    return I.imputation_report(w, I.impute_wide(w))
