@@ -475,3 +475,45 @@ def q_a6(spark, sf):
     """before/after imputation report."""
     w = S.wide(spark, sf)
     return I.imputation_report(w, I.impute_wide(w))
+
+
+# ---------------------------------------------------------------- anomaly
+from indicast.operators import anomaly as A  # noqa: E402
+
+_REGION_COLS = [f"REGION_{i}" for i in range(len(A.REGIONS))]
+_ONEHOT_SQL = ", ".join(f"CAST(h.REGION = {_q(r)} AS DOUBLE) AS REGION_{i}" for i, r in enumerate(A.REGIONS))
+
+
+@register("n1_features", with_stages("harmonized", f"""
+, st AS (SELECT INDICATOR_ID, min(VALUE) AS vmin, max(VALUE) AS vmax, min(YEAR) AS ymin, max(YEAR) AS ymax
+         FROM harmonized WHERE VALUE IS NOT NULL AND YEAR IS NOT NULL AND INDICATOR_ID IN {IN_CAT}
+         GROUP BY INDICATOR_ID HAVING count(*) >= 20)
+SELECT h.INDICATOR_ID, h.ISO3, h.YEAR,
+       CASE WHEN st.vmax - st.vmin > 0 THEN (h.VALUE - st.vmin) / (st.vmax - st.vmin) ELSE 0 END AS VALUE_NORM,
+       CAST(CASE WHEN st.ymax - st.ymin > 0 THEN (h.YEAR - st.ymin) / (st.ymax - st.ymin) ELSE 0 END AS DOUBLE)
+         AS YEAR_NORM,
+       {_ONEHOT_SQL}
+FROM harmonized h JOIN st ON st.INDICATOR_ID = h.INDICATOR_ID
+WHERE h.VALUE IS NOT NULL AND h.YEAR IS NOT NULL"""))
+def q_n1(spark, sf):
+    """Scaled VALUE and YEAR per indicator plus one-hot REGION."""
+    f = A.build_features(S.harmonized(spark, sf))
+    return f.select("INDICATOR_ID", "ISO3", "YEAR", "VALUE_NORM", "YEAR_NORM", *_REGION_COLS)
+
+
+@register("n6_anomaly_scores")
+def q_n6(spark, sf):
+    """Isolation-forest scores and flags for every harmonised row."""
+    return A.detect_anomalies(S.harmonized(spark, sf))
+
+
+@register("a7_anomaly_summary")
+def q_a7(spark, sf):
+    """Anomalies per scored indicator."""
+    return A.anomaly_summary(A.detect_anomalies(S.harmonized(spark, sf)))
+
+
+@register("o3_anomaly_report")
+def q_o3(spark, sf):
+    """Anomaly rows, most anomalous first."""
+    return A.anomaly_report(A.detect_anomalies(S.harmonized(spark, sf)))
