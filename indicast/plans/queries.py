@@ -517,3 +517,16 @@ def q_a7(spark, sf):
 def q_o3(spark, sf):
     """Anomaly rows, most anomalous first."""
     return A.anomaly_report(A.detect_anomalies(S.harmonized(spark, sf)))
+
+
+@register("i2_iterative_impute")
+def q_i2(spark, sf):
+    """I2 + I4: chained-equations imputation, clipped and rounded."""
+    return I.impute_wide(S.wide(spark, sf), method="iterative")
+
+
+@register("a6_imputation_report_iterative")
+def q_a6_it(spark, sf):
+    """A6 for the chained-equations method."""
+    w = S.wide(spark, sf)
+    return I.imputation_report(w, I.impute_wide(w, method="iterative"), method="iterative")
