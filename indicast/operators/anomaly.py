@@ -97,7 +97,7 @@ _TREE_SCHEMA = StructType([
 
 
 def _grow_tree(seed: int):
-    def fn(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def fn(key, pdf):
         ind, tree = key[0], int(key[1])
         pdf = pdf.sort_values("_h", kind="mergesort")
         X = np.array(pdf["FEATURES"].tolist(), dtype=float)

@@ -142,7 +142,7 @@ def _knn_cells(recv: pd.DataFrame, donors: pd.DataFrame, cols: list[str], k: int
 
 def _knn_full(cols: list[str], k: int, keep: list[str]):
     """cogroup function for one donor chunk: returns receivers with cells filled."""
-    def fn(key, recv: pd.DataFrame, donors: pd.DataFrame) -> pd.DataFrame:
+    def fn(key, recv, donors):
         if recv.empty:
             return recv[[*keep, *cols]]
         donors = _order_donors(donors)
@@ -160,7 +160,7 @@ def _knn_full(cols: list[str], k: int, keep: list[str]):
 
 def _knn_partial(cols: list[str], k: int):
     """cogroup function for many donor chunks: emit per-cell top-k candidates."""
-    def fn(key, recv: pd.DataFrame, donors: pd.DataFrame) -> pd.DataFrame:
+    def fn(key, recv, donors):
         rows = []
         if not recv.empty and not donors.empty:
             donors = _order_donors(donors)
