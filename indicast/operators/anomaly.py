@@ -96,6 +96,22 @@ _TREE_SCHEMA = StructType([
 ])
 
 
+TREES_PER_TASK = 10
+
+
+def _grow_trees(seed: int):
+    """Grow every tree of one (indicator, tree block) group; each tree's rows
+    are its own <= max_samples sample, so a group holds at most
+    TREES_PER_TASK x max_samples rows."""
+    one = _grow_tree(seed)
+
+    def fn(key, pdf):
+        parts = [one((key[0], t), g) for t, g in pdf.groupby("TREE", sort=True)]
+        return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(
+            columns=[f.name for f in _TREE_SCHEMA.fields])
+    return fn
+
+
 def _grow_tree(seed: int):
     def fn(key, pdf):
         ind, tree = key[0], int(key[1])
@@ -143,8 +159,9 @@ def fit_forest(features: DataFrame, n_trees: int = ANOMALY.n_trees,
               .withColumn("_h", h)
               .withColumn("_rn", F.row_number().over(w))
               .where(F.col("_rn") <= max_samples)
-              .select("INDICATOR_ID", "TREE", "_h", "FEATURES"))
-    return sample.groupBy("INDICATOR_ID", "TREE").applyInPandas(_grow_tree(seed), _TREE_SCHEMA)
+              .select("INDICATOR_ID", "TREE", (F.col("TREE") / TREES_PER_TASK).cast("int").alias("_blk"),
+                      "_h", "FEATURES"))
+    return sample.groupBy("INDICATOR_ID", "_blk").applyInPandas(_grow_trees(seed), _TREE_SCHEMA)
 
 
 def collect_model(trees: DataFrame) -> dict:

@@ -32,6 +32,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan over all cores only when it yields fewer splits than
+    cores (a small file with a single row group is read by one task). A large
+    input already has thousands of splits and is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _lookup(values: list[str], key, default: str):
     kv = []
     for i, v in enumerate(values):
@@ -46,9 +54,9 @@ def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     and two supplier columns; join strategy is left to Catalyst/AQE, which
     broadcasts a side only when its measured size is under the threshold.
     """
-    li = read_table(spark, sf_dir, "lineitem").select(
+    li = spread(read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_discount", "l_shipdate")
+        "l_discount", "l_shipdate"))
     part = read_table(spark, sf_dir, "part").select("p_partkey")
     supp = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
 
