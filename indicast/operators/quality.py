@@ -15,10 +15,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from indicast.functions.scalars import strip_ws
-from indicast.operators.reshape import grid_size, per_indicator
-from indicast.schema import GPI_IDS, QA
+from indicast.schema import GPI_IDS, INDICATOR_IDS, QA, catalogue_df
 
 KEY = ["INDICATOR_ID", "ISO3", "YEAR"]
 
@@ -81,9 +81,17 @@ def check_missing_iso3(df: DataFrame) -> DataFrame:
     return _with_flag(df, iso3_violation(), FLAG_ISO3, DETAIL_ISO3)
 
 
+def key_stats(df: DataFrame) -> DataFrame:
+    """Rows and non-null values per (INDICATOR_ID, ISO3, YEAR): one partial/final
+    aggregate whose size is the number of distinct keys, not the input size.
+    The duplicate rule and the missing-rate rule both read it, so a plan that
+    uses both scans the input once for it (the exchange is reused)."""
+    return df.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n"), F.count("VALUE").alias("_nv"))
+
+
 def _mark_duplicates(df: DataFrame) -> DataFrame:
     """Add ``_DUP`` = key occurs more than once (NULL keys equal each other)."""
-    dup = (df.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n"))
+    dup = (key_stats(df)
            .where(F.col("_n") > 1)
            .select(*[F.col(k).alias(f"_k_{k}") for k in KEY], F.lit(True).alias("_DUP")))
     cond = reduce(lambda a, b: a & b, [df[k].eqNullSafe(dup[f"_k_{k}"]) for k in KEY])
@@ -98,14 +106,32 @@ def check_duplicates(df: DataFrame) -> DataFrame:
 
 
 def missing_rate(df: DataFrame) -> DataFrame:
-    """Per catalogue indicator: N_VALID, expected grid, unrounded missing %."""
-    expected = grid_size(df, count_null_iso3=False)
-    j = per_indicator(df, F.count("VALUE").alias("N_VALID"))
-    n_valid = F.coalesce(F.col("N_VALID"), F.lit(0)).cast("bigint")
-    return j.select(
+    """Per catalogue indicator: N_VALID, expected grid (#distinct ISO3 x
+    #distinct YEAR over the whole table, NULLs not counted), unrounded missing %.
+
+    Computed from ``key_stats`` with one ``rollup``: the per-indicator rows
+    give N_VALID, the grand-total row gives the grid. Every catalogue id is
+    seeded with a zero row (NULL ISO3/YEAR, ignored by the distinct counts) so
+    it gets a row even without data. The grid is spread with a window over at
+    most 12 rows (catalogue ids + total)."""
+    spark = df.sparkSession
+    cat = catalogue_df(spark)
+    seed = cat.select("INDICATOR_ID", F.lit(None).cast("string").alias("ISO3"),
+                      F.lit(None).cast("int").alias("YEAR"), F.lit(0).cast("bigint").alias("_n"),
+                      F.lit(0).cast("bigint").alias("_nv"))
+    ks = key_stats(df).unionByName(seed)
+    r = (ks.rollup("INDICATOR_ID")
+         .agg(F.sum("_nv").alias("N_VALID"), F.count_distinct("ISO3").alias("_ni"),
+              F.count_distinct("YEAR").alias("_ny"), F.grouping_id().alias("_g"))
+         .where((F.col("_g") == 1) | F.col("INDICATOR_ID").isin(*INDICATOR_IDS)))
+    r = r.withColumn("N_EXPECTED", F.max(F.when(F.col("_g") == 1, F.col("_ni") * F.col("_ny")))
+                     .over(Window.partitionBy())).where(F.col("_g") == 0)
+    expected = F.col("N_EXPECTED")
+    return F.broadcast(cat.select("CAT_POS", "INDICATOR_ID", "INDICATOR_LABEL")).join(
+        r, "INDICATOR_ID").select(
         "CAT_POS", "INDICATOR_ID", "INDICATOR_LABEL",
-        expected.cast("bigint").alias("N_EXPECTED"), n_valid.alias("N_VALID"),
-        F.when(expected > 0, (F.lit(1.0) - n_valid / expected) * 100.0)
+        expected.cast("bigint").alias("N_EXPECTED"), F.col("N_VALID").cast("bigint").alias("N_VALID"),
+        F.when(expected > 0, (F.lit(1.0) - F.col("N_VALID") / expected) * 100.0)
         .otherwise(F.lit(0.0)).alias("MISS_PCT_RAW"),
     )
 

@@ -20,9 +20,17 @@ def raw_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enforce_schema(raw_observations(spark, sf_dir), extra_cols=TIE_BREAK)
 
 
-def harmonized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Entry 1: de-duplicated, filtered, country-enriched long table."""
-    return harmonize(raw_long(spark, sf_dir), tie_break=TIE_BREAK, value_nulls_last=True)
+def harmonized(spark: SparkSession, sf_dir: str, materialized: bool = True) -> DataFrame:
+    """Entry 1: de-duplicated, filtered, country-enriched long table.
+
+    The table is keyed by (indicator, country, year) within the catalogue-free
+    key space of countries x years x indicator ids, so it stays small however
+    large the raw feeds are. It is materialised once (reliable checkpoint in
+    the shared folder): every downstream plan then reads the stage table
+    instead of re-running the scan, joins and de-dup for each sub-query.
+    """
+    h = harmonize(raw_long(spark, sf_dir), tie_break=TIE_BREAK, value_nulls_last=True)
+    return materialize(h) if materialized else h
 
 
 def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
