@@ -205,7 +205,10 @@ def registry(spark: SparkSession, lineage_df: DataFrame | None = None) -> DataFr
         F.sort_array(F.collect_list(F.struct(*[F.col(c).alias(c.lower()) for c in
                                                ["STEP", "NAME", "MODULE", "DESCRIPTION", "TIMESTAMP"]])))
         .alias("process_history"))
-    one = _one_row_join([cmap, lists, st, lin])
+    # Each part is a one-row global aggregate: attach them as scalar subqueries.
+    one = cmap.select("concepts", lists.select("codelists").scalar().alias("codelists"),
+                      st.select("components").scalar().alias("components"),
+                      lin.select("process_history").scalar().alias("process_history"))
     return one.select(
         F.lit(REGISTRY_ID).alias("registry_id"), F.lit("1.0").alias("version"),
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("created"),
@@ -216,13 +219,3 @@ def registry(spark: SparkSession, lineage_df: DataFrame | None = None) -> DataFr
                  F.col("components")).alias("data_structure"),
         F.col("process_history"),
     )
-
-
-def _one_row_join(parts: list[DataFrame]) -> DataFrame:
-    """Combine single-row aggregates side by side on a constant key (each
-    part is a global aggregate, so every join is 1 x 1)."""
-    keyed = [p.withColumn("_k", F.lit(1)) for p in parts]
-    out = keyed[0]
-    for p in keyed[1:]:
-        out = out.join(p, "_k")
-    return out.drop("_k")
