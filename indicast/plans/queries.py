@@ -450,16 +450,26 @@ def q_i4(spark, sf):
     return _imputed(spark, sf)
 
 
-@register("i1_knn_raw", with_stages("wide", knn_ctes() + "\nSELECT * FROM knn_filled"))
+_KNN_DIGITS = 9  # means of <= 5 two-decimal values: rounding at 1e-9 never meets a tie
+_ROUND9_SQL = ("SELECT ISO3, YEAR, REGION, INCOME_GROUP, "
+               + ", ".join(f"round({dq(c)}, {_KNN_DIGITS}) AS {dq(c)}" for c in INDICATOR_IDS)
+               + " FROM knn_filled")
+
+
+def _round_cells(df):
+    return df.withColumns({c: F.round(F.col(f"`{c}`"), _KNN_DIGITS) for c in INDICATOR_IDS})
+
+
+@register("i1_knn_raw", with_stages("wide", knn_ctes() + "\n" + _ROUND9_SQL))
 def q_i1(spark, sf):
-    """Exact k-NN fill before clip/round."""
-    return I.knn_impute(S.wide(spark, sf))
+    """Exact k-NN fill before clip (cells rounded to 1e-9 for comparison)."""
+    return _round_cells(I.knn_impute(S.wide(spark, sf)))
 
 
-@register("i1b_knn_blocked", with_stages("wide", knn_ctes(block="REGION") + "\nSELECT * FROM knn_filled"))
+@register("i1b_knn_blocked", with_stages("wide", knn_ctes(block="REGION") + "\n" + _ROUND9_SQL))
 def q_i1b(spark, sf):
     """K-NN with donors restricted to the receiver's region (approximate variant)."""
-    return I.knn_impute_blocked(S.wide(spark, sf), block="REGION")
+    return _round_cells(I.knn_impute_blocked(S.wide(spark, sf), block="REGION"))
 
 
 @register("a6_imputation_report", with_stages("wide", knn_ctes() + f"""
@@ -530,3 +540,43 @@ def q_a6_it(spark, sf):
     """A6 for the chained-equations method."""
     w = S.wide(spark, sf)
     return I.imputation_report(w, I.impute_wide(w, method="iterative"), method="iterative")
+
+
+# ---------------------------------------------------------------- metadata
+from indicast.operators import metadata as M  # noqa: E402
+from indicast.schema import SOURCE_API, SOURCE_SDMX  # noqa: E402
+
+_LINEAGE_VALUES = _values([(st, n, m, d) for st, n, m, d in M.LINEAGE_STEPS],
+                          ["STEP", "NAME", "MODULE", "DESCRIPTION"])
+
+
+@register("m4_lineage_counts", with_stages("wide", _mr_ctes("harmonized") + _rf_cte("harmonized") + f""",
+fl AS ({_flags_sql("harmonized", _HARM_COLS, "all")}),
+st AS (SELECT INDICATOR_ID FROM harmonized WHERE VALUE IS NOT NULL AND YEAR IS NOT NULL
+       AND INDICATOR_ID IN {IN_CAT} GROUP BY INDICATOR_ID HAVING count(*) >= 20),
+c AS (
+  SELECT 1 AS STEP, count(*) AS N_ROWS FROM long WHERE SOURCE = {_q(SOURCE_API)}
+  UNION ALL SELECT 2, count(*) FROM long WHERE SOURCE = {_q(SOURCE_SDMX)}
+  UNION ALL SELECT 3, count(*) FROM harmonized
+  UNION ALL SELECT 4, count(*) FROM wide
+  UNION ALL SELECT 5, count(*) FROM fl
+  UNION ALL SELECT 6, count(*) FROM harmonized h JOIN st ON st.INDICATOR_ID = h.INDICATOR_ID
+            WHERE h.VALUE IS NOT NULL AND h.YEAR IS NOT NULL
+  UNION ALL SELECT 7, count(*) FROM wide)
+SELECT t.STEP, t.NAME, t.MODULE, t.DESCRIPTION, c.N_ROWS
+FROM {_LINEAGE_VALUES} JOIN c ON c.STEP = t.STEP"""))
+def q_m4(spark, sf):
+    """M4/M7: lineage steps with the real output size of each stage."""
+    raw = _raw_long(spark, sf)
+    h = S.harmonized(spark, sf)
+    w = R.pivot_wide(h)
+    src = raw.agg(F.count(F.when(F.col("SOURCE") == SOURCE_API, 1)).alias("a"),
+                  F.count(F.when(F.col("SOURCE") == SOURCE_SDMX, 1)).alias("b"))
+    parts = [src.select(F.lit(1).alias("STEP"), F.col("a").alias("N_ROWS")),
+             src.select(F.lit(2).alias("STEP"), F.col("b").alias("N_ROWS"))]
+    for step, df in [(3, h), (4, w), (5, Q.run_checks(h)), (6, A.build_features(h)), (7, w)]:
+        parts.append(df.agg(F.count(F.lit(1)).alias("N_ROWS")).select(F.lit(step).alias("STEP"), "N_ROWS"))
+    counts = parts[0]
+    for p in parts[1:]:
+        counts = counts.unionByName(p)
+    return M.process_history(M.lineage(spark, counts)).drop("TIMESTAMP")
