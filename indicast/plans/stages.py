@@ -23,9 +23,9 @@ def raw_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 def harmonized(spark: SparkSession, sf_dir: str, materialized: bool = True) -> DataFrame:
     """Entry 1: de-duplicated, filtered, country-enriched long table.
 
-    The table is keyed by (indicator, country, year) within the catalogue-free
-    key space of countries x years x indicator ids, so it stays small however
-    large the raw feeds are. It is materialised once (reliable checkpoint in
+    The table is keyed by (indicator, country, year) with country and year
+    restricted to the dimension (30 x 31 country-years), so it grows with the
+    number of indicator ids, not with the raw volume. It is materialised once (reliable checkpoint in
     the shared folder): every downstream plan then reads the stage table
     instead of re-running the scan, joins and de-dup for each sub-query.
     """
