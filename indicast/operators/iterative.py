@@ -28,7 +28,6 @@ from indicast.schema import IMPUTE, INDICATOR_IDS
 from indicast.session import checkpoint_dir
 
 _EPS = np.finfo(np.float64).eps
-SINGLE_PARTITION_ROWS = 100_000
 
 
 def bayesian_ridge_from_stats(n: float, sx: np.ndarray, sy: float, sxx: np.ndarray,
@@ -114,11 +113,6 @@ def iterative_impute(wide: DataFrame, max_iter: int = IMPUTE.max_iter, tol: floa
     order = sorted(valid, key=lambda c: missing[c])  # stable: ascending missing count
     to_fit = [c for c in order if missing[c] > 0]
     norm_tol = tol * float(stats["amax"] or 0.0)
-    if n_rows <= SINGLE_PARTITION_ROWS:
-        # A small table (the pipeline's wide table is bounded by countries x
-        # years) lives in one partition: every Gram aggregate then runs as one
-        # stage without an exchange.
-        cur = cur.coalesce(1)
     cur = cur.checkpoint(eager=True)
     for _ in range(max_iter):
         prev = {c: f"_p{i}" for i, c in enumerate(valid)}
