@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType,
+    DoubleType, IntegerType, StringType, StructField, StructType,
 )
 from pyspark.sql.window import Window
 
@@ -299,5 +299,4 @@ def anomaly_report(scored: DataFrame) -> DataFrame:
 
 
 __all__ = ["build_features", "fit_forest", "collect_model", "score_rows", "quantile_thresholds",
-           "detect_anomalies", "anomaly_summary", "anomaly_report", "REGIONS",
-           "ArrayType", "LongType"]
+           "detect_anomalies", "anomaly_summary", "anomaly_report", "REGIONS"]

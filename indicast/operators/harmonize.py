@@ -120,20 +120,21 @@ def harmonize(*feeds: DataFrame, tie_break: list[str] | tuple = (),
 def drop_counters(combined: DataFrame) -> DataFrame:
     """Rows dropped by de-dup, the country filter and the year filter.
 
-    One aggregate over the distinct keys plus a scalar sub-query for the raw
-    count; no per-step actions.
+    One pass over the input: a per-key count (partial aggregate, one row per
+    key and map task), then a global aggregate over the keys; the raw count is
+    the sum of the per-key counts.
     """
-    keys = combined.groupBy(*KEY).agg(F.lit(1).alias("_one"))
+    keys = combined.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n"))
     iso_ok = F.col("ISO3").isin(*COUNTRY_ISO3)
     yr_ok = F.col("YEAR").between(QA.year_min, QA.year_max)
-    n_raw = combined.select(F.count(F.lit(1))).scalar()
     return keys.agg(
+        F.sum("_n").alias("N_RAW"),
         F.count(F.lit(1)).alias("N_AFTER_DEDUP"),
         F.count(F.when(iso_ok, 1)).alias("N_AFTER_ISO3"),
         F.count(F.when(iso_ok & yr_ok, 1)).alias("N_HARMONIZED"),
     ).select(
-        n_raw.alias("N_RAW"),
-        (n_raw - F.col("N_AFTER_DEDUP")).alias("DROPPED_DUPLICATES"),
+        F.col("N_RAW").cast("bigint").alias("N_RAW"),
+        (F.col("N_RAW") - F.col("N_AFTER_DEDUP")).cast("bigint").alias("DROPPED_DUPLICATES"),
         (F.col("N_AFTER_DEDUP") - F.col("N_AFTER_ISO3")).alias("DROPPED_ISO3"),
         (F.col("N_AFTER_ISO3") - F.col("N_HARMONIZED")).alias("DROPPED_YEAR"),
         "N_HARMONIZED",

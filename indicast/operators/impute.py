@@ -30,13 +30,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    DoubleType, IntegerType, LongType, StringType, StructField, StructType,
+    DoubleType, IntegerType, StringType, StructField, StructType,
 )
 from pyspark.sql.window import Window
 
 from indicast.functions.scalars import clip, qcol
 from indicast.schema import (
-    GPI_IDS, IMPUTE, INDICATOR_IDS, INDICATOR_LABELS, QA, catalogue_df,
+    GPI_IDS, IMPUTE, INDICATOR_IDS, QA, catalogue_df,
 )
 
 KEYS = ["ISO3", "YEAR"]
@@ -312,4 +312,4 @@ def total_imputed(report: DataFrame) -> DataFrame:
 
 
 __all__ = ["audit_missing", "knn_impute", "knn_impute_blocked", "clip_round",
-           "impute_wide", "imputation_report", "total_imputed", "INDICATOR_LABELS", "LongType"]
+           "impute_wide", "imputation_report", "total_imputed"]

@@ -13,11 +13,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from indicast.operators import anomaly as A
 from indicast.operators import harmonize as H
+from indicast.operators import impute as I
+from indicast.operators import metadata as M
+from indicast.operators import quality as Q
 from indicast.operators import reshape as R
+from indicast.operators import views as V
 from indicast.plans import stages as S
-from indicast.plans.oracle_sql import IN_CAT, IN_COUNTRY, dq, with_stages
-from indicast.schema import INDICATOR_IDS, QA
+from indicast.plans.oracle_sql import (
+    GPI_IN, IN_CAT, IN_COUNTRY, _q, _values, audit_select, clip_round_select, dq, knn_ctes,
+    with_stages,
+)
+from indicast.schema import (
+    DASHBOARD_LABELS, INDICATOR_IDS, QA, SOURCE_API, SOURCE_SDMX, TREND_DEFAULT_COUNTRIES,
+)
 from indicast.sources.testdata import TIE_BREAK
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -114,12 +124,9 @@ def q_wide(spark, sf):
     return S.wide(spark, sf)
 
 
-__all__ = ["QUERIES", "ORACLES", "register", "INDICATOR_IDS", "F", "dq"]
 
 
 # ---------------------------------------------------------------- quality
-from indicast.operators import quality as Q  # noqa: E402
-from indicast.plans.oracle_sql import GPI_IN  # noqa: E402
 
 _HARM_COLS = ["INDICATOR_ID", "INDICATOR_LABEL", "ISO3", "YEAR", "VALUE", "SOURCE",
               "REGION", "INCOME_GROUP"]
@@ -286,9 +293,6 @@ def q_a4(spark, sf):
 
 
 # ---------------------------------------------------------------- views
-from indicast.operators import views as V  # noqa: E402
-from indicast.plans.oracle_sql import _q, _values  # noqa: E402
-from indicast.schema import DASHBOARD_LABELS, TREND_DEFAULT_COUNTRIES  # noqa: E402
 
 _TREND_IN = "(" + ", ".join(_q(c) for c in TREND_DEFAULT_COUNTRIES) + ")"
 _IND0 = INDICATOR_IDS[0]
@@ -430,8 +434,6 @@ def q_p17(spark, sf):
 
 
 # ---------------------------------------------------------------- imputation
-from indicast.operators import impute as I  # noqa: E402
-from indicast.plans.oracle_sql import audit_select, clip_round_select, knn_ctes  # noqa: E402
 
 
 def _imputed(spark, sf):
@@ -488,7 +490,6 @@ def q_a6(spark, sf):
 
 
 # ---------------------------------------------------------------- anomaly
-from indicast.operators import anomaly as A  # noqa: E402
 
 _REGION_COLS = [f"REGION_{i}" for i in range(len(A.REGIONS))]
 _ONEHOT_SQL = ", ".join(f"CAST(h.REGION = {_q(r)} AS DOUBLE) AS REGION_{i}" for i, r in enumerate(A.REGIONS))
@@ -543,8 +544,6 @@ def q_a6_it(spark, sf):
 
 
 # ---------------------------------------------------------------- metadata
-from indicast.operators import metadata as M  # noqa: E402
-from indicast.schema import SOURCE_API, SOURCE_SDMX  # noqa: E402
 
 _LINEAGE_VALUES = _values([(st, n, m, d) for st, n, m, d in M.LINEAGE_STEPS],
                           ["STEP", "NAME", "MODULE", "DESCRIPTION"])
