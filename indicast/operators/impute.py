@@ -41,6 +41,9 @@ from indicast.schema import (
 
 KEYS = ["ISO3", "YEAR"]
 MAX_DONORS_PER_TASK = 50_000
+# Donors are copied once per receiver slice, so the default slice count is
+# capped: enough to spread the (bounded) receivers, few donor copies.
+MAX_DEFAULT_SLICES = 64
 DIST_DIGITS = 9
 _BLOCK = 256  # receivers per numpy block
 
@@ -82,6 +85,10 @@ def _column_means(wide: DataFrame, cols: list[str]) -> list[Column]:
     return [wide.select(F.avg(qcol(c))).scalar() for c in cols]
 
 
+def _default_slices(spark) -> int:
+    return max(1, min(spark.sparkContext.defaultParallelism, MAX_DEFAULT_SLICES))
+
+
 def _safe_names(wide: DataFrame, cols: list[str]) -> tuple[DataFrame, list[str]]:
     """Rename indicator columns to dot-free names for the Python step
     (grouped-map functions resolve input columns by plain name)."""
@@ -194,7 +201,7 @@ def knn_impute(wide: DataFrame, k: int = IMPUTE.knn_neighbors, cols: list[str] |
     cols0 = [c for c in (cols or INDICATOR_IDS) if c in wide.columns]
     wide, cols = _safe_names(wide, cols0)
     keep = [c for c in wide.columns if c not in cols]
-    slices = slices or max(1, spark.sparkContext.defaultParallelism)
+    slices = slices or _default_slices(spark)
     means = _column_means(wide, cols)
 
     any_null = _any(cols, lambda c: c.isNull())
@@ -250,7 +257,7 @@ def knn_impute_blocked(wide: DataFrame, block: str = "REGION", k: int = IMPUTE.k
     any_val = _any(cols, lambda c: c.isNotNull())
     keep = [c for c in wide.columns if c not in cols]
     base = wide.select(*keep, F.col(block).alias("_blk"), *[qcol(c).alias(c) for c in cols])
-    slices = max(1, spark.sparkContext.defaultParallelism)
+    slices = _default_slices(spark)
     recv = (base.where(any_null).withColumns({f"_m{i}": m for i, m in enumerate(means)})
             .withColumn("_slice", F.pmod(F.xxhash64("ISO3", "YEAR"), F.lit(slices))))
     dons = (base.where(any_val).select(*[qcol(c).alias(c) for c in ["_blk", "ISO3", "YEAR", *cols]])

@@ -36,8 +36,12 @@ def spread(df: DataFrame) -> DataFrame:
     """Round-robin a scan over all cores only when it yields fewer splits than
     cores (a small file with a single row group is read by one task). A large
     input already has thousands of splits and is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext keep the scan as is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def _lookup(values: list[str], key, default: str):
