@@ -26,12 +26,12 @@ def grid_size(long: DataFrame, count_null_iso3: bool = True) -> Column:
 def per_indicator(long: DataFrame, *aggs: Column) -> DataFrame:
     """Catalogue-driven aggregate (J3): every catalogue id gets one row, ids
     outside the catalogue none. The aggregate is pruned to catalogue ids
-    before the shuffle; the result has at most 11 rows, so AQE broadcasts it
-    into the join with the catalogue."""
+    before the shuffle, so it has at most one row per catalogue id (11): a
+    proven bound, so it is broadcast into the join with the catalogue."""
     agg = (long.where(F.col("INDICATOR_ID").isin(*INDICATOR_IDS))
            .groupBy("INDICATOR_ID").agg(*aggs))
     cat = catalogue_df(long.sparkSession).select("CAT_POS", "INDICATOR_ID", "INDICATOR_LABEL")
-    return cat.join(agg, "INDICATOR_ID", "left")
+    return cat.join(F.broadcast(agg), "INDICATOR_ID", "left")
 
 
 def coverage(long: DataFrame) -> DataFrame:

@@ -33,9 +33,12 @@ def harmonized(spark: SparkSession, sf_dir: str, materialized: bool = True) -> D
     return materialize(h) if materialized else h
 
 
-def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Country-year wide table."""
-    return pivot_wide(harmonized(spark, sf_dir))
+def wide(spark: SparkSession, sf_dir: str, materialized: bool = True) -> DataFrame:
+    """Country-year wide table, bounded by countries x years (930 rows); it is
+    materialised because imputation reads it several times (receivers, donors,
+    column means)."""
+    w = pivot_wide(harmonized(spark, sf_dir))
+    return materialize(w) if materialized else w
 
 
 def materialize(df: DataFrame) -> DataFrame:
