@@ -33,6 +33,7 @@ from pyspark.sql.types import (
 from pyspark.sql.window import Window
 
 from indicast.schema import ANOMALY, COUNTRIES, INDICATOR_IDS, catalogue_df
+from indicast.session import materialize
 
 REGIONS = sorted({r for _, r, _ in COUNTRIES})
 SCORE_DIGITS = 6
@@ -234,7 +235,7 @@ def quantile_thresholds(scored: DataFrame, q: float = ANOMALY.contamination) ->
     hist = scored.groupBy("INDICATOR_ID", "ANOMALY_SCORE").agg(F.count(F.lit(1)).alias("_c"))
     w = (Window.partitionBy("INDICATOR_ID").orderBy("ANOMALY_SCORE")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    n = scored.groupBy("INDICATOR_ID").agg(F.count(F.lit(1)).alias("_n"))
+    n = hist.groupBy("INDICATOR_ID").agg(F.sum("_c").alias("_n"))
     pos = F.lit(q) * (F.col("_n") - 1)
     k0 = F.floor(pos)
     k1 = F.least(k0 + 1, F.col("_n") - 1)
@@ -261,7 +262,8 @@ def detect_anomalies(long: DataFrame, n_trees: int = ANOMALY.n_trees,
     feats = build_features(long, min_samples)
     trees = fit_forest(feats, n_trees, max_samples, seed)
     model = collect_model(trees)
-    scored = score_rows(feats, model).select(*long.columns, "ANOMALY_SCORE")
+    # Scores feed both the cut-off and the row flags: compute them once.
+    scored = materialize(score_rows(feats, model).select(*long.columns, "ANOMALY_SCORE"))
     thr = F.broadcast(quantile_thresholds(scored, contamination))  # <= 11 rows
     flagged = (scored.join(thr, "INDICATOR_ID", "left")
                .withColumn("IS_ANOMALY", F.coalesce(F.col("ANOMALY_SCORE") < F.col("THRESHOLD"), F.lit(False)))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from indicast.operators.harmonize import enforce_schema, harmonize
 from indicast.operators.reshape import pivot_wide
-from indicast.session import checkpoint_dir
+from indicast.session import materialize
 from indicast.sources.testdata import TIE_BREAK, raw_observations
 
 
@@ -41,7 +41,4 @@ def wide(spark: SparkSession, sf_dir: str, materialized: bool = True) -> DataFra
     return materialize(w) if materialized else w
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+__all__ = ["raw_long", "harmonized", "wide", "materialize"]

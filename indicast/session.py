@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at scale; every one can be overridden by the caller.
 DEFAULT_CONF = {
@@ -49,3 +49,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="indicast-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage with a reliable checkpoint in the shared checkpoint folder
+    (never a local checkpoint: a lost executor must not lose the stage)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
