@@ -579,3 +579,65 @@ def q_m4(spark, sf):
     for p in parts[1:]:
         counts = counts.unionByName(p)
     return M.process_history(M.lineage(spark, counts)).drop("TIMESTAMP")
+
+
+# ---------------------------------------------------------------- views over the imputed table
+# The dashboard reads the imputed wide table; the same views are registered
+# over it. The oracle chains the k-NN SQL, clip/round and the view SQL.
+
+def _view_sql(src: str) -> dict[str, str]:
+    latest = f"(SELECT max(YEAR) FROM {src})"
+    return {
+        "p9_trend_extract": f"SELECT ISO3, YEAR, REGION, {dq(_IND0)} FROM {src} "
+                            f"WHERE ISO3 IN {_TREND_IN} AND {dq(_IND0)} IS NOT NULL",
+        "a8_regional_mean": f"SELECT REGION, YEAR, round(avg({dq(_IND0)}), 6) AS {dq(_IND0)} FROM {src} "
+                            f"WHERE REGION IS NOT NULL GROUP BY REGION, YEAR",
+        "p10_equity_extract": f'SELECT ISO3, REGION, INCOME_GROUP, "GPIA.CR.1", "GPIA.CR.2" FROM {src} '
+                              f'WHERE YEAR = {latest} AND "GPIA.CR.1" IS NOT NULL',
+        "a9_regional_gpi": f'SELECT REGION, round(avg("GPIA.CR.1"), 6) AS "GPIA.CR.1" FROM {src} '
+                           f'WHERE YEAR = {latest} AND "GPIA.CR.1" IS NOT NULL AND REGION IS NOT NULL '
+                           f'GROUP BY REGION',
+        "a10_overview_kpis": f"SELECT count(DISTINCT ISO3) AS N_COUNTRIES, "
+                             f"CAST({len(INDICATOR_IDS)} AS BIGINT) AS N_INDICATORS, min(YEAR) AS YEAR_MIN, "
+                             f"max(YEAR) AS YEAR_MAX, (SELECT count(VALUE) FROM harmonized) AS N_OBSERVATIONS "
+                             f"FROM {src}",
+        "a11_countries_per_region": f"SELECT REGION, count(*) AS N_COUNTRIES FROM "
+                                    f"(SELECT DISTINCT ISO3, REGION FROM {src}) WHERE REGION IS NOT NULL "
+                                    f"GROUP BY REGION",
+        "a12_availability": "SELECT ISO3, YEAR, " + ", ".join(
+            f"CAST({dq(i)} IS NOT NULL AS INTEGER) AS {dq(i)}" for i in INDICATOR_IDS) + f" FROM {src}",
+        "a13_years_heatmap": "SELECT ISO3, " + ", ".join(
+            f"count({dq(i)}) AS {dq(i)}" for i in INDICATOR_IDS) + f" FROM {src} GROUP BY ISO3",
+        "a15_pick_lists": f"SELECT DISTINCT * FROM (SELECT 'ISO3' AS LIST_ID, ISO3 AS ITEM FROM {src} "
+                          f"UNION ALL SELECT 'REGION', REGION FROM {src} "
+                          f"UNION ALL SELECT 'INCOME_GROUP', INCOME_GROUP FROM {src}) WHERE ITEM IS NOT NULL",
+        "p11_filtered_table": f"SELECT * FROM {src} WHERE REGION = {_q(_FILTER_REGION)} "
+                              f"AND YEAR BETWEEN {_FILTER_YEARS[0]} AND {_FILTER_YEARS[1]}",
+    }
+
+
+_VIEW_FNS = {
+    "p9_trend_extract": lambda w, h: V.trend_extract(w),
+    "a8_regional_mean": lambda w, h: V.regional_mean_by_year(w),
+    "p10_equity_extract": lambda w, h: V.equity_extract(w),
+    "a9_regional_gpi": lambda w, h: V.regional_gpi(w),
+    "a10_overview_kpis": lambda w, h: V.overview_kpis(w, h),
+    "a11_countries_per_region": lambda w, h: V.countries_per_region(w),
+    "a12_availability": lambda w, h: V.availability_matrix(w),
+    "a13_years_heatmap": lambda w, h: V.years_heatmap(w),
+    "a15_pick_lists": lambda w, h: V.pick_lists(w),
+    "p11_filtered_table": lambda w, h: V.filter_table(w, region=_FILTER_REGION, years=_FILTER_YEARS),
+}
+_IMP_CTE = knn_ctes() + f",\nimp AS ({clip_round_select('knn_filled')})\n"
+
+
+def _imputed_view(view: str):
+    def fn(spark, sf):
+        h = S.harmonized(spark, sf)
+        return _VIEW_FNS[view](I.impute_wide(S.materialize(R.pivot_wide(h))), h)
+    fn.__doc__ = f"{view} over the imputed wide table (what the dashboard shows)."
+    return fn
+
+
+for _view, _sql in _view_sql("imp").items():
+    register(f"{_view}_imputed", with_stages("wide", _IMP_CTE + _sql))(_imputed_view(_view))
