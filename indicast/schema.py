@@ -86,6 +86,9 @@ COUNTRIES = [
 SOURCE_API = "UIS_API"
 SOURCE_SDMX = "UIS_SDMX"
 
+# Dataset title written into the JSON export manifest.
+EXPORT_DATASET_NAME = "UIS SDG 4 Education Indicators"
+
 
 @dataclass(frozen=True)
 class QAConfig:

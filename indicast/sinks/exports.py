@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indicast.schema import INDICATORS
+from indicast.schema import EXPORT_DATASET_NAME, INDICATORS
 
 
 def write_stage(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
@@ -36,7 +36,7 @@ def export_csv(df: DataFrame, path: str, order_by: list[str] | None = None,
     return path
 
 
-def export_json(df: DataFrame, path: str, dataset: str = "UIS SDG 4 Education Indicators") -> str:
+def export_json(df: DataFrame, path: str, dataset: str = EXPORT_DATASET_NAME) -> str:
     """K4: records as JSON Lines (NULL cells kept) plus a one-row manifest
     (dataset, generated, n_records, indicators) in ``<path>/_manifest``."""
     df.write.mode("overwrite").option("ignoreNullFields", False).json(f"{path}/records")
