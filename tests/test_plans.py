@@ -30,3 +30,11 @@ def test_registry_has_no_join(spark):
     for op in FORBIDDEN:
         assert op not in plan
     assert M.registry(spark).count() == 1
+
+
+def test_forest_sampling_limits_before_shuffle(spark):
+    from indicast.operators import anomaly as A
+    from indicast.plans import stages as S
+    h = S.harmonized(spark, SF_SMALL)
+    plan = A.fit_forest(A.build_features(h))._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
