@@ -81,8 +81,9 @@ def _any(cols: list[str], pred) -> Column:
 
 
 def _column_means(wide: DataFrame, cols: list[str]) -> list[Column]:
-    """Global mean of every column as scalar sub-queries (merged into one job)."""
-    return [wide.select(F.avg(qcol(c))).scalar() for c in cols]
+    """Global mean of every column: one scalar sub-query returning a struct."""
+    means = wide.select(F.struct(*[F.avg(qcol(c)).alias(f"m{i}") for i, c in enumerate(cols)])).scalar()
+    return [means.getField(f"m{i}") for i in range(len(cols))]
 
 
 def _default_slices(spark) -> int:
