@@ -194,10 +194,13 @@ def _path_lengths(X: np.ndarray, tree) -> np.ndarray:
         node[idx] = np.where(go_left, left[node[idx]], right[node[idx]])
 
 
-def score_rows(features: DataFrame, model: dict) -> DataFrame:
-    """ANOMALY_SCORE = -2^(-E[h(x)] / c(psi)), rounded to 6 decimals."""
+def score_rows(features: DataFrame, model) -> DataFrame:
+    """ANOMALY_SCORE = -2^(-E[h(x)] / c(psi)), rounded to 6 decimals.
+
+    ``model`` is the forest dict or a broadcast of it (the caller then owns
+    the broadcast and may release it once the scores are materialised)."""
     spark = features.sparkSession
-    bmodel = spark.sparkContext.broadcast(model)
+    bmodel = model if hasattr(model, "value") else spark.sparkContext.broadcast(model)
     cols = [c for c in features.columns if c != "FEATURES"]
     out_schema = StructType([features.schema[c] for c in cols]
                             + [StructField("ANOMALY_SCORE", DoubleType())])
@@ -261,9 +264,11 @@ def detect_anomalies(long: DataFrame, n_trees: int = ANOMALY.n_trees,
     IS_ANOMALY (false when not scored)."""
     feats = build_features(long, min_samples)
     trees = fit_forest(feats, n_trees, max_samples, seed)
-    model = collect_model(trees)
-    # Scores feed both the cut-off and the row flags: compute them once.
-    scored = materialize(score_rows(feats, model).select(*long.columns, "ANOMALY_SCORE"))
+    bmodel = long.sparkSession.sparkContext.broadcast(collect_model(trees))
+    # Scores feed both the cut-off and the row flags: compute them once; the
+    # materialised scores no longer need the model, so its broadcast is freed.
+    scored = materialize(score_rows(feats, bmodel).select(*long.columns, "ANOMALY_SCORE"))
+    bmodel.unpersist()
     thr = F.broadcast(quantile_thresholds(scored, contamination))  # <= 11 rows
     flagged = (scored.join(thr, "INDICATOR_ID", "left")
                .withColumn("IS_ANOMALY", F.coalesce(F.col("ANOMALY_SCORE") < F.col("THRESHOLD"), F.lit(False)))
