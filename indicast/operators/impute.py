@@ -112,40 +112,50 @@ def _order_donors(d: pd.DataFrame) -> pd.DataFrame:
 def _sq_dist(R: np.ndarray, D: np.ndarray) -> np.ndarray:
     """Mean squared difference over common features; NaN when none in common.
 
+    Computed with three matrix products (the NaN-aware expansion
+    sum m_r m_d (r - d)^2 = (m_r r^2) m_d^T - 2 (m_r r)(m_d d)^T + m_r (m_d d^2)^T),
+    so a block needs O(rows x donors) memory, not O(rows x donors x features).
     Ordering by this value equals ordering by the NaN-aware Euclidean distance
     (the constant p and the square root are monotone)."""
-    rm, dm = ~np.isnan(R), ~np.isnan(D)
-    Rz, Dz = np.where(rm, R, 0.0), np.where(dm, D, 0.0)
-    common = rm[:, None, :] & dm[None, :, :]
-    diff = (Rz[:, None, :] - Dz[None, :, :]) * common
-    ss = (diff * diff).sum(axis=2)
-    nc = common.sum(axis=2)
+    rm, dm = (~np.isnan(R)).astype(float), (~np.isnan(D)).astype(float)
+    Rz, Dz = np.where(rm > 0, R, 0.0), np.where(dm > 0, D, 0.0)
+    ss = (Rz * Rz) @ dm.T - 2.0 * (Rz @ Dz.T) + rm @ (Dz * Dz).T
+    nc = rm @ dm.T
     with np.errstate(invalid="ignore", divide="ignore"):
-        dd = np.where(nc > 0, ss / np.maximum(nc, 1), np.nan)
+        dd = np.where(nc > 0, np.maximum(ss, 0.0) / np.maximum(nc, 1.0), np.nan)
     return np.round(dd, DIST_DIGITS)
 
 
-def _topk(dd_row: np.ndarray, ok: np.ndarray, k: int) -> np.ndarray:
-    """Indices of the k smallest defined distances among ``ok`` donors; donors
-    are pre-sorted by (ISO3, YEAR), so a stable sort breaks ties the same way."""
-    idx = np.flatnonzero(ok & ~np.isnan(dd_row))
-    if idx.size == 0:
-        return idx
-    order = np.argsort(dd_row[idx], kind="stable")
-    return idx[order[:k]]
+def _knn_blocks(R: np.ndarray, D: np.ndarray, k: int):
+    """Per (receiver block, feature): the receivers missing the feature and
+    their k nearest donors among those having it.
 
-
-def _knn_cells(recv: pd.DataFrame, donors: pd.DataFrame, cols: list[str], k: int):
-    """Yield (receiver row index, column index, donor index array) per missing cell."""
-    R = recv[cols].to_numpy(dtype=float)
-    D = donors[cols].to_numpy(dtype=float)
+    Yields (receiver row indices, donor index matrix (rows x k, -1 = none),
+    distance matrix (rows x k, inf = none), feature index). Donors are
+    pre-sorted by (ISO3, YEAR) and the sort is stable, so ties resolve by
+    donor key exactly as the SQL oracle's ORDER BY does."""
     dmask = ~np.isnan(D)
     for start in range(0, len(R), _BLOCK):
         blk = R[start:start + _BLOCK]
         dd = _sq_dist(blk, D) if len(D) else np.empty((len(blk), 0))
-        for bi in range(len(blk)):
-            for j in np.flatnonzero(np.isnan(blk[bi])):
-                yield start + bi, j, (_topk(dd[bi], dmask[:, j], k) if len(D) else np.empty(0, int)), dd[bi]
+        dd = np.where(np.isnan(dd), np.inf, dd)
+        for j in range(R.shape[1]):
+            rows = np.flatnonzero(np.isnan(blk[:, j]))
+            if rows.size == 0:
+                continue
+            cand = np.flatnonzero(dmask[:, j])
+            if cand.size == 0:
+                yield start + rows, np.full((rows.size, k), -1), np.full((rows.size, k), np.inf), j
+                continue
+            sub = dd[np.ix_(rows, cand)]
+            order = np.argsort(sub, axis=1, kind="stable")[:, :k]
+            top_d = np.take_along_axis(sub, order, axis=1)
+            top_i = np.where(np.isfinite(top_d), cand[order], -1)
+            if top_i.shape[1] < k:  # fewer donors than k
+                pad = k - top_i.shape[1]
+                top_i = np.pad(top_i, ((0, 0), (0, pad)), constant_values=-1)
+                top_d = np.pad(top_d, ((0, 0), (0, pad)), constant_values=np.inf)
+            yield start + rows, top_i, top_d, j
 
 
 def _knn_full(cols: list[str], k: int, keep: list[str]):
@@ -155,10 +165,15 @@ def _knn_full(cols: list[str], k: int, keep: list[str]):
             return recv[[*keep, *cols]]
         donors = _order_donors(donors)
         D = donors[cols].to_numpy(dtype=float)
-        out = recv[cols].to_numpy(dtype=float).copy()
+        R = recv[cols].to_numpy(dtype=float)
+        out = R.copy()
         means = recv[[f"_m{i}" for i in range(len(cols))]].iloc[0].to_numpy(dtype=float)
-        for ri, j, top, _ in _knn_cells(recv, donors, cols, k):
-            out[ri, j] = D[top, j].mean() if top.size else means[j]
+        for rows, top_i, _, j in _knn_blocks(R, D, k):
+            ok = top_i >= 0
+            vals = np.where(ok, D[np.where(ok, top_i, 0), j], 0.0)
+            n = ok.sum(axis=1)
+            with np.errstate(invalid="ignore", divide="ignore"):
+                out[rows, j] = np.where(n > 0, vals.sum(axis=1) / np.maximum(n, 1), means[j])
         res = recv[keep].copy()
         for j, c in enumerate(cols):
             res[c] = out[:, j]
@@ -169,16 +184,27 @@ def _knn_full(cols: list[str], k: int, keep: list[str]):
 def _knn_partial(cols: list[str], k: int):
     """cogroup function for many donor chunks: emit per-cell top-k candidates."""
     def fn(key, recv, donors):
-        rows = []
+        parts = []
         if not recv.empty and not donors.empty:
             donors = _order_donors(donors)
             D = donors[cols].to_numpy(dtype=float)
-            for ri, j, top, dd in _knn_cells(recv, donors, cols, k):
-                for t in top:
-                    rows.append((recv["ISO3"].iat[ri], int(recv["YEAR"].iat[ri]), int(j),
-                                 float(dd[t]), donors["ISO3"].iat[t], int(donors["YEAR"].iat[t]),
-                                 float(D[t, j])))
-        return pd.DataFrame(rows, columns=["ISO3", "YEAR", "J", "DD", "D_ISO3", "D_YEAR", "V"])
+            R = recv[cols].to_numpy(dtype=float)
+            for rows, top_i, top_d, j in _knn_blocks(R, D, k):
+                r_idx, slot = np.nonzero(top_i >= 0)
+                d_idx = top_i[r_idx, slot]
+                parts.append(pd.DataFrame({
+                    "ISO3": recv["ISO3"].to_numpy()[rows[r_idx]],
+                    "YEAR": recv["YEAR"].to_numpy()[rows[r_idx]].astype("int32"),
+                    "J": np.full(len(r_idx), j, dtype="int32"),
+                    "DD": top_d[r_idx, slot],
+                    "D_ISO3": donors["ISO3"].to_numpy()[d_idx],
+                    "D_YEAR": donors["YEAR"].to_numpy()[d_idx].astype("int32"),
+                    "V": D[d_idx, j]}))
+        if parts:
+            return pd.concat(parts, ignore_index=True)
+        return pd.DataFrame({c: pd.Series(dtype=t) for c, t in [
+            ("ISO3", "object"), ("YEAR", "int32"), ("J", "int32"), ("DD", "float64"),
+            ("D_ISO3", "object"), ("D_YEAR", "int32"), ("V", "float64")]})
     return fn
 
 

@@ -9,7 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from indicast.operators.harmonize import enforce_schema, harmonize
+from pyspark.sql import functions as F
+
+from indicast.operators.harmonize import (
+    attach_country_meta, dedup_by_priority, enforce_schema, filter_year_range, harmonize,
+)
 from indicast.operators.reshape import pivot_wide
 from indicast.session import materialize
 from indicast.sources.testdata import TIE_BREAK, raw_observations
@@ -41,4 +45,19 @@ def wide(spark: SparkSession, sf_dir: str, materialized: bool = True) -> DataFra
     return materialize(w) if materialized else w
 
 
-__all__ = ["raw_long", "harmonized", "wide", "materialize"]
+def supplier_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scale variant of the wide table whose rows grow with the data: the
+    entity is the supplier (``ISO3`` holds the supplier id) instead of the
+    country, with the supplier's country attributes. Same de-dup, year filter
+    and pivot as the country pipeline; used to exercise k-NN imputation on a
+    table that is not bounded by the country dimension."""
+    raw = enforce_schema(raw_observations(spark, sf_dir, with_entity=True),
+                         extra_cols=[*TIE_BREAK, "ENTITY"])
+    keyed = raw.withColumnsRenamed({"ISO3": "COUNTRY", "ENTITY": "ISO3"})
+    deduped = filter_year_range(dedup_by_priority(keyed, ["SOURCE", *TIE_BREAK], value_nulls_last=True))
+    long = attach_country_meta(deduped.withColumnRenamed("ISO3", "ENTITY")
+                               .withColumnRenamed("COUNTRY", "ISO3")).drop("ISO3")
+    return materialize(pivot_wide(long.withColumnRenamed("ENTITY", "ISO3")))
+
+
+__all__ = ["raw_long", "harmonized", "wide", "supplier_wide", "materialize", "F"]

@@ -51,7 +51,7 @@ def _lookup(values: list[str], key, default: str):
     return F.coalesce(F.element_at(F.create_map(*kv), key.cast("int")), F.lit(default))
 
 
-def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_observations(spark: SparkSession, sf_dir: str, with_entity: bool = False) -> DataFrame:
     """Raw long observations: INDICATOR_ID, ISO3, YEAR, VALUE, SOURCE, ORD_A, ORD_B.
 
     Column pruning keeps the scans to the six lineitem columns, one part column
@@ -82,6 +82,8 @@ def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
             .otherwise(F.lit(SOURCE_SDMX)).alias("SOURCE"),
             F.col("l_orderkey").alias("ORD_A"),
             F.col("l_linenumber").alias("ORD_B"),
+            *([F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("ENTITY")]
+              if with_entity else []),
         )
     )
 
