@@ -641,3 +641,15 @@ def _imputed_view(view: str):
 
 for _view, _sql in _view_sql("imp").items():
     register(f"{_view}_imputed", with_stages("wide", _IMP_CTE + _sql))(_imputed_view(_view))
+
+
+# ---------------------------------------------------------------- k-NN at a scale that grows with the data
+# The country-keyed wide table is bounded (<= 930 rows); this variant keys the
+# wide table by supplier, so its rows grow with the input. Exact k-NN in SQL is
+# a self-join of all pairs and too slow on the whole table, so no oracle: the
+# operator is checked against a brute-force implementation in tests/.
+
+@register("i1_knn_supplier_entities")
+def q_i1_supplier(spark, sf):
+    """I1 + I4 on the supplier-keyed wide table (donor chunks sized from a count)."""
+    return I.clip_round(I.knn_impute(S.supplier_wide(spark, sf), donor_chunks=None))

@@ -188,3 +188,16 @@ def test_dispatch_unknown_method_is_knn(spark, method):
     df, _ = fixture(spark)
     out = I.impute_wide(df, method=method, cols=COLS) if method == "knn" else I.impute_wide(df, method=method, cols=COLS)
     assert out.where(" OR ".join(f"`{c}` IS NULL" for c in COLS)).count() == 0
+
+
+def test_knn_supplier_entities_brute_force(spark):
+    from indicast.plans import stages as S
+    from conftest import SF_SMALL
+    w = S.supplier_wide(spark, SF_SMALL)
+    cols = w.columns[4:]
+    rows = [tuple(r) for r in w.collect()]
+    ref = brute_knn(rows)
+    got = {(r["ISO3"], r["YEAR"]): np.array([r[c] for c in cols], dtype=float)
+           for r in I.knn_impute(w, donor_chunks=2, slices=3).collect()}
+    assert len(rows) > 20
+    close(got, ref)
