@@ -9,8 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pyspark.sql import functions as F
-
 from indicast.operators.harmonize import (
     attach_country_meta, dedup_by_priority, enforce_schema, filter_year_range, harmonize,
 )
@@ -60,4 +58,4 @@ def supplier_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(pivot_wide(long.withColumnRenamed("ENTITY", "ISO3")))
 
 
-__all__ = ["raw_long", "harmonized", "wide", "supplier_wide", "materialize", "F"]
+__all__ = ["raw_long", "harmonized", "wide", "supplier_wide", "materialize"]
