@@ -38,16 +38,27 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, named by ``spark.checkpoint.dir``. A
+    local session without the setting gets a folder of its own; on a cluster
+    the setting is required, since a driver-local folder is lost on executors."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
+        "spark.checkpoint.dir", None)
+    if configured:
+        return configured
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="indicast-ckpt-"))
+    return spark.sparkContext.getCheckpointDir()
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset."""
+    """Return the session's checkpoint folder, setting it on first use."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="indicast-ckpt-")
-    sc.setCheckpointDir(configured)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(shared_folder(spark))
     return sc.getCheckpointDir()
 
 
