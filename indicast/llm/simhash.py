@@ -96,12 +96,10 @@ def _bucketed(rows: DataFrame, tables: list[int], radius: int) -> tuple[DataFram
     """Each row of ``fp`` (and, below the first level, its hot bucket's mask
     ``mask``) once per table, with the table's mask and ``key`` = fp & mask."""
     cover = {t: [t | m for m in covering_masks([i for i in range(BITS) if not t >> i & 1], radius)] for t in tables}
-    signed = {t: [_signed(m) for m in ms] for t, ms in cover.items()}
-    lists = [(_signed(t), ms) for t, ms in signed.items()]
-    spark = rows.sparkSession
-    tree = spark.createDataFrame(lists, "mask long, finer array<long>")  # fixed: 15 rows to a hot mask
-    out = (rows.join(F.broadcast(tree), "mask").select("fp", F.explode("finer").alias("mask"))
-           .withColumn("key", F.col("fp").bitwiseAND(F.col("mask"))))
+    finer = F.lit(None).cast("array<long>")
+    for t, ms in cover.items():  # 15 masks for the whole, then for each hot one
+        finer = F.when(F.col("mask") == _signed(t), F.array(*[F.lit(_signed(m)) for m in ms])).otherwise(finer)
+    out = rows.select("fp", F.explode(finer).alias("mask")).withColumn("key", F.col("fp").bitwiseAND(F.col("mask")))
     return out.distinct() if len(tables) > 1 else out, sorted({m for ms in cover.values() for m in ms})
 
 
