@@ -8,21 +8,20 @@ receiver the donors are the rows where that feature is present; the cell gets
 the mean of the k nearest donors (ties broken by distance rounded to 1e-9,
 then donor ISO3, YEAR) or, when no donor has a distance, the column mean.
 
-Receivers (rows with a NULL) are hashed into ``slices``; donors (rows with a
-value) are split into ``donor_chunks``. ``cogroup`` on (slice, chunk) hands
-each task one receiver slice and one donor chunk; numpy computes the
-distances in blocks and the task emits only the top-k per cell, never the
-pairs. With one chunk the task finishes the cells itself; with several the
-partial top-k lists (at most k x chunks rows per cell) are merged by a
-window. Donor replication is ``slices`` copies of one chunk, so memory per
-task is bounded by chunk size, not by table size. The pipeline's wide table
-is bounded by countries x years (``WIDE_ROW_BOUND``), so one chunk suffices
-there; larger inputs pick ``donor_chunks`` from a donor count.
+There is one path at every size. Receivers (rows with a NULL) are hashed into
+slices of about ``RECEIVERS_PER_TASK`` rows and donors (rows with a value) into
+chunks of about ``DONORS_PER_TASK``, both sized from a count per block;
+``cogroup`` on (block, slice, chunk) hands each task one slice and one chunk, so
+its memory does not depend on the size of the table or of a block. numpy
+computes the distances and the task emits the top k of its chunk for each
+missing cell, never the pairs; a window merges the chunks' lists. Exact k-NN
+compares every receiver with every donor; ``knn_impute_blocked`` restricts
+donors to the receiver's block, which makes the work linear in the number of
+blocks, and a block that is too large for a task is cut like the whole table.
 """
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 import numpy as np
@@ -40,10 +39,8 @@ from indicast.schema import (
 )
 
 KEYS = ["ISO3", "YEAR"]
-MAX_DONORS_PER_TASK = 50_000
-# Donors are copied once per receiver slice, so the default slice count is
-# capped: enough to spread the (bounded) receivers, few donor copies.
-MAX_DEFAULT_SLICES = 64
+RECEIVERS_PER_TASK = 1_000
+DONORS_PER_TASK = 50_000
 DIST_DIGITS = 9
 _BLOCK = 256  # receivers per numpy block
 
@@ -86,10 +83,6 @@ def _column_means(wide: DataFrame, cols: list[str]) -> list[Column]:
     return [means.getField(f"m{i}") for i in range(len(cols))]
 
 
-def _default_slices(spark) -> int:
-    return max(1, min(spark.sparkContext.defaultParallelism, MAX_DEFAULT_SLICES))
-
-
 def _safe_names(wide: DataFrame, cols: list[str]) -> tuple[DataFrame, list[str]]:
     """Rename indicator columns to dot-free names for the Python step
     (grouped-map functions resolve input columns by plain name)."""
@@ -126,80 +119,43 @@ def _sq_dist(R: np.ndarray, D: np.ndarray) -> np.ndarray:
     return np.round(dd, DIST_DIGITS)
 
 
-def _knn_blocks(R: np.ndarray, D: np.ndarray, k: int):
-    """Per (receiver block, feature): the receivers missing the feature and
-    their k nearest donors among those having it.
-
-    Yields (receiver row indices, donor index matrix (rows x k, -1 = none),
-    distance matrix (rows x k, inf = none), feature index). Donors are
-    pre-sorted by (ISO3, YEAR) and the sort is stable, so ties resolve by
-    donor key exactly as the SQL oracle's ORDER BY does."""
-    dmask = ~np.isnan(D)
-    for start in range(0, len(R), _BLOCK):
-        blk = R[start:start + _BLOCK]
-        dd = _sq_dist(blk, D) if len(D) else np.empty((len(blk), 0))
-        dd = np.where(np.isnan(dd), np.inf, dd)
-        for j in range(R.shape[1]):
-            rows = np.flatnonzero(np.isnan(blk[:, j]))
-            if rows.size == 0:
-                continue
-            cand = np.flatnonzero(dmask[:, j])
-            if cand.size == 0:
-                yield start + rows, np.full((rows.size, k), -1), np.full((rows.size, k), np.inf), j
-                continue
-            sub = dd[np.ix_(rows, cand)]
-            order = np.argsort(sub, axis=1, kind="stable")[:, :k]
-            top_d = np.take_along_axis(sub, order, axis=1)
-            top_i = np.where(np.isfinite(top_d), cand[order], -1)
-            if top_i.shape[1] < k:  # fewer donors than k
-                pad = k - top_i.shape[1]
-                top_i = np.pad(top_i, ((0, 0), (0, pad)), constant_values=-1)
-                top_d = np.pad(top_d, ((0, 0), (0, pad)), constant_values=np.inf)
-            yield start + rows, top_i, top_d, j
-
-
-def _knn_full(cols: list[str], k: int, keep: list[str]):
-    """cogroup function for one donor chunk: returns receivers with cells filled."""
-    def fn(key, recv, donors):
-        if recv.empty:
-            return recv[[*keep, *cols]]
-        donors = _order_donors(donors)
-        D = donors[cols].to_numpy(dtype=float)
-        R = recv[cols].to_numpy(dtype=float)
-        out = R.copy()
-        means = recv[[f"_m{i}" for i in range(len(cols))]].iloc[0].to_numpy(dtype=float)
-        for rows, top_i, _, j in _knn_blocks(R, D, k):
-            ok = top_i >= 0
-            vals = np.where(ok, D[np.where(ok, top_i, 0), j], 0.0)
-            n = ok.sum(axis=1)
-            with np.errstate(invalid="ignore", divide="ignore"):
-                out[rows, j] = np.where(n > 0, vals.sum(axis=1) / np.maximum(n, 1), means[j])
-        res = recv[keep].copy()
-        for j, c in enumerate(cols):
-            res[c] = out[:, j]
-        return res
-    return fn
+def _nearest(dist: np.ndarray, k: int) -> np.ndarray:
+    """Mask of the k smallest finite entries of each row, the leftmost of ties:
+    a partition finds the k-th value, only entries equal to it need an order."""
+    if dist.shape[1] > k:
+        kth = np.partition(dist, k - 1, axis=1)[:, k - 1:k]
+        below, tied = dist < kth, dist == kth
+        need = k - below.sum(axis=1, keepdims=True)
+        return (below | (tied & (np.cumsum(tied, axis=1) <= need))) & np.isfinite(dist)
+    return np.isfinite(dist)
 
 
 def _knn_partial(cols: list[str], k: int):
-    """cogroup function for many donor chunks: emit per-cell top-k candidates."""
+    """cogroup function: the k nearest donors of one chunk for each missing cell
+    of one slice. Donors are sorted by (ISO3, YEAR), so ties resolve by donor key."""
     def fn(key, recv, donors):
         parts = []
         if not recv.empty and not donors.empty:
             donors = _order_donors(donors)
             D = donors[cols].to_numpy(dtype=float)
             R = recv[cols].to_numpy(dtype=float)
-            for rows, top_i, top_d, j in _knn_blocks(R, D, k):
-                r_idx, slot = np.nonzero(top_i >= 0)
-                d_idx = top_i[r_idx, slot]
-                parts.append(pd.DataFrame({
-                    "ISO3": recv["ISO3"].to_numpy()[rows[r_idx]],
-                    "YEAR": recv["YEAR"].to_numpy()[rows[r_idx]].astype("int32"),
-                    "J": np.full(len(r_idx), j, dtype="int32"),
-                    "DD": top_d[r_idx, slot],
-                    "D_ISO3": donors["ISO3"].to_numpy()[d_idx],
-                    "D_YEAR": donors["YEAR"].to_numpy()[d_idx].astype("int32"),
-                    "V": D[d_idx, j]}))
+            present = ~np.isnan(D)
+            d_iso, d_year = donors["ISO3"].to_numpy(), donors["YEAR"].to_numpy().astype("int32")
+            r_iso, r_year = recv["ISO3"].to_numpy(), recv["YEAR"].to_numpy().astype("int32")
+            for start in range(0, len(R), _BLOCK):
+                block = R[start:start + _BLOCK]
+                dist = _sq_dist(block, D)
+                dist[np.isnan(dist)] = np.inf
+                for j in range(R.shape[1]):
+                    rows, cand = np.flatnonzero(np.isnan(block[:, j])), np.flatnonzero(present[:, j])
+                    if not rows.size or not cand.size:
+                        continue
+                    sub = dist[np.ix_(rows, cand)]
+                    r, c = np.nonzero(_nearest(sub, k))
+                    at, d = start + rows[r], cand[c]
+                    parts.append(pd.DataFrame({
+                        "ISO3": r_iso[at], "YEAR": r_year[at], "J": np.full(len(r), j, dtype="int32"), "DD": sub[r, c],
+                        "D_ISO3": d_iso[d], "D_YEAR": d_year[d], "V": D[d, j]}))
         if parts:
             return pd.concat(parts, ignore_index=True)
         return pd.DataFrame({c: pd.Series(dtype=t) for c, t in [
@@ -216,83 +172,59 @@ _PARTIAL_SCHEMA = StructType([
 ])
 
 
-def knn_impute(wide: DataFrame, k: int = IMPUTE.knn_neighbors, cols: list[str] | None = None,
-               slices: int | None = None, donor_chunks: int | None = 1) -> DataFrame:
-    """Exact k-NN imputation of the indicator columns; keys and other
-    columns pass through. Complete rows never enter the Python side.
-
-    ``donor_chunks=None`` sizes the chunks from a donor count (one small job).
-    """
-    spark = wide.sparkSession
+def _fill(wide: DataFrame, k: int, cols: list[str] | None, block: list[str],
+          receivers_per_task: int, donors_per_task: int) -> DataFrame:
     orig = wide
     cols0 = [c for c in (cols or INDICATOR_IDS) if c in wide.columns]
     wide, cols = _safe_names(wide, cols0)
     keep = [c for c in wide.columns if c not in cols]
-    slices = slices or _default_slices(spark)
     means = _column_means(wide, cols)
-
     any_null = _any(cols, lambda c: c.isNull())
     any_val = _any(cols, lambda c: c.isNotNull())
-    base = wide.select(*keep, *[qcol(c).alias(c) for c in cols])
+    blocks = [f"_b{i}" for i in range(len(block))]
+    base = wide.select("*", *[F.col(c).alias(b) for b, c in zip(blocks, block)])
+    # Slices and chunks of a block from its counts: one row per block, joined by key.
+    pieces = lambda n, size: F.greatest(F.lit(1), F.ceil(n / size)).cast("bigint")
+    sizes = base.groupBy(*blocks).agg(
+        pieces(F.count_if(any_null), receivers_per_task).alias("_slices"),
+        pieces(F.count_if(any_val), donors_per_task).alias("_chunks"))
+    if not blocks:
+        n = sizes.first()
+        sized = base.withColumns({"_slices": F.lit(n["_slices"]), "_chunks": F.lit(n["_chunks"])})
+    else:
+        sized = base.join(sizes, blocks)  # a null block has no donors and falls back to the means
+    every = lambda c: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(c) - 1))
+    recv = (sized.where(any_null).withColumn("_slice", F.pmod(F.xxhash64("ISO3", "YEAR"), F.col("_slices")))
+            .withColumn("_chunk", every("_chunks")).select(*blocks, "_slice", "_chunk", *KEYS, *cols))
     # Fresh aliases: both cogroup sides derive from one plan and must not share attributes.
-    donors = base.where(any_val).select(*[qcol(c).alias(c) for c in ["ISO3", "YEAR", *cols]])
-    if donor_chunks is None:
-        donor_chunks = max(1, math.ceil(donors.count() / MAX_DONORS_PER_TASK))
-    chunk = (F.pmod(F.xxhash64("ISO3", "YEAR", F.lit(7)), F.lit(donor_chunks))
-             if donor_chunks > 1 else F.lit(0).cast("long"))
-    recv = (base.where(any_null)
-            .withColumns({f"_m{i}": m for i, m in enumerate(means)})
-            .withColumn("_slice", F.pmod(F.xxhash64("ISO3", "YEAR"), F.lit(slices))))
-    complete = base.where(~any_null)
-
-    if donor_chunks == 1:
-        dons = donors.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)).cast("array<bigint>")))
-        schema = StructType([wide.schema[c] for c in keep] + [StructField(c, DoubleType()) for c in cols])
-        filled = (recv.groupBy("_slice").cogroup(dons.groupBy("_slice"))
-                  .applyInPandas(_knn_full(cols, k, keep), schema))
-        return _restore(complete.unionByName(filled), orig, cols0)
-
-    recv_c = recv.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(donor_chunks - 1)).cast("array<bigint>")))
-    dons = (donors.withColumn("_chunk", chunk)
-            .withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)).cast("array<bigint>"))))
-    part = (recv_c.select("ISO3", "YEAR", "_slice", "_chunk", *cols)
-            .groupBy("_slice", "_chunk").cogroup(dons.groupBy("_slice", "_chunk"))
-            .applyInPandas(_knn_partial(cols, k), _PARTIAL_SCHEMA))
+    dons = (sized.where(any_val).select(*[F.col(c).alias(c) for c in [*blocks, "_slices", "_chunks", *KEYS, *cols]])
+            .withColumn("_chunk", F.pmod(F.xxhash64("ISO3", "YEAR", F.lit(7)), F.col("_chunks")))
+            .withColumn("_slice", every("_slices")))
+    group = [*blocks, "_slice", "_chunk"]
+    part = recv.groupBy(*group).cogroup(dons.groupBy(*group)).applyInPandas(_knn_partial(cols, k), _PARTIAL_SCHEMA)
     w = Window.partitionBy("ISO3", "YEAR", "J").orderBy("DD", "D_ISO3", "D_YEAR")
     top = (part.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
            .groupBy("ISO3", "YEAR").pivot("J", list(range(len(cols)))).agg(F.avg("V")))
-    filled = recv.join(top, ["ISO3", "YEAR"], "left").select(
-        *keep, *[F.coalesce(qcol(c), F.col(f"`{i}`"), F.col(f"_m{i}")).alias(c)
-                 for i, c in enumerate(cols)])
-    return _restore(complete.unionByName(filled), orig, cols0)
-
+    filled = wide.where(any_null).join(top, KEYS, "left").select(
+        *keep, *[F.coalesce(qcol(c), F.col(f"`{i}`"), means[i]).alias(c) for i, c in enumerate(cols)])
+    return _restore(wide.where(~any_null).unionByName(filled), orig, cols0)
 
-def knn_impute_blocked(wide: DataFrame, block: str = "REGION", k: int = IMPUTE.knn_neighbors,
-                       cols: list[str] | None = None) -> DataFrame:
-    """I1b (approximate): donors are restricted to rows sharing ``block``.
 
-    Equivalent to running :func:`knn_impute` independently per block value
-    (the column-mean fallback stays global). Use when one chunk per block
-    fits a task and cross-block neighbours may be ignored.
-    """
-    spark = wide.sparkSession
-    orig = wide
-    cols0 = [c for c in (cols or INDICATOR_IDS) if c in wide.columns]
-    wide, cols = _safe_names(wide, cols0)
-    means = _column_means(wide, cols)
-    any_null = _any(cols, lambda c: c.isNull())
-    any_val = _any(cols, lambda c: c.isNotNull())
-    keep = [c for c in wide.columns if c not in cols]
-    base = wide.select(*keep, F.col(block).alias("_blk"), *[qcol(c).alias(c) for c in cols])
-    slices = _default_slices(spark)
-    recv = (base.where(any_null).withColumns({f"_m{i}": m for i, m in enumerate(means)})
-            .withColumn("_slice", F.pmod(F.xxhash64("ISO3", "YEAR"), F.lit(slices))))
-    dons = (base.where(any_val).select(*[qcol(c).alias(c) for c in ["_blk", "ISO3", "YEAR", *cols]])
-            .withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)).cast("array<bigint>"))))
-    schema = StructType([wide.schema[c] for c in keep] + [StructField(c, DoubleType()) for c in cols])
-    filled = (recv.groupBy("_blk", "_slice").cogroup(dons.groupBy("_blk", "_slice"))
-              .applyInPandas(_knn_full(cols, k, keep), schema))
-    return _restore(base.where(~any_null).drop("_blk").unionByName(filled), orig, cols0)
+def knn_impute(wide: DataFrame, k: int = IMPUTE.knn_neighbors, cols: list[str] | None = None,
+               receivers_per_task: int = RECEIVERS_PER_TASK, donors_per_task: int = DONORS_PER_TASK) -> DataFrame:
+    """Exact k-NN imputation of the indicator columns; keys and other
+    columns pass through. Complete rows never enter the Python side."""
+    return _fill(wide, k, cols, [], receivers_per_task, donors_per_task)
+
+
+def knn_impute_blocked(wide: DataFrame, block: str | list[str] = "REGION", k: int = IMPUTE.knn_neighbors,
+                       cols: list[str] | None = None, receivers_per_task: int = RECEIVERS_PER_TASK,
+                       donors_per_task: int = DONORS_PER_TASK) -> DataFrame:
+    """I1b (approximate): donors are restricted to rows that share the ``block``
+    columns (one or several, e.g. region and year), so the work grows with the
+    sum of the squared block sizes. The column-mean fallback stays global."""
+    blocks = [block] if isinstance(block, str) else list(block)
+    return _fill(wide, k, cols, blocks, receivers_per_task, donors_per_task)
 
 
 # ---------------------------------------------------------------- I3 / I4

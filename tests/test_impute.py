@@ -67,7 +67,7 @@ def test_knn_matches_brute_force(spark):
 def test_knn_chunked_equals_single(spark):
     df, rows = fixture(spark, n=60, seed=5)
     a = as_map(I.knn_impute(df, cols=COLS))
-    b = as_map(I.knn_impute(df, cols=COLS, donor_chunks=4, slices=3))
+    b = as_map(I.knn_impute(df, cols=COLS, receivers_per_task=20, donors_per_task=15))
     close(a, b)
     close(a, brute_knn(rows))
 
@@ -75,6 +75,20 @@ def test_knn_chunked_equals_single(spark):
 def test_knn_blocked_matches_brute_force(spark):
     df, rows = fixture(spark, seed=7)
     close(as_map(I.knn_impute_blocked(df, block="REGION", cols=COLS)), brute_knn(rows, block=2))
+    small = I.knn_impute_blocked(df, block=["REGION"], cols=COLS, receivers_per_task=3, donors_per_task=4)
+    close(as_map(small), brute_knn(rows, block=2))
+
+
+def test_nearest_breaks_ties_by_position():
+    rng = np.random.default_rng(4)
+    d = rng.integers(0, 4, (50, 30)).astype(float)
+    d[rng.random(d.shape) < 0.3] = np.inf
+    d[0] = np.inf
+    for k in (1, 5, 30, 40):
+        got = I._nearest(d, k)
+        for row, mask in zip(d, got):
+            want = [i for i in np.argsort(row, kind="stable")[:k] if np.isfinite(row[i])]
+            assert sorted(want) == np.flatnonzero(mask).tolist()
 
 
 def test_knn_keeps_passthrough_columns(spark):
@@ -198,6 +212,6 @@ def test_knn_supplier_entities_brute_force(spark):
     rows = [tuple(r) for r in w.collect()]
     ref = brute_knn(rows)
     got = {(r["ISO3"], r["YEAR"]): np.array([r[c] for c in cols], dtype=float)
-           for r in I.knn_impute(w, donor_chunks=2, slices=3).collect()}
+           for r in I.knn_impute(w, receivers_per_task=20, donors_per_task=20).collect()}
     assert len(rows) > 20
     close(got, ref)
