@@ -180,7 +180,7 @@ def _write(content, folder: str, end_id: int):
         for part in chunks(batches, "text"):
             if writer is None:
                 files.create_dir(path, recursive=True)
-                out = files.open_output_stream(f"{path}/{name}")
+                out = files.open_output_stream(f"{path}/{name}", compression=None)
                 writer = FileWriter(out)
             for doc_id, raw in zip(part.column("id").to_pylist(), blobs(part.column("text"))):
                 ids = encoder.encode(raw.decode("utf-8", "replace")) + end
