@@ -5,17 +5,20 @@ Plan:
    (at most one row per catalogue indicator, so it is broadcast back); the
    feature vector is [VALUE_NORM, YEAR_NORM, one-hot REGION].
 2. N3: every (indicator, tree) draws up to ``max_samples`` rows without
-   replacement: the rows with the smallest seeded hash. ``row_number <= 256``
-   is planned with a partial group limit before the shuffle, so the shuffle
-   carries at most 256 rows per (map task, indicator, tree). Each tree is
-   grown in ``applyInPandas`` on its <= 256 rows.
+   replacement: the rows with the smallest seeded hash. A row is paired with a
+   tree only if its hash lies below a bound that lets ``SAMPLE_MARGIN`` times the
+   sample through on average, so a row meets few trees however large the table;
+   ``row_number <= 256`` then takes the sample (with a partial group limit before
+   the shuffle). Sample sizes are checked and drawn without the bound if one
+   falls short. Each tree is grown in ``applyInPandas`` on its <= 256 rows.
 3. The forest (<= indicators x trees x (2 * 256 - 1) nodes, independent of
    data size) is collected once and broadcast as a model.
 4. N4: ``mapInPandas`` scores every eligible row against all trees.
 5. N5: the contamination cut-off is the exact linear-interpolated quantile of
-   the (6-decimal) scores, computed from a per-indicator histogram of score
-   values (<= 10^6 distinct values per indicator), so no group collects its
-   raw values. Rows scoring strictly below the cut-off are anomalies.
+   the unrounded scores. A histogram of 6-decimal scores (<= 10^6 values per
+   indicator) finds the one or two bins that hold the order statistics; only
+   their scores are then ordered exactly. Rows scoring strictly below the
+   cut-off are anomalies; the stored score is rounded to 6 decimals.
 """
 
 from __future__ import annotations
@@ -37,6 +40,7 @@ from indicast.session import materialize
 
 REGIONS = sorted({r for _, r, _ in COUNTRIES})
 SCORE_DIGITS = 6
+SAMPLE_MARGIN = 3.0
 _EULER = 0.5772156649015329
 
 
@@ -60,10 +64,10 @@ def _norm(c: str, lo: str, hi: str):
 
 
 def build_features(long: DataFrame, min_samples: int = ANOMALY.min_samples) -> DataFrame:
-    """Eligible rows with VALUE_NORM, YEAR_NORM, one-hot REGION and
-    the FEATURES array. Regions use the dimension's sorted region list (a
-    region absent from an indicator is a constant zero column, which the tree
-    builder never splits on)."""
+    """Eligible rows with VALUE_NORM, YEAR_NORM, one-hot REGION (see
+    :func:`feature_columns`) and N_ROWS, the indicator's number of eligible rows.
+    Regions use the dimension's sorted region list (a region absent from an
+    indicator is a constant zero column, which the tree builder never splits on)."""
     stats = F.broadcast(feature_stats(long, min_samples))  # <= 11 rows
     valid = long.where(F.col("VALUE").isNotNull() & F.col("YEAR").isNotNull())
     j = valid.join(stats, "INDICATOR_ID", "inner")
@@ -72,9 +76,15 @@ def build_features(long: DataFrame, min_samples: int = ANOMALY.min_samples) -> D
     has_region = "REGION" in long.columns
     onehot = ([(F.col("REGION") == r).cast("double").alias(f"REGION_{i}") for i, r in enumerate(REGIONS)]
               if has_region else [])
-    out = j.select(*long.columns, *numeric, *onehot)
-    feats = ["VALUE_NORM", "YEAR_NORM"] + [f"REGION_{i}" for i in range(len(onehot))]
-    return out.withColumn("FEATURES", F.array(*[F.coalesce(F.col(c), F.lit(0.0)) for c in feats]))
+    return j.select(*long.columns, *numeric, *onehot, F.col("N").alias("N_ROWS"))
+
+
+def feature_columns(features: DataFrame) -> list[str]:
+    return ["VALUE_NORM", "YEAR_NORM"] + [c for c in (f"REGION_{i}" for i in range(len(REGIONS))) if c in features.columns]
+
+
+def _matrix(pdf: pd.DataFrame, names: list[str]) -> np.ndarray:
+    return np.nan_to_num(pdf[names].to_numpy(dtype=float))  # an unknown region is in no one-hot column
 
 
 # ---------------------------------------------------------------- N3
@@ -100,11 +110,11 @@ _TREE_SCHEMA = StructType([
 TREES_PER_TASK = 10
 
 
-def _grow_trees(seed: int):
+def _grow_trees(seed: int, names: list[str]):
     """Grow every tree of one (indicator, tree block) group; each tree's rows
     are its own <= max_samples sample, so a group holds at most
     TREES_PER_TASK x max_samples rows."""
-    one = _grow_tree(seed)
+    one = _grow_tree(seed, names)
 
     def fn(key, pdf):
         parts = [one((key[0], t), g) for t, g in pdf.groupby("TREE", sort=True)]
@@ -113,11 +123,11 @@ def _grow_trees(seed: int):
     return fn
 
 
-def _grow_tree(seed: int):
+def _grow_tree(seed: int, names: list[str]):
     def fn(key, pdf):
         ind, tree = key[0], int(key[1])
-        pdf = pdf.sort_values("_h", kind="mergesort")
-        X = np.array(pdf["FEATURES"].tolist(), dtype=float)
+        pdf = pdf.sort_values(["_h", "_row"], kind="mergesort")
+        X = _matrix(pdf, names)
         psi = len(pdf)  # min(n, max_samples): the sample is the whole group
         max_depth = int(math.ceil(math.log2(max(psi, 2))))
         rng = np.random.default_rng([seed, zlib.crc32(ind.encode()), tree])
@@ -150,19 +160,37 @@ def _grow_tree(seed: int):
 
 
 def fit_forest(features: DataFrame, n_trees: int = ANOMALY.n_trees,
-               max_samples: int = ANOMALY.max_samples, seed: int = ANOMALY.seed) -> DataFrame:
-    """Grow ``n_trees`` isolation trees per indicator; returns node rows."""
-    h = F.xxhash64(F.lit(seed), F.col("TREE"), F.col("INDICATOR_ID"), F.col("ISO3"),
-                   F.col("YEAR"), F.col("VALUE"))
-    w = Window.partitionBy("INDICATOR_ID", "TREE").orderBy("_h")
-    sample = (features.select("INDICATOR_ID", "ISO3", "YEAR", "VALUE", "FEATURES")
-              .withColumn("TREE", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))))
-              .withColumn("_h", h)
+               max_samples: int = ANOMALY.max_samples, seed: int = ANOMALY.seed,
+               margin: float | None = SAMPLE_MARGIN) -> DataFrame:
+    """Grow ``n_trees`` isolation trees per indicator; returns node rows.
+    ``margin=None`` draws the samples without the bound on the hash."""
+    names = feature_columns(features)
+    row = F.xxhash64(F.lit(seed), "INDICATOR_ID", "ISO3", "YEAR", "VALUE")
+    # Share of the rows that may meet a tree, as a bound on a 40-bit hash.
+    share = F.least(F.lit(1.0), F.lit((margin or 0.0) * max_samples) / F.col("N_ROWS")) if margin else F.lit(1.0)
+    trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
+    near = F.filter(trees, lambda t: F.xxhash64("_row", t).bitwiseAND(F.lit((1 << 40) - 1)) < F.col("_bound"))
+    w = Window.partitionBy("INDICATOR_ID", "TREE").orderBy("_h", "_row")
+    sample = (features.withColumns({"_row": row, "_bound": (share * float(1 << 40)).cast("bigint")})
+              .select("INDICATOR_ID", "_row", *names, F.explode(near).alias("TREE"))
+              .withColumn("_h", F.xxhash64("_row", "TREE").bitwiseAND(F.lit((1 << 40) - 1)))
               .withColumn("_rn", F.row_number().over(w))
               .where(F.col("_rn") <= max_samples)
-              .select("INDICATOR_ID", "TREE", (F.col("TREE") / TREES_PER_TASK).cast("int").alias("_blk"),
-                      "_h", "FEATURES"))
-    return sample.groupBy("INDICATOR_ID", "_blk").applyInPandas(_grow_trees(seed), _TREE_SCHEMA)
+              .select("INDICATOR_ID", "TREE", (F.col("TREE") / TREES_PER_TASK).cast("int").alias("_blk"), "_h", "_row", *names))
+    return sample.groupBy("INDICATOR_ID", "_blk").applyInPandas(_grow_trees(seed, names), _TREE_SCHEMA)
+
+
+def fit_model(features: DataFrame, n_trees: int = ANOMALY.n_trees, max_samples: int = ANOMALY.max_samples,
+              seed: int = ANOMALY.seed) -> dict:
+    """The collected forest. If some tree is missing or its sample fell short of
+    min(rows, ``max_samples``), all samples are drawn again without the bound."""
+    needed = {r["INDICATOR_ID"]: min(r["N_ROWS"], max_samples)
+              for r in features.select("INDICATOR_ID", "N_ROWS").distinct().collect()}  # <= 11 rows
+    model = collect_model(fit_forest(features, n_trees, max_samples, seed))
+    short = [i for i, n in needed.items() if i not in model or len(model[i][0]) < n_trees or min(model[i][1]) < n]
+    if short:
+        model = collect_model(fit_forest(features, n_trees, max_samples, seed, margin=None))
+    return model
 
 
 def collect_model(trees: DataFrame) -> dict:
@@ -175,7 +203,7 @@ def collect_model(trees: DataFrame) -> dict:
             leaf_len = t["DEPTH"].to_numpy(float) + np.array([_c(s) for s in t["SIZE"]])
             per_tree.append((t["FEAT"].to_numpy(), t["THRESH"].to_numpy(),
                              t["LEFT"].to_numpy(), t["RIGHT"].to_numpy(), leaf_len))
-        model[ind] = (per_tree, int(g["PSI"].iat[0]))
+        model[ind] = (per_tree, g[g["NODE"] == 0].sort_values("TREE")["PSI"].astype(int).tolist())
     return model
 
 
@@ -194,16 +222,20 @@ def _path_lengths(X: np.ndarray, tree) -> np.ndarray:
         node[idx] = np.where(go_left, left[node[idx]], right[node[idx]])
 
 
+RAW_SCORE = "_RAW_SCORE"
+
+
 def score_rows(features: DataFrame, model) -> DataFrame:
-    """ANOMALY_SCORE = -2^(-E[h(x)] / c(psi)), rounded to 6 decimals.
+    """The score -2^(-E[h(x)] / c(psi)), unrounded in ``_RAW_SCORE`` and
+    rounded to 6 decimals in ANOMALY_SCORE.
 
     ``model`` is the forest dict or a broadcast of it (the caller then owns
     the broadcast and may release it once the scores are materialised)."""
     spark = features.sparkSession
     bmodel = model if hasattr(model, "value") else spark.sparkContext.broadcast(model)
-    cols = [c for c in features.columns if c != "FEATURES"]
-    out_schema = StructType([features.schema[c] for c in cols]
-                            + [StructField("ANOMALY_SCORE", DoubleType())])
+    names = feature_columns(features)
+    cols = [c for c in features.columns if c not in (*names, "N_ROWS")]
+    out_schema = StructType([features.schema[c] for c in cols] + [StructField(RAW_SCORE, DoubleType())])
 
     def fn(batches):
         m = bmodel.value
@@ -211,44 +243,51 @@ def score_rows(features: DataFrame, model) -> DataFrame:
             if pdf.empty:
                 continue
             scores = np.full(len(pdf), np.nan)
+            X = _matrix(pdf, names)
             for ind, idx in pdf.groupby("INDICATOR_ID").indices.items():
                 trees, psi = m[ind]
-                X = np.array(pdf["FEATURES"].iloc[idx].tolist(), dtype=float)
-                depth = np.zeros(len(X))
+                depth = np.zeros(len(idx))
                 for tree in trees:
-                    depth += _path_lengths(X, tree)
-                denom = len(trees) * _c(psi)
+                    depth += _path_lengths(X[idx], tree)
+                denom = sum(map(_c, psi))
                 e = depth / denom if denom else np.ones_like(depth)
-                scores[idx] = np.round(-(2.0 ** (-e)), SCORE_DIGITS)
+                scores[idx] = -(2.0 ** (-e))
             out = pdf[cols].copy()
-            out["ANOMALY_SCORE"] = scores
+            out[RAW_SCORE] = scores
             yield out
 
-    return features.mapInPandas(fn, out_schema)
+    scored = features.select(*cols, *names).mapInPandas(fn, out_schema)
+    return scored.withColumn("ANOMALY_SCORE", F.round(RAW_SCORE, SCORE_DIGITS))
 
 
 # ---------------------------------------------------------------- N5
 
-def quantile_thresholds(scored: DataFrame, q: float = ANOMALY.contamination) -> DataFrame:
-    """Exact quantile (linear interpolation) of ANOMALY_SCORE per indicator.
+def quantile_thresholds(scored: DataFrame, q: float = ANOMALY.contamination, col: str = "ANOMALY_SCORE") -> DataFrame:
+    """Exact quantile (linear interpolation) of ``col`` per indicator.
 
-    Histogram of score values -> running counts per indicator (bounded by the
-    number of distinct 6-decimal scores) -> the two order statistics around
-    position q * (n - 1)."""
-    hist = scored.groupBy("INDICATOR_ID", "ANOMALY_SCORE").agg(F.count(F.lit(1)).alias("_c"))
-    w = (Window.partitionBy("INDICATOR_ID").orderBy("ANOMALY_SCORE")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    A histogram of ``col`` to 6 decimals gives running counts per indicator
+    (bounded by the number of bins) and the bins of the two order statistics
+    around position q * (n - 1); the distinct values of those bins are then
+    counted and ordered exactly. No group collects its rows."""
+    binned = scored.select("INDICATOR_ID", F.col(col).alias("_v"), F.round(col, SCORE_DIGITS).alias("_bin"))
+    hist = binned.groupBy("INDICATOR_ID", "_bin").agg(F.count(F.lit(1)).alias("_c"))
     n = hist.groupBy("INDICATOR_ID").agg(F.sum("_c").alias("_n"))
     pos = F.lit(q) * (F.col("_n") - 1)
     k0 = F.floor(pos)
     k1 = F.least(k0 + 1, F.col("_n") - 1)
-    ranked = (hist.withColumn("_hi", F.sum("_c").over(w))
-              .withColumn("_lo", F.col("_hi") - F.col("_c"))
-              .join(F.broadcast(n), "INDICATOR_ID"))
-    within = lambda k: (F.col("_lo") <= k) & (k < F.col("_hi"))
-    t = ranked.groupBy("INDICATOR_ID", "_n").agg(
-        F.max(F.when(within(k0), F.col("ANOMALY_SCORE"))).alias("_v0"),
-        F.max(F.when(within(k1), F.col("ANOMALY_SCORE"))).alias("_v1"),
+    within = lambda k: (F.col("_hi") - F.col("_c") <= k) & (k < F.col("_hi"))
+    upto = lambda *by: Window.partitionBy("INDICATOR_ID").orderBy(*by).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    bins = (hist.withColumn("_hi", F.sum("_c").over(upto("_bin"))).join(F.broadcast(n), "INDICATOR_ID")
+            .where(within(k0) | within(k1))
+            .select("INDICATOR_ID", "_bin", "_n", (F.col("_hi") - F.col("_c")).alias("_before")))
+    exact = (binned.join(F.broadcast(bins), ["INDICATOR_ID", "_bin"])  # at most two bins an indicator
+             .groupBy("INDICATOR_ID", "_bin", "_n", "_before", "_v").agg(F.count(F.lit(1)).alias("_c"))
+             .withColumn("_hi", F.col("_before") + F.sum("_c").over(
+                 Window.partitionBy("INDICATOR_ID", "_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))))
+    t = exact.groupBy("INDICATOR_ID", "_n").agg(
+        F.max(F.when(within(k0), F.col("_v"))).alias("_v0"),
+        F.max(F.when(within(k1), F.col("_v"))).alias("_v1"),
         F.first(pos - k0).alias("_frac"))
     return t.select("INDICATOR_ID",
                     (F.col("_v0") + F.col("_frac") * (F.col("_v1") - F.col("_v0"))).alias("THRESHOLD"))
@@ -263,15 +302,14 @@ def detect_anomalies(long: DataFrame, n_trees: int = ANOMALY.n_trees,
     """The input rows plus ANOMALY_SCORE (NULL when not scored) and
     IS_ANOMALY (false when not scored)."""
     feats = build_features(long, min_samples)
-    trees = fit_forest(feats, n_trees, max_samples, seed)
-    bmodel = long.sparkSession.sparkContext.broadcast(collect_model(trees))
+    bmodel = long.sparkSession.sparkContext.broadcast(fit_model(feats, n_trees, max_samples, seed))
     # Scores feed both the cut-off and the row flags: compute them once; the
     # materialised scores no longer need the model, so its broadcast is freed.
-    scored = materialize(score_rows(feats, bmodel).select(*long.columns, "ANOMALY_SCORE"))
+    scored = materialize(score_rows(feats, bmodel).select(*long.columns, RAW_SCORE, "ANOMALY_SCORE"))
     bmodel.unpersist()
-    thr = F.broadcast(quantile_thresholds(scored, contamination))  # <= 11 rows
+    thr = F.broadcast(quantile_thresholds(scored, contamination, RAW_SCORE))  # <= 11 rows
     flagged = (scored.join(thr, "INDICATOR_ID", "left")
-               .withColumn("IS_ANOMALY", F.coalesce(F.col("ANOMALY_SCORE") < F.col("THRESHOLD"), F.lit(False)))
+               .withColumn("IS_ANOMALY", F.coalesce(F.col(RAW_SCORE) < F.col("THRESHOLD"), F.lit(False)))
                .select(*long.columns, "ANOMALY_SCORE", "IS_ANOMALY"))
     eligible = F.broadcast(feature_stats(long, min_samples).select("INDICATOR_ID", F.lit(True).alias("_ok")))
     rest = (long.join(eligible, "INDICATOR_ID", "left")
@@ -305,5 +343,5 @@ def anomaly_report(scored: DataFrame) -> DataFrame:
             .orderBy("ANOMALY_SCORE", "INDICATOR_ID", "ISO3", "YEAR"))
 
 
-__all__ = ["build_features", "fit_forest", "collect_model", "score_rows", "quantile_thresholds",
+__all__ = ["build_features", "feature_columns", "fit_forest", "fit_model", "collect_model", "score_rows", "quantile_thresholds",
            "detect_anomalies", "anomaly_summary", "anomaly_report", "REGIONS"]

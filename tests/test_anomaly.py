@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from indicast.operators import anomaly as A
 from indicast.plans import stages as S
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 
 @pytest.fixture(scope="module")
@@ -35,13 +35,22 @@ def test_scores_in_range_and_unscored_rows(scored, harmonized):
     assert nulls.where(F.col("ANOMALY_SCORE").isNotNull() | F.col("IS_ANOMALY")).count() == 0
 
 
-def test_flag_share_and_threshold(scored):
-    pdf = scored.where(F.col("ANOMALY_SCORE").isNotNull()).toPandas()
-    for ind, g in pdf.groupby("INDICATOR_ID"):
-        thr = np.percentile(g["ANOMALY_SCORE"].to_numpy(), 5)
-        expect = (g["ANOMALY_SCORE"] < thr).sum()
-        assert g["IS_ANOMALY"].sum() == expect
-        assert g["IS_ANOMALY"].sum() <= 0.05 * len(g) + 1
+def test_flag_share_and_threshold(harmonized, scored):
+    feats = A.build_features(harmonized)
+    raw = A.score_rows(feats, A.fit_model(feats, n_trees=30)).toPandas()
+    flags = scored.where(F.col("IS_ANOMALY")).groupBy("INDICATOR_ID").count().toPandas().set_index("INDICATOR_ID")["count"]
+    for ind, g in raw.groupby("INDICATOR_ID"):
+        v = g[A.RAW_SCORE].to_numpy()
+        assert flags.get(ind, 0) == (v < np.percentile(v, 5)).sum() <= 0.05 * len(v) + 1
+        assert (np.round(v, 6) == g["ANOMALY_SCORE"]).all()
+
+
+def test_short_samples_are_drawn_again(harmonized, monkeypatch):
+    feats = A.build_features(harmonized)
+    whole = A.collect_model(A.fit_forest(feats, n_trees=4, margin=None))
+    monkeypatch.setattr(A.fit_forest, "__defaults__", (*A.fit_forest.__defaults__[:-1], 0.02))
+    model = A.fit_model(feats, n_trees=4)
+    assert {i: psi for i, (_, psi) in model.items()} == {i: psi for i, (_, psi) in whole.items()}
 
 
 def test_threshold_matches_numpy(spark):
@@ -50,6 +59,10 @@ def test_threshold_matches_numpy(spark):
     df = spark.createDataFrame([("X", float(v)) for v in vals], "INDICATOR_ID string, ANOMALY_SCORE double")
     thr = A.quantile_thresholds(df).first()["THRESHOLD"]
     assert math.isclose(thr, np.percentile(vals, 5), abs_tol=1e-12)
+    close = np.concatenate([vals, vals[:60] + 1e-8, vals[:20]])  # several values in one bin, and ties
+    df = spark.createDataFrame([("X", float(v)) for v in close], "INDICATOR_ID string, S double")
+    thr = A.quantile_thresholds(df, 0.31, "S").first()["THRESHOLD"]
+    assert math.isclose(thr, np.percentile(close, 31), abs_tol=1e-13)
 
 
 def test_deterministic_across_partitionings(harmonized):
