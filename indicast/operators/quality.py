@@ -17,8 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from indicast.functions.scalars import strip_ws
-from indicast.schema import GPI_IDS, INDICATOR_IDS, QA, catalogue_df
+from indicast.functions.scalars import is_gpi, pct, range_hi, range_lo, strip_ws
+from indicast.schema import INDICATOR_IDS, QA, catalogue_df
 
 KEY = ["INDICATOR_ID", "ISO3", "YEAR"]
 
@@ -33,21 +33,15 @@ DETAIL_YEAR = f"YEAR outside [{QA.year_min}, {QA.year_max}]"
 DETAIL_ISO3 = "ISO3 is null or empty"
 
 
-def _is_gpi() -> Column:
-    return F.col("INDICATOR_ID").isin(*GPI_IDS)
-
-
 def range_violation() -> Column:
     """C1 predicate: bounds inclusive, NULL value or NULL id never flagged;
     ids outside the parity set (including unknown ids) are rates."""
-    lo = F.when(_is_gpi(), F.lit(QA.gpi_min)).otherwise(F.lit(QA.rate_min))
-    hi = F.when(_is_gpi(), F.lit(QA.gpi_max)).otherwise(F.lit(QA.rate_max))
-    v = F.col("VALUE")
-    return (F.col("INDICATOR_ID").isNotNull() & v.isNotNull() & ((v < lo) | (v > hi)))
+    v, ind = F.col("VALUE"), F.col("INDICATOR_ID")
+    return ind.isNotNull() & v.isNotNull() & ((v < range_lo(ind)) | (v > range_hi(ind)))
 
 
 def range_detail() -> Column:
-    bounds = (F.when(_is_gpi(), F.lit(f"{QA.gpi_min}, {QA.gpi_max}"))
+    bounds = (F.when(is_gpi("INDICATOR_ID"), F.lit(f"{QA.gpi_min}, {QA.gpi_max}"))
               .otherwise(F.lit(f"{QA.rate_min}, {QA.rate_max}")))
     return F.concat(F.lit("VALUE outside ["), bounds, F.lit("] for "), F.col("INDICATOR_ID"))
 
@@ -81,12 +75,20 @@ def check_missing_iso3(df: DataFrame) -> DataFrame:
     return _with_flag(df, iso3_violation(), FLAG_ISO3, DETAIL_ISO3)
 
 
-def key_stats(df: DataFrame) -> DataFrame:
+def key_stats(df: DataFrame, flags: bool = False) -> DataFrame:
     """Rows and non-null values per (INDICATOR_ID, ISO3, YEAR): one partial/final
     aggregate whose size is the number of distinct keys, not the input size.
-    The duplicate rule and the missing-rate rule both read it, so a plan that
-    uses both scans the input once for it (the exchange is reused)."""
-    return df.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n"), F.count("VALUE").alias("_nv"))
+    With ``flags`` also the number of row flags of the key's rows (``_nf``): the
+    rules other than the duplicate rule are counted where the rows are, that
+    one follows from the key's row count."""
+    aggs = [F.count(F.lit(1)).alias("_n"), F.count("VALUE").alias("_nv")]
+    if flags:
+        rules = [range_violation(), year_violation(), iso3_violation()]
+        aggs.append(sum((F.count_if(r) for r in rules[1:]), F.count_if(rules[0])).alias("_nr"))
+    out = df.groupBy(*KEY).agg(*aggs)
+    if not flags:
+        return out
+    return out.withColumn("_nf", F.col("_nr") + F.when(F.col("_n") > 1, F.col("_n")).otherwise(0)).drop("_nr")
 
 
 def _mark_duplicates(df: DataFrame) -> DataFrame:
@@ -105,9 +107,10 @@ def check_duplicates(df: DataFrame) -> DataFrame:
     return _with_flag(_mark_duplicates(df), F.col("_DUP"), FLAG_DUP, DETAIL_DUP).drop("_DUP")
 
 
-def missing_rate(df: DataFrame) -> DataFrame:
+def missing_rate(df: DataFrame, flags: bool = False) -> DataFrame:
     """Per catalogue indicator: N_VALID, expected grid (#distinct ISO3 x
-    #distinct YEAR over the whole table, NULLs not counted), unrounded missing %.
+    #distinct YEAR over the whole table, NULLs not counted), unrounded missing %;
+    with ``flags`` also the number of its row flags (ROW_FLAGS).
 
     Computed from ``key_stats`` with one ``rollup``: the per-indicator rows
     give N_VALID, the grand-total row gives the grid. Every catalogue id is
@@ -116,13 +119,15 @@ def missing_rate(df: DataFrame) -> DataFrame:
     most 12 rows (catalogue ids + total)."""
     spark = df.sparkSession
     cat = catalogue_df(spark)
+    zero = lambda name: F.lit(0).cast("bigint").alias(name)
+    extra = ["_nf"] if flags else []
     seed = cat.select("INDICATOR_ID", F.lit(None).cast("string").alias("ISO3"),
-                      F.lit(None).cast("int").alias("YEAR"), F.lit(0).cast("bigint").alias("_n"),
-                      F.lit(0).cast("bigint").alias("_nv"))
-    ks = key_stats(df).unionByName(seed)
+                      F.lit(None).cast("int").alias("YEAR"), *[zero(n) for n in ["_n", "_nv", *extra]])
+    ks = key_stats(df, flags).unionByName(seed)
     r = (ks.rollup("INDICATOR_ID")
          .agg(F.sum("_nv").alias("N_VALID"), F.count_distinct("ISO3").alias("_ni"),
-              F.count_distinct("YEAR").alias("_ny"), F.grouping_id().alias("_g"))
+              F.count_distinct("YEAR").alias("_ny"), F.grouping_id().alias("_g"),
+              *[F.sum(n).alias("ROW_FLAGS") for n in extra])
          .where((F.col("_g") == 1) | F.col("INDICATOR_ID").isin(*INDICATOR_IDS)))
     r = r.withColumn("N_EXPECTED", F.max(F.when(F.col("_g") == 1, F.col("_ni") * F.col("_ny")))
                      .over(Window.partitionBy())).where(F.col("_g") == 0)
@@ -133,6 +138,7 @@ def missing_rate(df: DataFrame) -> DataFrame:
         expected.cast("bigint").alias("N_EXPECTED"), F.col("N_VALID").cast("bigint").alias("N_VALID"),
         F.when(expected > 0, (F.lit(1.0) - F.col("N_VALID") / expected) * 100.0)
         .otherwise(F.lit(0.0)).alias("MISS_PCT_RAW"),
+        *(["ROW_FLAGS"] if flags else []),
     )
 
 
@@ -142,8 +148,9 @@ def check_missing_rate(df: DataFrame) -> DataFrame:
     return m.select(
         "INDICATOR_ID",
         F.lit(FLAG_MISSING).alias("QA_FLAG"),
+        # Halves go to the even digit, as in Python's formatting.
         F.format_string(f"%.1f%% missing (threshold {QA.max_missing_pct}%%)",
-                        F.col("MISS_PCT_RAW")).alias("QA_DETAIL"),
+                        F.bround("MISS_PCT_RAW", 1)).alias("QA_DETAIL"),
         F.lit("ALL").alias("ISO3"),
         F.lit(None).cast("int").alias("YEAR"),
         F.lit(None).cast("double").alias("VALUE"),
@@ -176,14 +183,15 @@ def qa_summary(df: DataFrame, flagged: DataFrame | None = None) -> DataFrame:
     """A3: N_EXPECTED, N_VALID, N_MISSING (floored), MISSING_PCT (round 2),
     N_FLAGGED, QA_STATUS (PASS / WARN_MISSING / FAIL / WARN_MISSING|FAIL)."""
     if flagged is None:
-        flagged = run_checks(df)
-    m = missing_rate(df)
-    n_flag = (flagged.where(F.col("INDICATOR_ID").isNotNull())
-              .groupBy("INDICATOR_ID").agg(F.count(F.lit(1)).alias("N_FLAGGED")))
-    j = m.join(n_flag, "INDICATOR_ID", "left")
+        # Counting needs no flag rows: one scan, one key aggregate, no join back.
+        high = (F.col("MISS_PCT_RAW") > QA.max_missing_pct).cast("bigint")
+        j = missing_rate(df, flags=True).withColumn("N_FLAGGED", F.col("ROW_FLAGS") + high)
+    else:
+        n_flag = (flagged.where(F.col("INDICATOR_ID").isNotNull())
+                  .groupBy("INDICATOR_ID").agg(F.count(F.lit(1)).alias("N_FLAGGED")))
+        j = missing_rate(df).join(n_flag, "INDICATOR_ID", "left")
     n_miss = F.col("N_EXPECTED") - F.col("N_VALID")
-    miss_pct = (F.when(F.col("N_EXPECTED") > 0, F.round(n_miss / F.col("N_EXPECTED") * 100.0, 2))
-                .otherwise(F.lit(0.0)))
+    miss_pct = pct(n_miss, F.col("N_EXPECTED"))
     n_flagged = F.coalesce(F.col("N_FLAGGED"), F.lit(0)).cast("bigint")
     warn = miss_pct > QA.max_missing_pct
     status = (F.when(warn & (n_flagged > 0), F.lit("WARN_MISSING|FAIL"))
