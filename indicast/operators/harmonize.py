@@ -60,22 +60,29 @@ def union_feeds(*feeds: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), feeds)
 
 
-def dedup_by_priority(df: DataFrame, order: list[str] | tuple = ("SOURCE",),
-                      value_nulls_last: bool = False, keys: list[str] = KEY) -> DataFrame:
+def dedup_by_priority(df: DataFrame, order: list[str] | tuple = ("SOURCE",), prefer_non_null: bool = False,
+                      keys: list[str] = KEY) -> DataFrame:
     """Keep the first row per key by ``order`` (ascending, NULLs last).
 
+    Readers supply (FILE, POS) so that the first record within a source wins.
+    Where ``order`` leaves a tie, a value wins over NULL, then the smaller
+    value, so a value is never lost to a NULL by accident. ``prefer_non_null``
+    puts that rule right after the first order column (the source).
+
     Implemented as ``min(struct(order..., payload...))`` per key: an aggregate
     with a map-side partial step instead of a window, so skewed keys are
-    pre-reduced before the shuffle. ``value_nulls_last`` appends
-    "VALUE NULLS LAST" to the order (needed when ``order`` is not unique).
+    pre-reduced before the shuffle.
     """
     order = list(order)
     payload = [c for c in df.columns if c not in keys]
     sort_fields = []
     for i, c in enumerate(order):
         sort_fields += [F.col(c).isNull().alias(f"_n{i}"), F.col(c).alias(f"_o{i}")]
-    if value_nulls_last:
-        sort_fields += [F.col("VALUE").isNull().alias("_vn"), F.col("VALUE").alias("_vv")]
+    if "VALUE" in df.columns:
+        no_value = F.col("VALUE").isNull()
+        if prefer_non_null:
+            sort_fields.insert(2 if order else 0, no_value.alias("_pn"))
+        sort_fields += [no_value.alias("_vn"), F.col("VALUE").alias("_vv")]
     best = F.min(F.struct(*sort_fields, *[F.col(c).alias(f"_p_{c}") for c in payload]))
     return (df.groupBy(*keys).agg(best.alias("_best"))
             .select(*keys, *[F.col(f"_best._p_{c}").alias(c) for c in payload])
@@ -107,14 +114,20 @@ def attach_country_meta(df: DataFrame, countries: DataFrame | None = None) -> Da
     return df.join(dim, "ISO3", "left")
 
 
-def harmonize(*feeds: DataFrame, tie_break: list[str] | tuple = (),
-              value_nulls_last: bool = False, countries: DataFrame | None = None) -> DataFrame:
-    """Entry 1: feeds (already through ``enforce_schema``) -> harmonised long table."""
+def harmonize(*feeds: DataFrame, tie_break: list[str] | tuple = (), prefer_non_null: bool = False,
+              countries: DataFrame | None = None, extra_cols: list[str] | tuple = ()) -> DataFrame:
+    """Entry 1: feeds (already through ``enforce_schema``) -> harmonised long table.
+
+    ``extra_cols`` are carried behind the standard columns. Labels are a
+    function of the id: they are left out of the de-dup's rows and attached after it."""
     combined = union_feeds(*feeds)
-    deduped = dedup_by_priority(combined, ["SOURCE", *tie_break], value_nulls_last)
+    own_labels = "INDICATOR_LABEL" in combined.columns
+    deduped = dedup_by_priority(combined, ["SOURCE", *tie_break], prefer_non_null)
     kept = filter_year_range(filter_known_countries(deduped, countries))
+    if not own_labels:
+        kept = kept.withColumn("INDICATOR_LABEL", label_of(F.col("INDICATOR_ID")))
     out = attach_country_meta(kept, countries)
-    return out.select(*HARMONIZED_COLS)
+    return out.select(*HARMONIZED_COLS, *extra_cols)
 
 
 def drop_counters(combined: DataFrame) -> DataFrame:

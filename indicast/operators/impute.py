@@ -33,7 +33,7 @@ from pyspark.sql.types import (
 )
 from pyspark.sql.window import Window
 
-from indicast.functions.scalars import clip, qcol
+from indicast.functions.scalars import clip, pct, qcol
 from indicast.schema import (
     GPI_IDS, IMPUTE, INDICATOR_IDS, QA, catalogue_df,
 )
@@ -66,8 +66,7 @@ def audit_missing(wide: DataFrame, label: str = "before",
         F.col("s.INDICATOR_ID").alias("INDICATOR_ID"), F.col("s.POS").alias("POS"),
         F.lit(label).alias("LABEL"), F.col("N_TOTAL").cast("bigint").alias("N_TOTAL"),
         F.col("s.N_MISSING").cast("bigint").alias("N_MISSING"),
-        F.when(F.col("N_TOTAL") > 0, F.round(F.col("s.N_MISSING") / F.col("N_TOTAL") * 100.0, 2))
-        .otherwise(F.lit(0.0)).alias("PCT_MISSING"),
+        pct(F.col("s.N_MISSING"), F.col("N_TOTAL")).alias("PCT_MISSING"),
     )
 
 

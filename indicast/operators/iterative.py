@@ -31,6 +31,8 @@ from indicast.schema import IMPUTE, INDICATOR_IDS
 from indicast.session import checkpoint_dir
 
 _EPS = np.finfo(np.float64).eps
+#: Bounds the patterns collected and broadcast (at most 2^features, 4,096).
+MAX_FEATURES = 12
 
 
 def bayesian_ridge_from_stats(n: float, sx: np.ndarray, sy: float, sxx: np.ndarray,
@@ -157,6 +159,8 @@ def iterative_impute(wide: DataFrame, max_iter: int = IMPUTE.max_iter, tol: floa
         return _finish(cur, wide, cols, safe)
 
     p = len(valid)
+    if p > MAX_FEATURES:
+        raise ValueError(f"at most {MAX_FEATURES} features: moments and maps are kept per missing pattern (2^features)")
     xs = [safe[c] for c in valid]
     # Visit order: ascending missing count (stable); complete features need no visit.
     order = [valid.index(c) for c in sorted(valid, key=lambda c: missing[c]) if missing[c] > 0]

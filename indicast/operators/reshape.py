@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from indicast.functions.scalars import pct
 from indicast.schema import INDICATOR_IDS, META_COLS, catalogue_df
 
 
@@ -53,7 +54,7 @@ def coverage(long: DataFrame) -> DataFrame:
         F.coalesce("N_YEARS", F.lit(0)).cast("bigint").alias("N_YEARS"),
         n_obs.cast("bigint").alias("N_OBSERVATIONS"),
         F.greatest(grid - n_obs, F.lit(0)).cast("bigint").alias("N_MISSING"),
-        F.when(grid > 0, F.round(n_obs / grid * 100.0, 2)).otherwise(F.lit(0.0)).alias("COVERAGE_PCT"),
+        pct(n_obs, grid).alias("COVERAGE_PCT"),
         "YEAR_MIN", "YEAR_MAX",
     )
 

@@ -1,8 +1,7 @@
 """Read-side views a dashboard needs.
 
 Every view is one lazy Spark plan over the wide / long / report tables;
-parameters become predicates or group keys, never driver-side loops. Means
-are rounded to 6 decimals so results do not depend on summation order.
+parameters become predicates or group keys, never driver-side loops.
 """
 
 from __future__ import annotations
@@ -15,12 +14,11 @@ from pyspark.sql import functions as F
 from indicast.functions.scalars import qcol, status_class
 from indicast.schema import DASHBOARD_LABELS, INDICATOR_IDS, TREND_DEFAULT_COUNTRIES
 
-MEAN_DIGITS = 6
 GPI_VIEW_COL = "GPIA.CR.1"
 
 
 def _mean(c: str) -> Column:
-    return F.round(F.avg(qcol(c)), MEAN_DIGITS)
+    return F.avg(qcol(c))
 
 
 def trend_extract(wide: DataFrame, indicator: str = INDICATOR_IDS[0],

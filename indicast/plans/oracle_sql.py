@@ -8,7 +8,7 @@ driver's parquet views. Shared CTEs build the same stage tables.
 from __future__ import annotations
 
 from indicast.schema import COUNTRIES, INDICATORS, QA
-from indicast.sources.testdata import RAW_SQL
+from indicast.sources.testdata import DIRTY_SQL, RAW_SQL
 
 
 def _q(s: str) -> str:
@@ -65,16 +65,32 @@ _CTES = {
 _ORDER = ["cat", "country", "raw", "long", "dedup", "harmonized", "wide"]
 
 
-def with_stages(upto: str, body: str, extra: list[str] | None = None) -> str:
-    """Prefix ``body`` with the stage CTEs needed up to ``upto``."""
+def with_stages(upto: str, body: str, extra: list[str] | None = None, dirty: bool = False) -> str:
+    """Prefix ``body`` with the stage CTEs needed up to ``upto``, over the plain or the dirty mapping."""
     names = _ORDER[: _ORDER.index(upto) + 1]
-    ctes = [_CTES[n] for n in names] + list(extra or [])
+    ctes = [f"raw AS ({DIRTY_SQL})" if dirty and n == "raw" else _CTES[n] for n in names] + list(extra or [])
     return "WITH " + ",\n".join(ctes) + "\n" + body
 
+
+# Harmonised and wide tables keyed by supplier instead of country.
+CTE_SUPPLIER_HARM = f"""sraw AS ({RAW_SQL.replace("SELECT", "SELECT 'S' || s_suppkey AS ENTITY,", 1)}),
+harmonized AS (
+  SELECT d.INDICATOR_ID, c.INDICATOR_LABEL, d.ENTITY AS ISO3, d.YEAR, d.VALUE, d.SOURCE, k.REGION, k.INCOME_GROUP
+  FROM (SELECT *, row_number() OVER (PARTITION BY INDICATOR_ID, ENTITY, YEAR
+                                     ORDER BY SOURCE, ORD_A, ORD_B, VALUE NULLS LAST) AS rn FROM sraw) d
+  LEFT JOIN country k ON k.ISO3 = d.ISO3 LEFT JOIN cat c ON c.INDICATOR_ID = d.INDICATOR_ID
+  WHERE rn = 1 AND d.YEAR BETWEEN {QA.year_min} AND {QA.year_max})"""
+
+
+def with_supplier_stages(upto: str, body: str) -> str:
+    ctes = [CTE_CAT, CTE_COUNTRY, CTE_SUPPLIER_HARM] + ([CTE_WIDE] if upto == "wide" else [])
+    return "WITH " + ",\n".join(ctes) + "\n" + body
+
+
 GPI_IN = "(" + ", ".join(_q(i) for i in IND_IDS if "GPIA" in i) + ")"
 
 
-def knn_ctes(k: int = 5, block: str | None = None) -> str:
+def knn_ctes(k: int = 5, block: str | list[str] | None = None) -> str:
     """CTEs (to append after the ``wide`` stage) that produce ``knn_filled``:
     every wide row with missing cells filled by the k-NN rule, before clip."""
     cols = IND_IDS
@@ -86,7 +102,8 @@ def knn_ctes(k: int = 5, block: str | None = None) -> str:
     any_null = " OR ".join(f"r.{dq(c)} IS NULL" for c in cols)
     cells = "\n  UNION ALL ".join(
         f"SELECT ISO3, YEAR, {i} AS j, {dq(c)} AS v FROM wide" for i, c in enumerate(cols))
-    blk = f" AND r.{block} = d.{block}" if block else ""
+    blocks = [block] if isinstance(block, str) else block or []
+    blk = "".join(f" AND r.{b} = d.{b}" for b in blocks)
     piv = ",\n    ".join(
         f"max(CASE WHEN f.j = {i} THEN f.v END) AS {dq(c)}" for i, c in enumerate(cols))
     return f"""

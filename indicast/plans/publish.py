@@ -18,8 +18,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from indicast.operators import anomaly as A
 from indicast.operators import harmonize as H
@@ -36,6 +36,9 @@ from indicast.sources import feeds
 
 @dataclass
 class StagedRun:
+    """Stages are found by their path under ``base``: any stage can run in a new
+    object, a new session or after a failure."""
+
     spark: SparkSession
     base: str
     written: dict[str, str] = field(default_factory=dict)
@@ -47,30 +50,59 @@ class StagedRun:
         self.written[name] = K.write_stage(df, self.path(name))
         return self.spark.read.parquet(self.path(name))
 
+    def find(self, name: str) -> DataFrame | None:
+        """The stage's table, or None if it has not been written."""
+        try:
+            return self.spark.read.parquet(self.path(name))
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" in str(e):
+                return None
+            raise
+
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        found = self.find(name)
+        if found is None:
+            raise FileNotFoundError(f"stage table {name!r} is not under {self.base}; run the stage that writes it first")
+        return found
 
     # ------------------------------------------------------------ stages
 
     def ingest(self, api: str | None = None, sdmx: str | None = None,
                api_csv: str | None = None, sdmx_csv: str | None = None) -> None:
-        """Parse landed feed files (JSON / XML, or already-flat CSV) into raw tables."""
+        """Parse landed feed files (JSON / XML, or already-flat CSV) into raw
+        tables with FILE and POS; what cannot be parsed goes to ``unparsed``."""
+        broken = []
         if api or api_csv:
-            a = feeds.read_json_feed(self.spark, api) if api else feeds.read_csv_table(
-                self.spark, api_csv, FEED_A_SCHEMA)
+            if api:
+                a, bad = feeds.read_json_documents(self.spark, api)
+                broken.append(bad)
+            else:
+                a = feeds.read_csv_table(self.spark, api_csv, FEED_A_SCHEMA, with_position=True)
             self._write("raw_api", a)
         if sdmx or sdmx_csv:
-            b = feeds.read_sdmx_xml(self.spark, sdmx) if sdmx else feeds.read_csv_table(
-                self.spark, sdmx_csv, FEED_B_SCHEMA)
+            if sdmx:
+                b, bad = feeds.read_sdmx_documents(self.spark, sdmx)
+                broken.append(bad)
+            else:
+                b = feeds.read_csv_table(self.spark, sdmx_csv, FEED_B_SCHEMA, with_position=True)
             self._write("raw_sdmx", b)
-
-    def harmonize(self) -> DataFrame:
-        parts = []
-        for name, source, extra in (("raw_api", SOURCE_API, ("MAGNITUDE", "QUALIFIER")),
-                                    ("raw_sdmx", SOURCE_SDMX, ("OBS_STATUS",))):
-            if name in self.written:
-                parts.append(H.enforce_schema(self.table(name), source_name=source))
-        return self._write("harmonized", H.harmonize(*parts))
+        if broken:
+            self._write("unparsed", H.union_feeds(*broken))
+
+    def harmonize(self, extra: bool = False, prefer_non_null: bool = False) -> DataFrame:
+        """``extra`` carries MAGNITUDE, QUALIFIER and OBS_STATUS along."""
+        parts, carried = [], []
+        for name, source, columns in (("raw_api", SOURCE_API, ["MAGNITUDE", "QUALIFIER"]),
+                                      ("raw_sdmx", SOURCE_SDMX, ["OBS_STATUS"])):
+            raw = self.find(name)
+            if raw is not None:
+                columns = columns if extra else []
+                carried += columns
+                parts.append(H.enforce_schema(raw, source_name=source, extra_cols=[*feeds.POSITION, *columns]))
+        if not parts:
+            raise FileNotFoundError(f"neither raw_api nor raw_sdmx is under {self.base}; run ingest first")
+        return self._write("harmonized", H.harmonize(*parts, tie_break=feeds.POSITION, prefer_non_null=prefer_non_null,
+                                                     extra_cols=carried))
 
     def merge(self) -> tuple[DataFrame, DataFrame]:
         h = self.table("harmonized")
@@ -94,15 +126,10 @@ class StagedRun:
         return imputed
 
     def metadata(self) -> DataFrame:
-        """Registry with lineage counts taken from the stage tables written so far."""
-        sizes = {3: "harmonized", 4: "wide", 5: "qa_flagged", 6: "scored", 7: "imputed",
-                 1: "raw_api", 2: "raw_sdmx"}
-        parts = [self.table(n).agg(F.count(F.lit(1)).alias("N_ROWS")).select(F.lit(s).alias("STEP"), "N_ROWS")
-                 for s, n in sizes.items() if n in self.written]
-        counts = parts[0]
-        for p in parts[1:]:
-            counts = counts.unionByName(p)
-        lineage = M.lineage(self.spark, counts)
+        """Registry with lineage counts taken from the stage tables that exist."""
+        sizes = {1: "raw_api", 2: "raw_sdmx", 3: "harmonized", 4: "wide", 5: "qa_flagged", 6: "scored", 7: "imputed"}
+        found = {s: t for s, n in sizes.items() if (t := self.find(n)) is not None}
+        lineage = M.lineage(self.spark, M.step_counts(found) if found else None)
         self._write("lineage", lineage)
         self.written["registry"] = K.write_registry(M.registry(self.spark, lineage.drop("N_ROWS")),
                                                     self.path("registry"))
@@ -112,8 +139,7 @@ class StagedRun:
         imputed = self.table("imputed")
         out = K.export_all(imputed, self.path("exports"), formats)
         coverage = feeds.read_optional(self.spark, self.path("coverage"), COVERAGE_SCHEMA)
-        report = self.table("imputation_report") if "imputation_report" in self.written else None
-        K.write_bundle({"Data": imputed, "Coverage": coverage, "Imputation": report,
+        K.write_bundle({"Data": imputed, "Coverage": coverage, "Imputation": self.find("imputation_report"),
                         "Metadata": M.concept_sheet(M.concept_table(self.spark))},
                        self.path("bundle"))
         return out

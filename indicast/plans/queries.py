@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from indicast.operators import anomaly as A
 from indicast.operators import harmonize as H
@@ -23,12 +24,14 @@ from indicast.operators import views as V
 from indicast.plans import stages as S
 from indicast.plans.oracle_sql import (
     GPI_IN, IN_CAT, IN_COUNTRY, _q, _values, audit_select, clip_round_select, dq, knn_ctes,
-    with_stages,
+    with_stages, with_supplier_stages,
 )
 from indicast.schema import (
-    DASHBOARD_LABELS, INDICATOR_IDS, QA, SOURCE_API, SOURCE_SDMX, TREND_DEFAULT_COUNTRIES,
+    DASHBOARD_LABELS, EXPORT_DATASET_NAME, GPI_IDS, INDICATOR_IDS, QA, TREND_DEFAULT_COUNTRIES,
 )
-from indicast.sources.testdata import TIE_BREAK
+from indicast.sinks import exports as K
+from indicast.sources import feeds
+from indicast.sources.testdata import TIE_BREAK, read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -57,7 +60,7 @@ def q_long(spark, sf):
 SELECT INDICATOR_ID, INDICATOR_LABEL, ISO3, YEAR, VALUE, SOURCE FROM dedup"""))
 def q_dedup(spark, sf):
     """First row per key by source priority, before any filter."""
-    d = H.dedup_by_priority(S.raw_long(spark, sf), ["SOURCE", *TIE_BREAK], value_nulls_last=True)
+    d = H.dedup_by_priority(S.raw_long(spark, sf), ["SOURCE", *TIE_BREAK])
     return d.select(*H.LONG_COLS)
 
 
@@ -66,15 +69,48 @@ SELECT INDICATOR_ID, ISO3, YEAR, VALUE, SOURCE FROM dedup
 WHERE ISO3 IN {IN_COUNTRY} AND YEAR BETWEEN {QA.year_min} AND {QA.year_max}"""))
 def q_filters(spark, sf):
     """P4 + P5 over the de-duplicated table."""
-    d = H.dedup_by_priority(S.raw_long(spark, sf), ["SOURCE", *TIE_BREAK], value_nulls_last=True)
+    d = H.dedup_by_priority(S.raw_long(spark, sf), ["SOURCE", *TIE_BREAK])
     return (H.filter_year_range(H.filter_known_countries(d))
             .select("INDICATOR_ID", "ISO3", "YEAR", "VALUE", "SOURCE"))
 
 
 @register("j1_harmonized", with_stages("harmonized", "SELECT * FROM harmonized"))
 def q_harmonized(spark, sf):
-    """Entry 1 (U1, W1, P4, P5, J1): the harmonised long table."""
-    return S.harmonized(spark, sf)
+    """Entry 1 (U1, S7, W1, P4, P5, J1): the harmonised long table, from two feed frames."""
+    return H.harmonize(*S.feed_frames(spark, sf), tie_break=TIE_BREAK)
+
+
+@register("u1_union_feeds", with_stages("long", """
+SELECT INDICATOR_ID, ISO3, YEAR, VALUE, SOURCE, ORD_A, ORD_B FROM long"""))
+def q_union(spark, sf):
+    """Both feeds' rows under each other, by column name."""
+    return H.union_feeds(*S.feed_frames(spark, sf)).select("INDICATOR_ID", "ISO3", "YEAR", "VALUE", "SOURCE", *TIE_BREAK)
+
+
+_PNN_SQL = with_stages("long", """
+SELECT INDICATOR_ID, ISO3, YEAR, VALUE, SOURCE FROM (
+  SELECT *, row_number() OVER (PARTITION BY INDICATOR_ID, ISO3, YEAR
+                               ORDER BY SOURCE, VALUE IS NULL, ORD_A, ORD_B, VALUE) AS rn FROM long) WHERE rn = 1""")
+
+
+@register("w1_dedup_prefer_non_null", _PNN_SQL)
+def q_dedup_values(spark, sf):
+    """W1 with ``prefer_non_null``: within a source a value wins over an earlier NULL."""
+    d = H.dedup_by_priority(S.raw_long(spark, sf), ["SOURCE", *TIE_BREAK], prefer_non_null=True)
+    return d.select("INDICATOR_ID", "ISO3", "YEAR", "VALUE", "SOURCE")
+
+
+@register("p2_p3_dirty_long", with_stages("long", """
+SELECT INDICATOR_ID, INDICATOR_LABEL, ISO3, YEAR, VALUE, SOURCE FROM long""", dirty=True))
+def q_dirty_long(spark, sf):
+    """Padded and lower-case codes, numbers as text, text that is no number."""
+    return S.raw_long(spark, sf, dirty=True).select(*H.LONG_COLS)
+
+
+@register("j1_harmonized_dirty", with_stages("harmonized", "SELECT * FROM harmonized", dirty=True))
+def q_dirty_harmonized(spark, sf):
+    """Entry 1 over the dirty feeds."""
+    return H.harmonize(*S.feed_frames(spark, sf, dirty=True), tie_break=TIE_BREAK)
 
 
 @register("p6_drop_counters", with_stages("long", f"""
@@ -115,7 +151,7 @@ FROM cat c LEFT JOIN a ON a.INDICATOR_ID = c.INDICATOR_ID CROSS JOIN g""")
 @register("a1_coverage", _COVERAGE_SQL)
 def q_coverage(spark, sf):
     """A1 (+J3, J5): coverage per catalogue indicator."""
-    return R.coverage(S.harmonized(spark, sf))
+    return R.coverage(S.harmonized(spark, sf, materialized=True))
 
 
 @register("a14_pivot_wide", with_stages("wide", "SELECT * FROM wide"))
@@ -194,8 +230,8 @@ def _stage_for(t: str) -> str:
     return "harmonized" if t == "harmonized" else "long"
 
 
-def _flags_query(t: str, cols: list[str], which: str) -> str:
-    return with_stages(_stage_for(t), _mr_ctes(t) + _rf_cte(t) + "\n" + _flags_sql(t, cols, which))
+def _flags_query(t: str, cols: list[str], which: str, dirty: bool = False) -> str:
+    return with_stages(_stage_for(t), _mr_ctes(t) + _rf_cte(t) + "\n" + _flags_sql(t, cols, which), dirty=dirty)
 
 
 def _summary_tail(t: str, cols: list[str]) -> str:
@@ -212,12 +248,12 @@ s AS (
   FROM mr LEFT JOIN nf ON nf.INDICATOR_ID = mr.INDICATOR_ID)"""
 
 
-def _summary_sql(t: str, cols: list[str]) -> str:
+def _summary_sql(t: str, cols: list[str], dirty: bool = False) -> str:
     return with_stages(_stage_for(t), _mr_ctes(t) + _rf_cte(t) + _summary_tail(t, cols) + f"""
 SELECT *, CASE WHEN MISSING_PCT > {QA.max_missing_pct} AND N_FLAGGED > 0 THEN 'WARN_MISSING|FAIL'
                WHEN MISSING_PCT > {QA.max_missing_pct} THEN 'WARN_MISSING'
                WHEN N_FLAGGED > 0 THEN 'FAIL' ELSE 'PASS' END AS QA_STATUS
-FROM s""")
+FROM s""", dirty=dirty)
 
 
 def _raw_long(spark, sf):
@@ -259,7 +295,7 @@ def q_c5(spark, sf):
 @register("c6_all_flags", _flags_query("harmonized", _HARM_COLS, "all"))
 def q_c6(spark, sf):
     """Every flag on the harmonised table."""
-    return Q.run_checks(S.harmonized(spark, sf))
+    return Q.run_checks(S.harmonized(spark, sf, materialized=True))
 
 
 @register("c6_all_flags_raw", _flags_query("long", _LONG_COLS, "all"))
@@ -287,11 +323,51 @@ SELECT count(CASE WHEN NOT (MISSING_PCT > {QA.max_missing_pct}) AND N_FLAGGED =
 FROM s"""))
 def q_a4(spark, sf):
     """A4: indicators passing and flagged rows in total."""
-    h = S.harmonized(spark, sf)
+    h = S.harmonized(spark, sf, materialized=True)
     flagged = Q.run_checks(h)
     return Q.pass_tally(Q.qa_summary(h, flagged), flagged)
 
 
+# The dirty feeds: two sparse indicators, blank and missing codes, so that every
+# rule fires and every status and severity class occurs.
+
+def _dirty_harmonized(spark, sf):
+    return S.materialize(H.harmonize(*S.feed_frames(spark, sf, dirty=True), tie_break=TIE_BREAK))
+
+
+@register("c2_missing_rate_dirty", _flags_query("harmonized", _HARM_COLS, "missing", dirty=True))
+def q_c2_dirty(spark, sf):
+    """C2/A2 where indicators exceed the threshold."""
+    return Q.check_missing_rate(_dirty_harmonized(spark, sf)).select(
+        *[F.col(c) if c in ("INDICATOR_ID", "ISO3", "YEAR", "VALUE")
+          else F.lit(None).cast("string").alias(c) for c in _HARM_COLS], "QA_FLAG", "QA_DETAIL")
+
+
+@register("c5_missing_iso3_dirty", _flags_query("long", _LONG_COLS, "iso3", dirty=True))
+def q_c5_dirty(spark, sf):
+    """C5 where codes are null or blank."""
+    return Q.check_missing_iso3(S.raw_long(spark, sf, dirty=True).select(*H.LONG_COLS))
+
+
+@register("c6_all_flags_dirty", _flags_query("long", _LONG_COLS, "all", dirty=True))
+def q_c6_dirty(spark, sf):
+    """All five rules fire."""
+    return Q.run_checks(S.raw_long(spark, sf, dirty=True).select(*H.LONG_COLS))
+
+
+@register("a3_qa_summary_dirty", _summary_sql("harmonized", _HARM_COLS, dirty=True))
+def q_a3_dirty(spark, sf):
+    """A3: all four statuses."""
+    return Q.qa_summary(_dirty_harmonized(spark, sf))
+
+
+@register("p14_status_class_dirty", "SELECT *, CASE WHEN QA_STATUS = 'PASS' THEN 'ok' WHEN QA_STATUS LIKE '%WARN%' "
+          "THEN 'warn' ELSE 'fail' END AS STATUS_CLASS FROM (" + ORACLES["a3_qa_summary_dirty"] + ") AS sub")
+def q_p14_dirty(spark, sf):
+    """All three severity classes."""
+    return V.qa_status_classes(Q.qa_summary(_dirty_harmonized(spark, sf)))
+
+
 # ---------------------------------------------------------------- views
 
 _TREND_IN = "(" + ", ".join(_q(c) for c in TREND_DEFAULT_COUNTRIES) + ")"
@@ -301,6 +377,11 @@ _FILTER_REGION = "South Asia"
 _FILTER_YEARS = (2001, 2003)
 
 
+def _mean6(df, column):
+    """Means rounded for comparison: their last digits depend on the order of summation."""
+    return df.withColumn(column, F.round(F.col(f"`{column}`"), 6))
+
+
 def _sub(sql: str) -> str:
     """Wrap a WITH-query as a derived table."""
     return f"({sql}) AS sub"
@@ -319,7 +400,7 @@ SELECT REGION, YEAR, round(avg({dq(_IND0)}), 6) AS {dq(_IND0)} FROM wide
 WHERE REGION IS NOT NULL GROUP BY REGION, YEAR"""))
 def q_a8(spark, sf):
     """Regional mean by year."""
-    return V.regional_mean_by_year(S.wide(spark, sf))
+    return _mean6(V.regional_mean_by_year(S.wide(spark, sf)), _IND0)
 
 
 @register("p10_equity_extract", with_stages("wide", f"""
@@ -327,7 +408,7 @@ SELECT ISO3, REGION, INCOME_GROUP, "GPIA.CR.1", "GPIA.CR.2" FROM wide
 WHERE YEAR = {_LATEST} AND "GPIA.CR.1" IS NOT NULL"""))
 def q_p10(spark, sf):
     """Parity extract for the latest year."""
-    return V.equity_extract(S.wide(spark, sf))
+    return V.equity_extract(S.wide(spark, sf, materialized=True))
 
 
 @register("a9_regional_gpi", with_stages("wide", f"""
@@ -335,7 +416,7 @@ SELECT REGION, round(avg("GPIA.CR.1"), 6) AS "GPIA.CR.1" FROM wide
 WHERE YEAR = {_LATEST} AND "GPIA.CR.1" IS NOT NULL AND REGION IS NOT NULL GROUP BY REGION"""))
 def q_a9(spark, sf):
     """Regional mean parity index for the latest year."""
-    return V.regional_gpi(S.wide(spark, sf))
+    return _mean6(V.regional_gpi(S.wide(spark, sf, materialized=True)), V.GPI_VIEW_COL)
 
 
 @register("a10_overview_kpis", with_stages("wide", f"""
@@ -345,7 +426,7 @@ SELECT count(DISTINCT ISO3) AS N_COUNTRIES, CAST({len(INDICATOR_IDS)} AS BIGINT)
 FROM wide"""))
 def q_a10(spark, sf):
     """A10: overview KPIs."""
-    h = S.harmonized(spark, sf)
+    h = S.harmonized(spark, sf, materialized=True)
     return V.overview_kpis(R.pivot_wide(h), h)
 
 
@@ -378,7 +459,32 @@ SELECT DISTINCT * FROM (
   UNION ALL SELECT 'INCOME_GROUP', INCOME_GROUP FROM wide) WHERE ITEM IS NOT NULL"""))
 def q_a15(spark, sf):
     """Sorted distinct selector values."""
-    return V.pick_lists(S.wide(spark, sf))
+    return V.pick_lists(S.wide(spark, sf, materialized=True))
+
+
+@register("a15_indicator_list", with_stages("harmonized", f"""
+SELECT INDICATOR_ID AS ITEM FROM harmonized WHERE VALUE IS NOT NULL AND INDICATOR_ID IN {IN_CAT}
+GROUP BY INDICATOR_ID HAVING count(*) >= 20"""))
+def q_a15_indicators(spark, sf):
+    """The selector of scored indicators."""
+    scored = A.detect_anomalies(S.harmonized(spark, sf, materialized=True)).where(F.col("ANOMALY_SCORE").isNotNull())
+    w = S.wide(spark, sf)
+    return V.pick_lists(w, scored).where(F.col("LIST_ID") == "INDICATOR_ID").select("ITEM")
+
+
+@register("o2_wide_order", with_stages("wide", """
+SELECT ISO3, YEAR, row_number() OVER (ORDER BY ISO3, YEAR) AS PLACE FROM wide"""))
+def q_o2(spark, sf):
+    """O2: the wide table in export order, with each row's place (the table is bounded: 930 rows)."""
+    ordered = R.wide_order(S.wide(spark, sf)).withColumn("_id", F.monotonically_increasing_id())
+    return ordered.select("ISO3", "YEAR", F.row_number().over(Window.orderBy("_id")).cast("bigint").alias("PLACE"))
+
+
+@register("k4_manifest", with_stages("wide", f"""
+SELECT {_q(EXPORT_DATASET_NAME)} AS dataset, count(*) AS n_records, {len(INDICATOR_IDS)} AS n_indicators FROM wide"""))
+def q_k4(spark, sf):
+    """K4: the JSON export's manifest (without its time of writing)."""
+    return K.manifest(S.wide(spark, sf)).select("dataset", "n_records", F.size("indicators").alias("n_indicators"))
 
 
 @register("p11_filtered_table", with_stages("wide", f"""
@@ -396,7 +502,7 @@ UNION ALL SELECT 'wide', count(*) FROM wide"""))
 def q_a16(spark, sf):
     """Row counts of the stage tables."""
     long = S.raw_long(spark, sf)
-    h = S.harmonized(spark, sf)
+    h = S.harmonized(spark, sf, materialized=True)
     return V.row_counts(long=long, harmonized=h, wide=R.pivot_wide(h))
 
 
@@ -404,7 +510,7 @@ def q_a16(spark, sf):
           "YEAR_MIN, YEAR_MAX FROM " + _sub(ORACLES["a1_coverage"]))
 def q_a17(spark, sf):
     """Coverage summary columns."""
-    return V.coverage_summary(R.coverage(S.harmonized(spark, sf)))
+    return V.coverage_summary(R.coverage(S.harmonized(spark, sf, materialized=True)))
 
 
 @register("p14_status_class", "SELECT *, CASE WHEN QA_STATUS = 'PASS' THEN 'ok' WHEN QA_STATUS LIKE '%WARN%' "
@@ -437,7 +543,7 @@ def q_p17(spark, sf):
 
 
 def _imputed(spark, sf):
-    return I.impute_wide(S.wide(spark, sf))
+    return I.impute_wide(S.wide(spark, sf, materialized=True))
 
 
 @register("a5_missing_audit", with_stages("wide", audit_select("wide", "before")))
@@ -465,13 +571,13 @@ def _round_cells(df):
 @register("i1_knn_raw", with_stages("wide", knn_ctes() + "\n" + _ROUND9_SQL))
 def q_i1(spark, sf):
     """Exact k-NN fill before clip (cells rounded to 1e-9 for comparison)."""
-    return _round_cells(I.knn_impute(S.wide(spark, sf)))
+    return _round_cells(I.knn_impute(S.wide(spark, sf, materialized=True)))
 
 
 @register("i1b_knn_blocked", with_stages("wide", knn_ctes(block="REGION") + "\n" + _ROUND9_SQL))
 def q_i1b(spark, sf):
     """K-NN with donors restricted to the receiver's region (approximate variant)."""
-    return _round_cells(I.knn_impute_blocked(S.wide(spark, sf), block="REGION"))
+    return _round_cells(I.knn_impute_blocked(S.wide(spark, sf, materialized=True), block="REGION"))
 
 
 @register("a6_imputation_report", with_stages("wide", knn_ctes() + f"""
@@ -485,10 +591,18 @@ SELECT b.INDICATOR_ID, coalesce(c.INDICATOR_LABEL, '') AS INDICATOR_LABEL, b.N_T
 FROM b JOIN a ON a.INDICATOR_ID = b.INDICATOR_ID LEFT JOIN cat c ON c.INDICATOR_ID = b.INDICATOR_ID"""))
 def q_a6(spark, sf):
     """before/after imputation report."""
-    w = S.wide(spark, sf)
+    w = S.wide(spark, sf, materialized=True)
     return I.imputation_report(w, I.impute_wide(w))
 
 
+@register("a6_total_imputed", "SELECT CAST(sum(N_IMPUTED) AS BIGINT) AS TOTAL_IMPUTED FROM ("
+          + ORACLES["a6_imputation_report"] + ") AS sub")
+def q_a6_total(spark, sf):
+    """All imputed cells."""
+    w = S.wide(spark, sf, materialized=True)
+    return I.total_imputed(I.imputation_report(w, I.impute_wide(w)))
+
+
 # ---------------------------------------------------------------- anomaly
 
 _REGION_COLS = [f"REGION_{i}" for i in range(len(A.REGIONS))]
@@ -508,38 +622,131 @@ FROM harmonized h JOIN st ON st.INDICATOR_ID = h.INDICATOR_ID
 WHERE h.VALUE IS NOT NULL AND h.YEAR IS NOT NULL"""))
 def q_n1(spark, sf):
     """Scaled VALUE and YEAR per indicator plus one-hot REGION."""
-    f = A.build_features(S.harmonized(spark, sf))
+    f = A.build_features(S.harmonized(spark, sf, materialized=True))
     return f.select("INDICATOR_ID", "ISO3", "YEAR", "VALUE_NORM", "YEAR_NORM", *_REGION_COLS)
 
 
 @register("n6_anomaly_scores")
 def q_n6(spark, sf):
     """Isolation-forest scores and flags for every harmonised row."""
-    return A.detect_anomalies(S.harmonized(spark, sf))
+    return A.detect_anomalies(S.harmonized(spark, sf, materialized=True))
 
 
 @register("a7_anomaly_summary")
 def q_a7(spark, sf):
     """Anomalies per scored indicator."""
-    return A.anomaly_summary(A.detect_anomalies(S.harmonized(spark, sf)))
+    return A.anomaly_summary(A.detect_anomalies(S.harmonized(spark, sf, materialized=True)))
 
 
 @register("o3_anomaly_report")
 def q_o3(spark, sf):
     """Anomaly rows, most anomalous first."""
-    return A.anomaly_report(A.detect_anomalies(S.harmonized(spark, sf)))
+    return A.anomaly_report(A.detect_anomalies(S.harmonized(spark, sf, materialized=True)))
+
+
+# The forest's numbers have no SQL form. What SQL can state about them is checked beside the full outputs:
+# which rows are scored, the range of scores, the exact cut-off and the counts that follow from it.
+
+_SCORED_SQL = f"""
+, st AS (SELECT INDICATOR_ID, count(*) AS n FROM harmonized WHERE VALUE IS NOT NULL AND YEAR IS NOT NULL
+         AND INDICATOR_ID IN {IN_CAT} GROUP BY INDICATOR_ID HAVING count(*) >= 20)"""
+
+
+@register("n6_scored_rows", with_stages("harmonized", _SCORED_SQL + """
+SELECT h.INDICATOR_ID, h.ISO3, h.YEAR, h.VALUE, (st.n IS NOT NULL AND h.VALUE IS NOT NULL) AS IS_SCORED, true AS IN_RANGE,
+       true AS FLAG_NEEDS_SCORE
+FROM harmonized h LEFT JOIN st ON st.INDICATOR_ID = h.INDICATOR_ID"""))
+def q_n6_rows(spark, sf):
+    """Every harmonised row, whether it is scored, and the scores' range."""
+    d = A.detect_anomalies(S.harmonized(spark, sf, materialized=True))
+    score = F.col("ANOMALY_SCORE")
+    return d.select("INDICATOR_ID", "ISO3", "YEAR", "VALUE", score.isNotNull().alias("IS_SCORED"),
+                    F.coalesce((score >= -1) & (score < 0), F.lit(True)).alias("IN_RANGE"),
+                    (~F.col("IS_ANOMALY") | score.isNotNull()).alias("FLAG_NEEDS_SCORE"))
+
+
+@register("n5_exact_cut", with_stages("harmonized", f"""
+SELECT INDICATOR_ID, round(quantile_cont(VALUE, 0.05), 9) AS THRESHOLD FROM harmonized
+WHERE VALUE IS NOT NULL AND INDICATOR_ID IN {IN_CAT} GROUP BY INDICATOR_ID"""))
+def q_n5(spark, sf):
+    """The interpolated 5 % quantile per indicator, on the observed values."""
+    h = S.harmonized(spark, sf, materialized=True).where(F.col("VALUE").isNotNull() & F.col("INDICATOR_ID").isin(*INDICATOR_IDS))
+    return A.quantile_thresholds(h, col="VALUE").select("INDICATOR_ID", F.round("THRESHOLD", 9).alias("THRESHOLD"))
+
+
+@register("a7_summary_counts", with_stages("harmonized", _SCORED_SQL + """
+SELECT c.INDICATOR_ID, c.INDICATOR_LABEL, st.n AS N_OBSERVATIONS, true AS COUNTS_FIT, true AS RATE_FITS
+FROM st JOIN cat c ON c.INDICATOR_ID = st.INDICATOR_ID"""))
+def q_a7_counts(spark, sf):
+    """Observations per indicator; flags at most 5 % of them; rates that follow."""
+    s = A.anomaly_summary(A.detect_anomalies(S.harmonized(spark, sf, materialized=True)))
+    n, k = F.col("N_OBSERVATIONS"), F.col("N_ANOMALIES")
+    return s.select("INDICATOR_ID", "INDICATOR_LABEL", "N_OBSERVATIONS", ((k >= 0) & (k <= F.floor(n * 0.05) + 1)).alias("COUNTS_FIT"),
+                    (F.abs(F.col("ANOMALY_RATE_PCT") - k / n * 100) <= 0.005001).alias("RATE_FITS"))
+
+
+@register("o3_report_order", "SELECT true AS IN_ORDER, true AS ALL_FLAGS")
+def q_o3_order(spark, sf):
+    """The report holds every flagged row, most anomalous first (the report has at most 5 % of 10,230 rows)."""
+    d = A.detect_anomalies(S.harmonized(spark, sf, materialized=True))
+    report = A.anomaly_report(d).withColumn("_id", F.monotonically_increasing_id())
+    line = Window.orderBy("_id")
+    steps = report.withColumn("_ok", F.coalesce(F.col("ANOMALY_SCORE") >= F.lag("ANOMALY_SCORE").over(line), F.lit(True)))
+    flags = d.select(F.count_if("IS_ANOMALY")).scalar()
+    return steps.agg(F.bool_and("_ok").alias("IN_ORDER"), F.count("*").alias("_n")).select("IN_ORDER", (F.col("_n") == flags).alias("ALL_FLAGS"))
+
+
+@register("p12_anomalies_of_indicator", "SELECT true AS SAME")
+def q_p12(spark, sf):
+    """P12 for one indicator: the flagged rows of that indicator and no others."""
+    d = A.detect_anomalies(S.harmonized(spark, sf, materialized=True))
+    one = V.anomalies_for(d, INDICATOR_IDS[0])
+    total = d.select(F.count_if(F.col("IS_ANOMALY") & (F.col("INDICATOR_ID") == INDICATOR_IDS[0]))).scalar()
+    return one.agg(F.count("*").alias("n"), F.count_if(F.col("INDICATOR_ID") != INDICATOR_IDS[0]).alias("x")).select(
+        ((F.col("n") == total) & (F.col("x") == 0)).alias("SAME"))
 
 
 @register("i2_iterative_impute")
 def q_i2(spark, sf):
     """I2 + I4: chained-equations imputation, clipped and rounded."""
-    return I.impute_wide(S.wide(spark, sf), method="iterative")
+    return I.impute_wide(S.wide(spark, sf, materialized=True), method="iterative")
+
+
+def _bounds(c):
+    return (QA.gpi_min, QA.gpi_max) if c in GPI_IDS else (QA.rate_min, QA.rate_max)
+
+
+def _observed_only(wide, imputed):
+    """The imputed table with the cells that were missing set to NULL, and the
+    number of cells still missing or out of range."""
+    before = wide.select("ISO3", "YEAR", *[F.col(f"`{c}`").isNotNull().alias(f"_{i}") for i, c in enumerate(INDICATOR_IDS)])
+    bad = sum((F.coalesce(~F.col(f"`{c}`").between(*_bounds(c)), F.lit(True)).cast("bigint") for c in INDICATOR_IDS), F.lit(0))
+    return imputed.join(before, ["ISO3", "YEAR"]).select(
+        "ISO3", "YEAR", *[F.when(F.col(f"_{i}"), F.col(f"`{c}`")).alias(c) for i, c in enumerate(INDICATOR_IDS)], bad.alias("N_BAD"))
 
 
-@register("a6_imputation_report_iterative")
+_OBSERVED_SQL = "SELECT ISO3, YEAR, " + ", ".join(
+    f"CASE WHEN {dq(c)} IS NOT NULL THEN round(greatest({_bounds(c)[0]}, least({_bounds(c)[1]}, {dq(c)})), 4) END AS {dq(c)}"
+    for c in INDICATOR_IDS) + ", CAST(0 AS BIGINT) AS N_BAD FROM wide"
+
+
+@register("i2_iterative_observed", with_stages("wide", _OBSERVED_SQL))
+def q_i2_observed(spark, sf):
+    """Observed cells are clipped and rounded only, no cell stays missing or out of range."""
+    w = S.wide(spark, sf, materialized=True)
+    return _observed_only(w, I.impute_wide(w, method="iterative"))
+
+
+@register("a6_imputation_report_iterative", with_stages("wide", f"""
+, b AS ({audit_select("wide", "before")})
+SELECT b.INDICATOR_ID, coalesce(c.INDICATOR_LABEL, '') AS INDICATOR_LABEL, N_TOTAL, N_MISSING AS N_MISSING_BEFORE,
+       PCT_MISSING AS PCT_MISSING_BEFORE, CAST(CASE WHEN N_MISSING = N_TOTAL THEN N_TOTAL ELSE 0 END AS BIGINT) AS N_MISSING_AFTER,
+       CAST(CASE WHEN N_MISSING = N_TOTAL AND N_TOTAL > 0 THEN 100 ELSE 0 END AS DOUBLE) AS PCT_MISSING_AFTER,
+       CAST(CASE WHEN N_MISSING = N_TOTAL THEN 0 ELSE N_MISSING END AS BIGINT) AS N_IMPUTED, 'ITERATIVE' AS METHOD
+FROM b LEFT JOIN cat c ON c.INDICATOR_ID = b.INDICATOR_ID"""))
 def q_a6_it(spark, sf):
     """A6 for the chained-equations method."""
-    w = S.wide(spark, sf)
+    w = S.wide(spark, sf, materialized=True)
     return I.imputation_report(w, I.impute_wide(w, method="iterative"), method="iterative")
 
 
@@ -551,33 +758,24 @@ _LINEAGE_VALUES = _values([(st, n, m, d) for st, n, m, d in M.LINEAGE_STEPS],
 
 @register("m4_lineage_counts", with_stages("wide", _mr_ctes("harmonized") + _rf_cte("harmonized") + f""",
 fl AS ({_flags_sql("harmonized", _HARM_COLS, "all")}),
-st AS (SELECT INDICATOR_ID FROM harmonized WHERE VALUE IS NOT NULL AND YEAR IS NOT NULL
-       AND INDICATOR_ID IN {IN_CAT} GROUP BY INDICATOR_ID HAVING count(*) >= 20),
 c AS (
-  SELECT 1 AS STEP, count(*) AS N_ROWS FROM long WHERE SOURCE = {_q(SOURCE_API)}
-  UNION ALL SELECT 2, count(*) FROM long WHERE SOURCE = {_q(SOURCE_SDMX)}
+  SELECT 1 AS STEP, count(*) AS N_ROWS FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey
+    WHERE l_orderkey % 2 = 0
+  UNION ALL SELECT 2, count(*) FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey
+    WHERE l_orderkey % 2 = 1
   UNION ALL SELECT 3, count(*) FROM harmonized
-  UNION ALL SELECT 4, count(*) FROM wide
+  UNION ALL SELECT 4, count(*) FROM (SELECT DISTINCT ISO3, YEAR FROM harmonized WHERE VALUE IS NOT NULL)
   UNION ALL SELECT 5, count(*) FROM fl
-  UNION ALL SELECT 6, count(*) FROM harmonized h JOIN st ON st.INDICATOR_ID = h.INDICATOR_ID
-            WHERE h.VALUE IS NOT NULL AND h.YEAR IS NOT NULL
+  UNION ALL SELECT 6, count(*) FROM (SELECT DISTINCT INDICATOR_ID, ISO3, YEAR FROM harmonized)
   UNION ALL SELECT 7, count(*) FROM wide)
 SELECT t.STEP, t.NAME, t.MODULE, t.DESCRIPTION, c.N_ROWS
 FROM {_LINEAGE_VALUES} JOIN c ON c.STEP = t.STEP"""))
 def q_m4(spark, sf):
-    """M4/M7: lineage steps with the real output size of each stage."""
-    raw = _raw_long(spark, sf)
-    h = S.harmonized(spark, sf)
-    w = R.pivot_wide(h)
-    src = raw.agg(F.count(F.when(F.col("SOURCE") == SOURCE_API, 1)).alias("a"),
-                  F.count(F.when(F.col("SOURCE") == SOURCE_SDMX, 1)).alias("b"))
-    parts = [src.select(F.lit(1).alias("STEP"), F.col("a").alias("N_ROWS")),
-             src.select(F.lit(2).alias("STEP"), F.col("b").alias("N_ROWS"))]
-    for step, df in [(3, h), (4, w), (5, Q.run_checks(h)), (6, A.build_features(h)), (7, w)]:
-        parts.append(df.agg(F.count(F.lit(1)).alias("N_ROWS")).select(F.lit(step).alias("STEP"), "N_ROWS"))
-    counts = parts[0]
-    for p in parts[1:]:
-        counts = counts.unionByName(p)
+    """M4/M7: lineage steps with the size of what each stage put out."""
+    api, sdmx = S.feed_frames(spark, sf)
+    h = S.harmonized(spark, sf, materialized=True)
+    w = S.materialize(R.pivot_wide(h))
+    counts = M.step_counts({1: api, 2: sdmx, 3: h, 4: w, 5: Q.run_checks(h), 6: A.detect_anomalies(h), 7: I.impute_wide(w)})
     return M.process_history(M.lineage(spark, counts)).drop("TIMESTAMP")
 
 
@@ -618,9 +816,9 @@ def _view_sql(src: str) -> dict[str, str]:
 
 _VIEW_FNS = {
     "p9_trend_extract": lambda w, h: V.trend_extract(w),
-    "a8_regional_mean": lambda w, h: V.regional_mean_by_year(w),
+    "a8_regional_mean": lambda w, h: _mean6(V.regional_mean_by_year(w), _IND0),
     "p10_equity_extract": lambda w, h: V.equity_extract(w),
-    "a9_regional_gpi": lambda w, h: V.regional_gpi(w),
+    "a9_regional_gpi": lambda w, h: _mean6(V.regional_gpi(w), V.GPI_VIEW_COL),
     "a10_overview_kpis": lambda w, h: V.overview_kpis(w, h),
     "a11_countries_per_region": lambda w, h: V.countries_per_region(w),
     "a12_availability": lambda w, h: V.availability_matrix(w),
@@ -633,7 +831,7 @@ _IMP_CTE = knn_ctes() + f",\nimp AS ({clip_round_select('knn_filled')})\n"
 
 def _imputed_view(view: str):
     def fn(spark, sf):
-        h = S.harmonized(spark, sf)
+        h = S.harmonized(spark, sf, materialized=True)
         return _VIEW_FNS[view](I.impute_wide(S.materialize(R.pivot_wide(h))), h)
     fn.__doc__ = f"{view} over the imputed wide table (what the dashboard shows)."
     return fn
@@ -643,13 +841,113 @@ for _view, _sql in _view_sql("imp").items():
     register(f"{_view}_imputed", with_stages("wide", _IMP_CTE + _sql))(_imputed_view(_view))
 
 
-# ---------------------------------------------------------------- k-NN at a scale that grows with the data
-# The country-keyed wide table is bounded (<= 930 rows); this variant keys the
-# wide table by supplier, so its rows grow with the input. Exact k-NN in SQL is
-# a self-join of all pairs and too slow on the whole table, so no oracle: the
-# operator is checked against a brute-force implementation in tests/.
+# ---------------------------------------------------------------- tables that grow with the data
+# The country-keyed tables are bounded; these variants key the same stages by
+# supplier, so their rows grow with the input.
 
-@register("i1_knn_supplier_entities")
+@register("i1_knn_supplier_entities", with_supplier_stages("wide", knn_ctes() + "\n" + clip_round_select("knn_filled")))
 def q_i1_supplier(spark, sf):
-    """I1 + I4 on the supplier-keyed wide table (donor chunks sized from a count)."""
-    return I.clip_round(I.knn_impute(S.supplier_wide(spark, sf), donor_chunks=None))
+    """I1 + I4 on the supplier-keyed wide table."""
+    return I.clip_round(I.knn_impute(S.supplier_wide(spark, sf)))
+
+
+@register("i1b_knn_supplier_blocked",
+          with_supplier_stages("wide", knn_ctes(block=["REGION", "YEAR"]) + "\n" + clip_round_select("knn_filled")))
+def q_i1b_supplier(spark, sf):
+    """Donors of the same region and year only, the growing table's variant with bounded work."""
+    return I.clip_round(I.knn_impute_blocked(S.supplier_wide(spark, sf), block=["REGION", "YEAR"]))
+
+
+@register("i2_iterative_supplier_observed", with_supplier_stages("wide", _OBSERVED_SQL))
+def q_i2_supplier(spark, sf):
+    """I2 on the supplier-keyed wide table: observed cells kept, none missing."""
+    w = S.supplier_wide(spark, sf)
+    return _observed_only(w, I.impute_wide(w, method="iterative"))
+
+
+@register("n6_scored_supplier_rows", with_supplier_stages("harmonized", _SCORED_SQL + """
+SELECT h.INDICATOR_ID, count(*) AS N_ROWS, count(CASE WHEN st.n IS NOT NULL AND h.VALUE IS NOT NULL THEN 1 END) AS N_SCORED,
+       true AS IN_RANGE, true AS FLAGS_FIT
+FROM harmonized h LEFT JOIN st ON st.INDICATOR_ID = h.INDICATOR_ID GROUP BY h.INDICATOR_ID"""))
+def q_n6_supplier(spark, sf):
+    """N3-N6 on the supplier-keyed long table: rows and scores per indicator, at most 5 % flagged."""
+    d = A.detect_anomalies(S.materialize(S.supplier_long(spark, sf)))
+    score = F.col("ANOMALY_SCORE")
+    return d.groupBy("INDICATOR_ID").agg(
+        F.count("*").alias("N_ROWS"), F.count(score).alias("N_SCORED"),
+        F.bool_and(F.coalesce((score >= -1) & (score < 0), F.lit(True))).alias("IN_RANGE"), F.count_if("IS_ANOMALY").alias("k")).select(
+        "INDICATOR_ID", "N_ROWS", "N_SCORED", "IN_RANGE", (F.col("k") <= F.floor(F.col("N_SCORED") * 0.05) + 1).alias("FLAGS_FIT"))
+
+
+# ---------------------------------------------------------------- parsing documents built from the tables
+# One small payload per order: its lines are the observations. Orders with a
+# key divisible by 13 have a document that breaks off.
+
+def _order_lines(spark, sf):
+    return read_table(spark, sf, "lineitem").select(
+        "l_orderkey", F.struct("l_linenumber", "l_shipdate", "l_quantity", "l_returnflag").alias("place"), "l_linenumber",
+        F.year("l_shipdate").cast("string").alias("year"), "l_quantity", "l_returnflag")
+
+
+_S_ROWS_SQL = """
+SELECT l_orderkey AS DOC, {ind} AS INDICATOR_ID, {iso} AS ISO3, {year} AS YEAR,
+       CASE WHEN l_orderkey % 5 = 0 THEN NULL ELSE CAST(l_quantity AS DOUBLE) END AS VALUE, {extra}
+       {pos} - 1 AS POS
+FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_shipdate, l_quantity, l_returnflag) AS rn FROM lineitem) WHERE l_orderkey % 13 <> 0"""
+
+
+def _json_documents(spark, sf):
+    key = F.when(F.col("l_orderkey") % 2 == 0, F.struct(F.lit("MDG").alias("countryId"), F.lit(None).cast("string").alias("country_id"))) \
+        .otherwise(F.struct(F.lit(None).cast("string").alias("countryId"), F.lit("GHA").alias("country_id")))
+    value = F.when(F.col("l_orderkey") % 5 == 0, F.lit("n/a")).otherwise(F.col("l_quantity").cast("string"))
+    obs = F.struct(key["countryId"].alias("countryId"), key["country_id"].alias("country_id"),
+                   F.concat("year", F.lit(".0")).alias("year"), value.alias("value"), F.col("l_returnflag").alias("qualifier"))
+    docs = _order_lines(spark, sf).groupBy(F.col("l_orderkey").alias("DOC")).agg(
+        F.to_json(F.struct(F.transform(F.array_sort(F.collect_list(F.struct("place", obs.alias("o")))),
+                                       lambda x: x["o"]).alias("data"))).alias("text"))
+    return docs.withColumn("text", F.when(F.col("DOC") % 13 == 0, F.expr("left(text, 9)")).otherwise(F.col("text")))
+
+
+@register("s3_json_payload", _S_ROWS_SQL.format(
+    ind="'CR.1'", iso="CASE WHEN l_orderkey % 2 = 0 THEN 'MDG' ELSE 'GHA' END", year="CAST(year(l_shipdate) AS INTEGER)",
+    extra="'' AS MAGNITUDE, l_returnflag AS QUALIFIER,", pos="rn"))
+def q_s3(spark, sf):
+    """S3 + S6: JSON payloads parsed from a column."""
+    rows, _ = feeds.parse_payload(_json_documents(spark, sf), "text", F.lit("CR.1"), ["DOC"])
+    return rows.select("DOC", "INDICATOR_ID", "ISO3", "YEAR", "VALUE", "MAGNITUDE", "QUALIFIER", "POS")
+
+
+@register("s3_json_broken", "SELECT DISTINCT l_orderkey AS DOC FROM lineitem WHERE l_orderkey % 13 = 0")
+def q_s3_broken(spark, sf):
+    """S3: the documents that cannot be read are reported."""
+    _, broken = feeds.parse_payload(_json_documents(spark, sf), "text", F.lit("CR.1"), ["DOC"])
+    return broken.select("DOC")
+
+
+def _xml_documents(spark, sf):
+    value = F.when(F.col("l_orderkey") % 5 == 0, F.lit("")).otherwise(F.col("l_quantity").cast("string"))
+    status = F.when(F.col("l_linenumber") % 2 == 0, F.concat(F.lit('<Attributes><Value id="OBS_STATUS" value="'), "l_returnflag",
+                                                             F.lit('"/></Attributes>'))).otherwise(F.lit(""))
+    obs = F.concat(F.lit('<Obs><ObsDimension value="'), "year", F.lit('"/><ObsValue value="'), value, F.lit('"/>'), status, F.lit("</Obs>"))
+    area = F.when(F.col("DOC") % 2 == 0, F.lit("REF_AREA")).otherwise(F.lit("COUNTRY"))
+    docs = _order_lines(spark, sf).groupBy(F.col("l_orderkey").alias("DOC")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", obs.alias("o")))), lambda x: x["o"]), "").alias("all"))
+    text = F.concat(F.lit('<Series><SeriesKey><Value id="INDICATOR" value="x"/><Value id="'), area, F.lit('" value="KEN"/></SeriesKey>'),
+                    "all", F.lit("</Series>"))
+    return docs.select("DOC", F.when(F.col("DOC") % 13 == 0, F.left(text, F.lit(60))).otherwise(text).alias("text"))
+
+
+@register("s4_sdmx_series", _S_ROWS_SQL.format(
+    ind="'CR.2'", iso="'KEN'", year="CAST(year(l_shipdate) AS INTEGER)",
+    extra="CASE WHEN l_linenumber % 2 = 0 THEN l_returnflag ELSE '' END AS OBS_STATUS,", pos="rn"))
+def q_s4(spark, sf):
+    """S4 + S6: SDMX series elements parsed from a column."""
+    rows, _ = feeds.parse_series(_xml_documents(spark, sf), "text", F.lit("CR.2"), ["DOC"])
+    return rows.select("DOC", "INDICATOR_ID", "ISO3", "YEAR", "VALUE", "OBS_STATUS", "POS")
+
+
+@register("s4_sdmx_broken", "SELECT DISTINCT l_orderkey AS DOC FROM lineitem WHERE l_orderkey % 13 = 0")
+def q_s4_broken(spark, sf):
+    """The series that do not parse are reported."""
+    _, broken = feeds.parse_series(_xml_documents(spark, sf), "text", F.lit("CR.2"), ["DOC"])
+    return broken.select("DOC")

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import (
-    ArrayType, BooleanType, DoubleType, IntegerType, LongType, StringType,
+    ArrayType, DoubleType, IntegerType, LongType, StringType,
     StructField, StructType,
 )
 
@@ -100,7 +100,6 @@ class QAConfig:
     gpi_max: float = 2.5
     year_min: int = 2000
     year_max: int = 2030
-    anomaly_contamination: float = 0.05
 
 
 @dataclass(frozen=True)
@@ -140,12 +139,6 @@ GPI_IDS = [i for i in INDICATOR_IDS if GPI_MARKER in i]
 COUNTRY_ISO3 = [c for c, _, _ in COUNTRIES]
 META_COLS = ["ISO3", "YEAR", "REGION", "INCOME_GROUP"]
 
-# The wide table is keyed by (ISO3, YEAR) with ISO3 restricted to the country
-# dimension and YEAR to the plausible range, so its row count is bounded no
-# matter how much raw data flows in. Operators that broadcast the wide table
-# (k-NN donors) rely on this bound and check it.
-WIDE_ROW_BOUND = len(COUNTRIES) * (QA.year_max - QA.year_min + 1)
-
 # ---------------------------------------------------------------------------
 # Schemas
 # ---------------------------------------------------------------------------
@@ -185,17 +178,6 @@ FEED_B_SCHEMA = StructType([
     StructField("INDICATOR_LABEL", StringType()),
 ])
 
-WIDE_SCHEMA = StructType(
-    [StructField("ISO3", StringType()), StructField("YEAR", IntegerType()),
-     StructField("REGION", StringType()), StructField("INCOME_GROUP", StringType())]
-    + [StructField(i, DoubleType()) for i in INDICATOR_IDS]
-)
-
-FLAG_SCHEMA = StructType(HARMONIZED_SCHEMA.fields + [
-    StructField("QA_FLAG", StringType()),
-    StructField("QA_DETAIL", StringType()),
-])
-
 COVERAGE_SCHEMA = StructType([
     StructField("INDICATOR_ID", StringType()),
     StructField("INDICATOR_LABEL", StringType()),
@@ -208,17 +190,6 @@ COVERAGE_SCHEMA = StructType([
     StructField("YEAR_MAX", IntegerType()),
 ])
 
-QA_SUMMARY_SCHEMA = StructType([
-    StructField("INDICATOR_ID", StringType()),
-    StructField("INDICATOR_LABEL", StringType()),
-    StructField("N_EXPECTED", LongType()),
-    StructField("N_VALID", LongType()),
-    StructField("N_MISSING", LongType()),
-    StructField("MISSING_PCT", DoubleType()),
-    StructField("N_FLAGGED", LongType()),
-    StructField("QA_STATUS", StringType()),
-])
-
 IMPUTATION_REPORT_SCHEMA = StructType([
     StructField("INDICATOR_ID", StringType()),
     StructField("INDICATOR_LABEL", StringType()),
@@ -231,17 +202,6 @@ IMPUTATION_REPORT_SCHEMA = StructType([
     StructField("METHOD", StringType()),
 ])
 
-ANOMALY_SUMMARY_SCHEMA = StructType([
-    StructField("INDICATOR_ID", StringType()),
-    StructField("INDICATOR_LABEL", StringType()),
-    StructField("N_OBSERVATIONS", LongType()),
-    StructField("N_ANOMALIES", LongType()),
-    StructField("ANOMALY_RATE_PCT", DoubleType()),
-])
-
-SCORED_EXTRA = [StructField("ANOMALY_SCORE", DoubleType()),
-                StructField("IS_ANOMALY", BooleanType())]
-
 CONCEPT_SCHEMA = StructType([
     StructField("INDICATOR_ID", StringType()),
     StructField("LABEL", StringType()),

@@ -36,18 +36,22 @@ def export_csv(df: DataFrame, path: str, order_by: list[str] | None = None,
     return path
 
 
-def export_json(df: DataFrame, path: str, dataset: str = EXPORT_DATASET_NAME) -> str:
-    """K4: records as JSON Lines (NULL cells kept) plus a one-row manifest
-    (dataset, generated, n_records, indicators) in ``<path>/_manifest``."""
-    df.write.mode("overwrite").option("ignoreNullFields", False).json(f"{path}/records")
+def manifest(df: DataFrame, dataset: str = EXPORT_DATASET_NAME) -> DataFrame:
+    """K4: one row with dataset, generated, n_records and the indicator labels."""
     kv = []
     for k, v in INDICATORS:
         kv += [F.lit(k), F.lit(v)]
-    manifest = df.agg(F.count(F.lit(1)).alias("n_records")).select(
+    return df.agg(F.count(F.lit(1)).alias("n_records")).select(
         F.lit(dataset).alias("dataset"),
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("generated"),
         "n_records", F.create_map(*kv).alias("indicators"))
-    manifest.coalesce(1).write.mode("overwrite").json(f"{path}/_manifest")
+
+
+def export_json(df: DataFrame, path: str, dataset: str = EXPORT_DATASET_NAME) -> str:
+    """K4: records as JSON Lines (NULL cells kept) plus the one-row
+    :func:`manifest` in ``<path>/_manifest``."""
+    df.write.mode("overwrite").option("ignoreNullFields", False).json(f"{path}/records")
+    manifest(df, dataset).coalesce(1).write.mode("overwrite").json(f"{path}/_manifest")
     return path
 
 

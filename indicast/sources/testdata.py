@@ -32,18 +32,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan over all cores only when it yields fewer splits than
-    cores (a small file with a single row group is read by one task). A large
-    input already has thousands of splits and is left as it is."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without a SparkContext keep the scan as is
-        return df
-    return df.repartition(cores) if splits < cores else df
-
-
 def _lookup(values: list[str], key, default: str):
     kv = []
     for i, v in enumerate(values):
@@ -51,16 +39,41 @@ def _lookup(values: list[str], key, default: str):
     return F.coalesce(F.element_at(F.create_map(*kv), key.cast("int")), F.lit(default))
 
 
-def raw_observations(spark: SparkSession, sf_dir: str, with_entity: bool = False) -> DataFrame:
+# The dirty variant of the mapping. Two ids are sparse (kept for half of the
+# countries and years only), and text cells come in these forms, by row:
+SPARSE_IDS = ["CR.3", "GPIA.CR.2"]
+#   VALUE by l_orderkey % 11: padded; 1e2; not a number; NaN; else plain
+#   YEAR  by l_linenumber % 7 (order keys divisible by 3): 2010.0, 2010.5, text, padded; else plain
+#   ISO3  by (l_orderkey + l_linenumber) % 9: padded lower case, blank, null; else plain
+
+
+def _dirty(observed: DataFrame) -> DataFrame:
+    """The same observations as untyped text with dirty cells."""
+    order, line = F.col("ORD_A"), F.col("ORD_B")
+    value, year = F.col("VALUE").cast("string"), F.col("YEAR").cast("string")
+    v, y, c = order % 11, F.when(order % 3 == 0, line % 7).otherwise(0), (order + line) % 9
+    sparse = F.col("INDICATOR_ID").isin(*SPARSE_IDS)
+    place = F.col("_nation") * 2 + F.col("YEAR")
+    return observed.where(~sparse | ((F.col("_nation") % 2 == 0) & (place % 4 == 0))).withColumns({
+        "VALUE": F.when(v == 0, F.concat(F.lit("  "), value, F.lit("\t"))).when((v == 1) & value.isNotNull(), F.lit("1e2"))
+                 .when(v == 2, F.lit("x")).when(v == 3, F.lit("nan")).otherwise(value),
+        "YEAR": F.when(y == 1, F.concat(year, F.lit(".0"))).when(y == 2, F.concat(year, F.lit(".5")))
+                .when(y == 3, F.lit("n/a")).when(y == 4, F.concat(F.lit(" "), year, F.lit(" "))).otherwise(year),
+        "ISO3": F.when(c == 0, F.concat(F.lit(" "), F.lower("ISO3"), F.lit("\n"))).when(c == 1, F.lit("   "))
+                .when(c == 2, F.lit(None)).otherwise(F.col("ISO3"))})
+
+
+def raw_observations(spark: SparkSession, sf_dir: str, with_entity: bool = False, dirty: bool = False) -> DataFrame:
     """Raw long observations: INDICATOR_ID, ISO3, YEAR, VALUE, SOURCE, ORD_A, ORD_B.
 
     Column pruning keeps the scans to the six lineitem columns, one part column
     and two supplier columns; join strategy is left to Catalyst/AQE, which
     broadcasts a side only when its measured size is under the threshold.
+    ``dirty`` gives ISO3, YEAR and VALUE as text with cells in need of parsing.
     """
-    li = spread(read_table(spark, sf_dir, "lineitem").select(
+    li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_discount", "l_shipdate"))
+        "l_discount", "l_shipdate")
     part = read_table(spark, sf_dir, "part").select("p_partkey")
     supp = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
 
@@ -70,7 +83,7 @@ def raw_observations(spark: SparkSession, sf_dir: str, with_entity: bool = False
         .when(bucket.isin(*PARITY_BUCKETS), F.round(F.lit(0.7) + F.col("l_discount") * 6, 4))
         .otherwise(F.round(F.col("l_quantity") * 2.02, 2))
     )
-    return (
+    observed = (
         li.join(part, F.col("p_partkey") == F.col("l_partkey"))
         .join(supp, F.col("s_suppkey") == F.col("l_suppkey"))
         .select(
@@ -84,8 +97,10 @@ def raw_observations(spark: SparkSession, sf_dir: str, with_entity: bool = False
             F.col("l_linenumber").alias("ORD_B"),
             *([F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("ENTITY")]
               if with_entity else []),
+            *([F.col("s_nationkey").alias("_nation")] if dirty else []),
         )
     )
+    return _dirty(observed).drop("_nation") if dirty else observed
 
 
 # The same mapping as DuckDB SQL, used by the oracles.
@@ -107,3 +122,14 @@ SELECT
   l_orderkey AS ORD_A, l_linenumber AS ORD_B
 FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey
 """
+
+# The dirty variant, stated as what each form of cell must be read as.
+DIRTY_SQL = f"""
+SELECT INDICATOR_ID,
+  CASE (ORD_A + ORD_B) % 9 WHEN 1 THEN '' WHEN 2 THEN NULL ELSE ISO3 END AS ISO3,
+  CASE WHEN ORD_A % 3 = 0 AND ORD_B % 7 IN (2, 3) THEN NULL ELSE YEAR END AS YEAR,
+  CASE WHEN ORD_A % 11 IN (2, 3) THEN NULL WHEN ORD_A % 11 = 1 AND VALUE IS NOT NULL THEN 100.0 ELSE VALUE END AS VALUE,
+  SOURCE, ORD_A, ORD_B
+FROM ({RAW_SQL.replace("l_linenumber AS ORD_B", "l_linenumber AS ORD_B, s_nationkey AS nation")})
+WHERE INDICATOR_ID NOT IN ('CR.3', 'GPIA.CR.2') OR (nation % 2 = 0 AND (nation * 2 + YEAR) % 4 = 0)
+"""

@@ -2,38 +2,39 @@
 
 The batch pipeline recomputes everything; when feed files keep landing, the
 same normalisation (P1-P3) can run incrementally: a file-source stream picks
-up new files only, and the file sink with a checkpoint under the shared
-checkpoint folder gives exactly-once output across restarts and lost
-executors. ``trigger(availableNow=True)`` processes the backlog and stops,
+up new files only, and the file sink with a stable checkpoint folder gives
+exactly-once output across restarts and lost executors. Cells are read as text
+and parsed leniently. ``trigger(availableNow=True)`` processes the backlog and stops,
 which suits scheduled runs.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from indicast.operators.harmonize import enforce_schema
 from indicast.schema import FEED_A_SCHEMA
-from indicast.session import checkpoint_dir
 
 
 def landed_csv_stream(spark: SparkSession, landing_dir: str,
                       schema: StructType = FEED_A_SCHEMA) -> DataFrame:
     """Streaming DataFrame over header CSV files landing in ``landing_dir``."""
-    return spark.readStream.schema(schema).option("header", True).csv(landing_dir)
+    text = StructType([StructField(f.name, StringType()) for f in schema.fields])
+    return spark.readStream.schema(text).option("header", True).csv(landing_dir)
 
 
 def ingest_landed_feed(spark: SparkSession, landing_dir: str, sink_dir: str, source_name: str,
-                       checkpoint: str | None = None, schema: StructType = FEED_A_SCHEMA,
+                       checkpoint: str, schema: StructType = FEED_A_SCHEMA,
                        extra_cols: tuple[str, ...] = ()) -> StreamingQuery:
-    """Normalise new landed files into the long schema and append them as Parquet."""
+    """Normalise new landed files into the long schema and append them as Parquet.
+
+    ``checkpoint`` is the stream's progress folder, on shared storage and the
+    same at every run: a run with another folder would start from the first
+    file again. It is therefore required and never derived from the session."""
     stream = enforce_schema(landed_csv_stream(spark, landing_dir, schema), source_name,
                             extra_cols=extra_cols)
-    ckpt = checkpoint or os.path.join(checkpoint_dir(spark), "streams", f"ingest-{source_name}")
     return (stream.writeStream.format("parquet").option("path", sink_dir)
-            .option("checkpointLocation", ckpt).outputMode("append")
+            .option("checkpointLocation", checkpoint).outputMode("append")
             .trigger(availableNow=True).start())

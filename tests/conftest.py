@@ -5,12 +5,9 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from indicast.schema import HARMONIZED_SCHEMA  # noqa: E402
+from indicast.schema import HARMONIZED_COLS, HARMONIZED_SCHEMA  # noqa: E402
 from indicast.session import build_session  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_CHECK = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -18,24 +15,8 @@ def spark():
     yield s
 
 
-def base_rows(n=20, indicator="CR.1", label="Completion rate — primary"):
-    """Minimal valid harmonised rows: 5 countries cycling, consecutive years,
-    values evenly spaced from 50 to 90."""
-    iso = ["MDG", "GHA", "KEN", "ETH", "NGA"] * (n // 5 + 1)
-    vals = [50.0 + (90.0 - 50.0) * i / (n - 1) for i in range(n)]
-    return [[indicator, label, iso[i], 2010 + i, vals[i], "UIS_API", "Sub-Saharan Africa", "Low income"]
-            for i in range(n)]
-
-
-def gpi_rows(n=20):
-    rows = base_rows(n, "GPIA.CR.1", "GPI — completion rate, primary")
-    for i, r in enumerate(rows):
-        r[4] = 0.80 + (1.20 - 0.80) * i / (n - 1)
-    return rows
-
-
 @pytest.fixture
 def make_df(spark):
     def mk(rows):
-        return spark.createDataFrame([tuple(r) for r in rows], HARMONIZED_SCHEMA)
+        return spark.createDataFrame([tuple(r[c] for c in HARMONIZED_COLS) for r in rows], HARMONIZED_SCHEMA)
     return mk

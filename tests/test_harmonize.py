@@ -40,7 +40,7 @@ def test_tie_break_and_value_nulls_last(spark):
         [("CR.1", "MDG", "2010", None, "UIS_API", 1), ("CR.1", "MDG", "2010", "7", "UIS_API", 1),
          ("CR.1", "MDG", "2010", "3", "UIS_API", 2)],
         "INDICATOR_ID string, ISO3 string, YEAR string, VALUE string, SOURCE string, T int")
-    d = H.dedup_by_priority(H.enforce_schema(df, extra_cols=["T"]), ["SOURCE", "T"], value_nulls_last=True)
+    d = H.dedup_by_priority(H.enforce_schema(df, extra_cols=["T"]), ["SOURCE", "T"])
     assert [r["VALUE"] for r in d.collect()] == [7.0]
 
 
@@ -63,26 +63,42 @@ def test_dedup_plan_is_partial_aggregate(spark):
     assert "partial_min" in plan and "Window" not in plan
 
 
+def test_first_record_of_a_source_wins_and_no_value_is_lost_to_null(spark):
+    cols = ("INDICATOR_ID", "ISO3", "YEAR", "VALUE", "SOURCE", "FILE", "POS")
+    rows = [("CR.1", "MDG", "2010", "50", "UIS_API", "a", "0"), ("CR.1", "MDG", "2010", None, "UIS_API", "a", "1"),
+            ("CR.1", "GHA", "2010", "70", "UIS_API", "a", "2"), ("CR.1", "GHA", "2010", "20", "UIS_API", "a", "3"),
+            ("CR.1", "KEN", "2010", None, "UIS_API", "a", "4"), ("CR.1", "KEN", "2010", "30", "UIS_API", "a", "5"),
+            ("CR.1", "KEN", "2010", "31", "UIS_SDMX", "b", "0")]
+    df = H.enforce_schema(raw(spark, rows, cols), extra_cols=["FILE", "POS"])
+    values = lambda **kw: {r["ISO3"]: r["VALUE"] for r in H.harmonize(df, **kw).collect()}
+    assert values(tie_break=["FILE", "POS"]) == {"MDG": 50.0, "GHA": 70.0, "KEN": None}
+    assert values(tie_break=["FILE", "POS"], prefer_non_null=True) == {"MDG": 50.0, "GHA": 70.0, "KEN": 30.0}
+    assert values() == {"MDG": 50.0, "GHA": 20.0, "KEN": 30.0}  # no place known: never NULL over a value
+
+
 def test_coverage_catalogue_rows_and_values(spark, make_df):
-    from conftest import base_rows
-    cov = {r["INDICATOR_ID"]: r for r in R.coverage(make_df(base_rows())).collect()}
+    from support import panel
+    cov = {r["INDICATOR_ID"]: r for r in R.coverage(make_df(panel())).collect()}
     assert len(cov) == 11
-    cr = cov["CR.1"]
-    assert (cr["N_COUNTRIES"], cr["N_YEARS"], cr["N_OBSERVATIONS"], cr["N_MISSING"]) == (5, 20, 20, 80)
-    assert cr["COVERAGE_PCT"] == 20.0 and (cr["YEAR_MIN"], cr["YEAR_MAX"]) == (2010, 2029)
+    own = cov["ROFST.2"]
+    assert (own["N_COUNTRIES"], own["N_YEARS"], own["N_OBSERVATIONS"], own["N_MISSING"]) == (3, 4, 12, 0)
+    assert own["COVERAGE_PCT"] == 100.0 and (own["YEAR_MIN"], own["YEAR_MAX"]) == (2004, 2007)
     empty = cov["TRTP.2"]
-    assert empty["N_OBSERVATIONS"] == 0 and empty["YEAR_MIN"] is None and empty["N_MISSING"] == 100
+    assert empty["N_OBSERVATIONS"] == 0 and empty["YEAR_MIN"] is None and empty["N_MISSING"] == 12
 
 
 def test_pivot_semantics(spark, make_df):
-    from conftest import base_rows
-    rows = base_rows(3)
-    rows.append(list(rows[0])); rows[-1][4] = 99.0           # duplicate key: largest value wins
-    rows.append(["XX.9", None, "IND", 2011, 5.0, "UIS_API", "South Asia", "Lower middle income"])
-    rows.append(["CR.1", None, "BRA", 2011, 5.0, "UIS_API", None, "Upper middle income"])
-    rows.append(["CR.2", None, "MDG", 2010, None, "UIS_API", "Sub-Saharan Africa", "Low income"])
-    w = {(r["ISO3"], r["YEAR"]): r for r in R.pivot_wide(make_df(rows)).collect()}
+    from support import panel
+    rows = panel("CR.1", ("MDG", "IND"), (2010, 2011))
+    extra = lambda base, **kw: {**base, **kw}
+    rows.append(extra(rows[0], VALUE=99.0))                       # duplicate key: largest value wins
+    rows.append(extra(rows[2], INDICATOR_ID="XX.9", ISO3="NPL", INCOME_GROUP="Low income"))
+    rows.append(extra(rows[2], ISO3="BRA", REGION=None))
+    rows.append(extra(rows[0], INDICATOR_ID="CR.2", VALUE=None))
+    out = R.pivot_wide(make_df(rows))
+    w = {(r["ISO3"], r["YEAR"]): r for r in out.collect()}
     assert w[("MDG", 2010)]["CR.1"] == 99.0 and w[("MDG", 2010)]["CR.2"] is None
-    assert ("BRA", 2011) not in w                              # NULL region dropped
-    assert all(w[("IND", 2011)][c] is None for c in ["CR.1", "TRTP.2"])  # unknown id only
-    assert list(R.pivot_wide(make_df(rows)).columns[:5]) == ["ISO3", "YEAR", "REGION", "INCOME_GROUP", "CR.1"]
+    assert ("BRA", 2010) not in w                                  # NULL region dropped
+    assert all(w[("NPL", 2010)][c] is None for c in ["CR.1", "TRTP.2"])  # unknown id only
+    assert out.columns[:5] == ["ISO3", "YEAR", "REGION", "INCOME_GROUP", "CR.1"]
+    assert [r["YEAR"] for r in R.wide_order(out).where("ISO3 = 'MDG'").collect()] == [2010, 2011]

@@ -3,6 +3,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from indicast.plans.publish import StagedRun
@@ -36,12 +37,22 @@ def land(tmp_path):
 
 def test_staged_run(spark, tmp_path):
     api, sdmx = land(tmp_path)
-    run = StagedRun(spark, str(tmp_path / "stages"))
-    written = run.run_all(api=api, sdmx=sdmx)
+    base = str(tmp_path / "stages")
+    written = {}
+    steps = [("ingest", {"api": api, "sdmx": sdmx}), ("harmonize", {"extra": True}), ("merge", {}), ("validate", {}),
+             ("anomaly", {}), ("impute", {}), ("metadata", {}), ("export", {})]
+    for name, kw in steps:  # every stage in an object of its own: only storage connects them
+        one = StagedRun(spark, base)
+        getattr(one, name)(**kw)
+        written |= one.written
+    run = StagedRun(spark, base)
     for name in ("harmonized", "coverage", "wide", "qa_summary", "qa_flagged", "scored",
                  "imputed", "imputation_report", "lineage", "registry"):
         assert name in written, name
     h = run.table("harmonized")
+    assert h.columns[-3:] == ["MAGNITUDE", "QUALIFIER", "OBS_STATUS"]
+    assert {r["OBS_STATUS"] for r in h.where("SOURCE = 'UIS_SDMX'").collect()} == {"E"}
+    assert run.table("unparsed").count() == 0
     # API rows win over SDMX rows on the same key; SDMX fills the API gaps for MDG.
     mdg = {r["YEAR"]: (r["SOURCE"], r["VALUE"]) for r in
            h.where((F.col("INDICATOR_ID") == "CR.1") & (F.col("ISO3") == "MDG")).collect()}
@@ -61,3 +72,12 @@ def test_staged_run(spark, tmp_path):
     assert steps[3] == h.count() and steps[7] == n_wide
     assert sorted(os.listdir(run.path("bundle"))) == ["Coverage", "Data", "Imputation", "Metadata"]
     assert spark.read.parquet(run.path("exports/parquet")).count() == n_wide
+
+
+def test_missing_stages_are_named(spark, tmp_path):
+    run = StagedRun(spark, str(tmp_path / "none"))
+    with pytest.raises(FileNotFoundError, match="run ingest first"):
+        run.harmonize()
+    with pytest.raises(FileNotFoundError, match="'imputed'"):
+        run.export()
+    assert run.metadata().where("STEP = 3").count() == 1

@@ -17,7 +17,7 @@ def skewed(spark, n=3000):
 
 def test_dedup_hot_key(spark):
     df, hot, cold = skewed(spark)
-    d = H.dedup_by_priority(df, ["SOURCE", "T"], value_nulls_last=True)
+    d = H.dedup_by_priority(df, ["SOURCE", "T"])
     got = {(r["INDICATOR_ID"], r["ISO3"], r["YEAR"]): (r["SOURCE"], r["T"]) for r in d.collect()}
     best_hot = min((s, t) for *_, s, t in [(r[0], r[1], r[2], r[4], r[5]) for r in hot])
     assert got[("CR.1", "MDG", 2010)] == best_hot

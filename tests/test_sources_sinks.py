@@ -41,16 +41,38 @@ def test_json_payload(spark, tmp_path):
         {"countryId": "MDG", "year": 2010, "value": 51.5, "magnitude": "", "qualifier": ""},
         {"country_id": "GHA", "year": 2011, "value": None},
         {"year": "2012.0", "value": "7"}]}))
-    rows = sorted(tuple(r) for r in SRC.read_json_feed(spark, str(tmp_path / "*.json")).collect())
+    (tmp_path / "CR.3.json").write_text("{broken")
+    found, broken = SRC.read_json_documents(spark, str(tmp_path / "*.json"))
+    assert [(r["FILE"][-9:], r["DOCUMENT"]) for r in broken.collect()] == [("CR.3.json", "{broken")]
+    assert [r["ISO3"] for r in found.orderBy("FILE", "POS").collect()] == ["MDG", "GHA", ""]
+    rows = sorted(tuple(r) for r in found.drop("FILE", "POS").collect())
     assert rows == [
         ("CR.2", "", 2012, 7.0, "", "", "Completion rate — lower secondary education"),
         ("CR.2", "GHA", 2011, None, "", "", "Completion rate — lower secondary education"),
         ("CR.2", "MDG", 2010, 51.5, "", "", "Completion rate — lower secondary education")]
 
 
+def test_broken_series_are_reported(spark):
+    from pyspark.sql import functions as F
+    docs = spark.createDataFrame([(1, '<Series><SeriesKey><Value id="REF_AREA" value="MDG"/></SeriesKey><Obs>'
+                                      '<ObsDimension value="2010"/></Obs></Series>'), (2, "<Series><Obs"), (3, None)], "k int, t string")
+    rows, broken = SRC.parse_series(docs, "t", F.lit("CR.1"), ["k"])
+    assert [(r["k"], r["ISO3"], r["YEAR"], r["POS"]) for r in rows.collect()] == [(1, "MDG", 2010, 0)]
+    assert sorted(r["k"] for r in broken.collect()) == [2, 3]
+
+
+def test_csv_cells_are_read_leniently_and_in_order(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("INDICATOR_ID,ISO3,YEAR,VALUE\nCR.1,MDG,2010.0,1e2\nCR.1,GHA, 2011 , 7 \nCR.1,KEN,2012.5,x\n,,,\n")
+    schema = "INDICATOR_ID string, ISO3 string, YEAR int, VALUE double"
+    from pyspark.sql.types import StructType
+    out = SRC.read_csv_table(spark, str(tmp_path / "a.csv"), StructType.fromDDL(schema), with_position=True)
+    rows = [(r["ISO3"], r["YEAR"], r["VALUE"]) for r in out.orderBy("FILE", "POS").collect()]
+    assert rows == [("MDG", 2010, 100.0), ("GHA", 2011, 7.0), ("KEN", None, None), (None, None, None)]
+
+
 def test_csv_round_trip_and_optional(spark, tmp_path, make_df):
-    from conftest import base_rows
-    df = make_df(base_rows())
+    from support import panel
+    df = make_df(panel())
     K.write_stage(df, str(tmp_path / "h"), fmt="csv")
     back = SRC.read_csv_table(spark, str(tmp_path / "h"))
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
@@ -59,8 +81,8 @@ def test_csv_round_trip_and_optional(spark, tmp_path, make_df):
 
 
 def test_export_all_and_bundle(spark, tmp_path, make_df):
-    from conftest import base_rows
-    df = make_df(base_rows())
+    from support import panel
+    df = make_df(panel(countries=("KEN", "BRA", "FRA", "IND", "MDG"), years=range(2004, 2008)))
     out = K.export_all(df, str(tmp_path / "x"))
     assert set(out) == {"csv", "json", "parquet"}
     man = spark.read.json(out["json"] + "/_manifest").first()
@@ -89,20 +111,21 @@ def test_registry_round_trip(spark, tmp_path):
     assert back["concept_scheme"]["concepts"]["CR.1"]["unit"] == "Percentage"
 
 
-def test_streaming_ingest(spark, tmp_path):
+def test_streaming_ingest_keeps_every_row_over_three_sessions(spark, tmp_path):
     land = tmp_path / "landing"
     land.mkdir()
-    (land / "a.csv").write_text("INDICATOR_ID,ISO3,YEAR,VALUE,MAGNITUDE,QUALIFIER,INDICATOR_LABEL\n"
-                                "CR.1, mdg ,2010,51.5,,,x\nCR.1,GHA,2011,,,,x\n")
-    sink = str(tmp_path / "sink")
-    q = ingest_landed_feed(spark, str(land), sink, "UIS_API", checkpoint=str(tmp_path / "ck"))
-    q.awaitTermination(120)
-    (land / "b.csv").write_text("INDICATOR_ID,ISO3,YEAR,VALUE,MAGNITUDE,QUALIFIER,INDICATOR_LABEL\n"
-                                "CR.2,KEN,2012,3,,,y\n")
-    q = ingest_landed_feed(spark, str(land), sink, "UIS_API", checkpoint=str(tmp_path / "ck"))
-    q.awaitTermination(120)
-    rows = sorted(tuple(r) for r in spark.read.parquet(sink).select("INDICATOR_ID", "ISO3", "YEAR", "VALUE",
-                                                                    "SOURCE").collect())
+    sink, progress = str(tmp_path / "sink"), str(tmp_path / "progress")
+    head = "INDICATOR_ID,ISO3,YEAR,VALUE,MAGNITUDE,QUALIFIER,INDICATOR_LABEL\n"
+    for i, text in enumerate(["CR.1, mdg ,2010,51.5,,,x\nCR.1,GHA,2011.0,,,,x\n", "CR.2,KEN,2012,3,,,y\n", "CR.2,FRA,2013,4,,,y\n"]):
+        (land / f"{i}.csv").write_text(head + text)
+        own = spark.newSession()
+        assert ingest_landed_feed(own, str(land), sink, "UIS_API", progress).awaitTermination(120)
+    rows = sorted(tuple(r) for r in spark.read.parquet(sink).select("INDICATOR_ID", "ISO3", "YEAR", "VALUE", "SOURCE").collect())
     assert rows == [("CR.1", "GHA", 2011, None, "UIS_API"), ("CR.1", "MDG", 2010, 51.5, "UIS_API"),
-                    ("CR.2", "KEN", 2012, 3.0, "UIS_API")]
-    assert os.path.isdir(str(tmp_path / "ck"))
+                    ("CR.2", "FRA", 2013, 4.0, "UIS_API"), ("CR.2", "KEN", 2012, 3.0, "UIS_API")]
+
+
+def test_stream_progress_folder_is_required(spark, tmp_path):
+    import pytest
+    with pytest.raises(TypeError):
+        ingest_landed_feed(spark, str(tmp_path), str(tmp_path / "s"), "UIS_API")
