@@ -10,7 +10,8 @@
    kinds ``DEFAULT_WEIGHTS`` stand in.
 3. Log-odds become terminal capacities. Neighbouring blocks, and blocks with
    the same parent, are tied by edges whose capacity halves with every step to
-   their nearest common ancestor. The minimum cut labels the blocks.
+   their nearest common ancestor, and falls where only one of the two is marked
+   as boilerplate. The minimum cut labels the blocks.
 
 Character references are decoded, white space in a block becomes one space, and
 the content blocks are joined in page order by one line feed.
@@ -75,7 +76,7 @@ _RAW_END = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in ("script", "style",
 INSIDE, OUTSIDE, HIDDEN = 4.0, -6.0, -30.0
 #: The text model's log-odds are kept within this.
 TEXT_LIMIT = 3.0
-TIE = 1.0
+TIE, MARKED = 2.0, 0.25
 
 
 @dataclass
@@ -265,7 +266,7 @@ def _comment_titles(found: list[Block]) -> None:
 
 FEATURES = ["one", "log_words", "linked", "stops", "capitals", "digits", "heading", "paragraph", "item", "cell"]
 #: Used when a sample has too few clear examples of either kind.
-DEFAULT_WEIGHTS = [-2.0, 0.9, -4.0, 3.0, -1.0, -2.0, 1.0, 1.0, -0.8, -0.5]
+DEFAULT_WEIGHTS = [-2.0, 0.9, -4.0, 3.0, -1.0, -2.0, 1.0, 1.0, -0.3, -0.3]
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 
@@ -301,16 +302,21 @@ def _distance(a: Element, b: Element) -> int:
 
 
 def ties(found: list[Block]) -> list[tuple[int, int, float]]:
-    """Edges between neighbouring blocks and between siblings that others part."""
+    """Edges between neighbouring blocks and between siblings that others part;
+    weaker where an element marks only one of the two as boilerplate."""
     out = []
+
+    def tie(i: int, j: int, w: float) -> tuple[int, int, float]:
+        apart = (found[i].element.cue < 0) != (found[j].element.cue < 0)
+        return i, j, w * (MARKED if apart else 1.0)
     last: dict[int, int] = {}
     for i, b in enumerate(found):
         home = b.element.parent or b.element
         if i:
-            out.append((i - 1, i, TIE * 0.5 ** max(0, _distance(found[i - 1].element, b.element) - 2)))
+            out.append(tie(i - 1, i, TIE * 0.5 ** max(0, _distance(found[i - 1].element, b.element) - 2)))
         j = last.get(id(home))
         if j is not None and j != i - 1:
-            out.append((j, i, TIE / 2))
+            out.append(tie(j, i, TIE / 2))
         last[id(home)] = i
     return out
 
