@@ -134,6 +134,7 @@ def blocks(page: str) -> list[Block]:
     open_now, now = root, Block(root)
     out: list[Block] = []
     silent = links = 0  # open elements without text, open links
+    count: dict[str, int] = {}  # open elements by tag
     at, size = 0, len(page)
 
     def say(text: str) -> None:
@@ -159,12 +160,15 @@ def blocks(page: str) -> list[Block]:
         while True:
             silent -= node.tag in NO_TEXT
             links -= node.tag == "a"
+            count[node.tag] -= 1
             if node is to:
                 break
             node = node.parent
         open_now = to.parent
 
     def find(tags: set[str], stop: set[str]) -> Element | None:
+        if not any(count.get(t) for t in tags):
+            return None
         node = open_now
         while node.parent is not None:
             if node.tag in tags:
@@ -243,6 +247,7 @@ def blocks(page: str) -> list[Block]:
         open_now = Element(tag, open_now, open_now.depth + 1, cue, firm)
         silent += tag in NO_TEXT
         links += tag == "a"
+        count[tag] = count.get(tag, 0) + 1
         if tag in BLOCK:
             now = Block(open_now)
     flush(root)

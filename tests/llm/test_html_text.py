@@ -61,6 +61,16 @@ def test_markup_edge_cases(page, want):
     assert text(page) == want
 
 
+def test_long_and_deep_pages_take_linear_time():
+    import time
+    began = time.time()
+    deep = "<div>" * 40000 + f"<article><p>{LONG}</p></article>"
+    assert text(deep) == LONG
+    assert text("<article>" + f"<p>{LONG}<i>x" * 20000).count("\n") == 19999
+    text("<a \"" * 30000)
+    assert time.time() - began < 60
+
+
 def test_rows(spark):
     big = "<article>" + f"<p>{LONG}</p>" * 20000 + "</article>"
     rows = [(1, "u", None), (None, None, f"<article><p>{LONG}"), (2, "u", ""), (2, "u", ""), (3, "v", big)]
