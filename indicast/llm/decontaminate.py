@@ -14,7 +14,8 @@ non-ASCII characters, so case and punctuation do not matter.
    is aligned with the item, word by word: ``MATCH`` for equal words, ``MISS``
    and ``GAP`` otherwise. A document is contaminated by an item if the best
    local alignment reaches ``SHARE`` of the item's full score, or the score of
-   ``LONG_RUN`` equal words.
+   ``LONG_RUN`` equal words; for short items not below the score of ``SHORT_RUN``
+   equal words or ``NEARLY_ALL`` of the item.
 
 Documents are scanned where they lie; nothing is shuffled but word counts.
 
@@ -43,6 +44,7 @@ MIN_WORDS = 8
 MATCH, MISS, GAP = 2, -1, -1
 SHARE = 0.4
 LONG_RUN = 25
+SHORT_RUN, NEARLY_ALL = 10, 0.9
 FILTER_LOG2 = 22
 
 _PLAIN = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
@@ -129,7 +131,8 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
 
 
 def contaminated(score: int, size: int) -> bool:
-    return score >= min(SHARE * MATCH * size, LONG_RUN * MATCH)
+    full = MATCH * size
+    return score >= max(min(SHARE * full, LONG_RUN * MATCH), min(NEARLY_ALL * full, SHORT_RUN * MATCH))
 
 
 def matches(block: Block, hashes: np.ndarray, hits: np.ndarray):
