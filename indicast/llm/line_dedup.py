@@ -63,20 +63,22 @@ class LineIndex:
         self.shelf.spark.sql(f"DROP TABLE IF EXISTS {name}")
         self.shelf.drop(name)
 
-    def runs(self) -> list[DataFrame]:
-        return [df for level in self.levels for _, df in level]
-
-    def merged(self, runs: list[DataFrame]) -> DataFrame:
-        rows = runs[0]
-        for run in runs[1:]:
-            rows = rows.union(run)
+    def runs(self) -> list[tuple[str, DataFrame]]:
+        return [run for level in self.levels for run in level]
+
+    def merged(self, runs: list[tuple[str, DataFrame]]) -> DataFrame:
+        """One row per key of the runs. They are read as plain files: a union of
+        bucketed scans passes for partitioned by key, though a key's rows lie in
+        different partitions, and would be aggregated without an exchange."""
+        files = [f"{self.shelf.path}/{name}" for name, _ in runs]
+        rows = self.shelf.spark.read.schema(runs[0][1].schema).parquet(*files)
         return rows.groupBy("h1", "h2").agg(F.sum("n").alias("n"), F.max("last").alias("last"))
 
     def add(self, lines: DataFrame) -> None:
         """Add a batch of ``h1, h2, id``; ids must be below those of earlier batches."""
         once = lines.select("h1", "h2", "id").distinct()
         batch = once.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.max("id").alias("last"))
-        for run in self.runs():
+        for _, run in self.runs():
             batch = batch.join(run.filter(F.col("n") >= self.min_docs), ["h1", "h2"], "left_anti")
         self.levels[0].append(self._write(batch))
         for i in range(len(self.levels)):
@@ -84,10 +86,15 @@ class LineIndex:
                 full, self.levels[i] = self.levels[i], []
                 if i + 1 == len(self.levels):
                     self.levels.append([])
-                self.levels[i + 1].append(self._write(self.merged([df for _, df in full])))
+                self.levels[i + 1].append(self._write(self.merged(full)))
                 for name, _ in full:
                     self._remove(name)
 
+    def clear(self) -> None:
+        for name, _ in self.runs():
+            self._remove(name)
+        self.levels = [[]]
+
     def repeated(self) -> DataFrame:
         """``h1, h2, last`` of the keys found in at least ``min_docs`` documents."""
         return self.merged(self.runs()).filter(F.col("n") >= self.min_docs).select("h1", "h2", "last")
@@ -112,7 +119,10 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
     index = LineIndex(shelf, min_docs)
     for i in range(batches):
         index.add(lines.filter(F.col("batch") == i))
-    return (lines.join(index.repeated(), ["h1", "h2"]).filter("id <> last")
+    # Kept, so that the join has a plain exchange on both sides and a hot line's rows can be split.
+    hot = shelf.keep(index.repeated(), "repeated")
+    index.clear()
+    return (lines.join(hot, ["h1", "h2"]).filter("id <> last")
             .groupBy("k1", "k2").agg(F.collect_set("pos").alias("gone")))
 
 
