@@ -1,6 +1,5 @@
 """Harmonisation semantics: parsing, de-dup priority, filters, enrichment."""
 
-from pyspark.sql import functions as F
 
 from indicast.operators import harmonize as H
 from indicast.operators import reshape as R

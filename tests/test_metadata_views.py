@@ -1,6 +1,5 @@
 """Metadata tables, dashboard views and the driver contract."""
 
-from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from indicast.operators import metadata as M
