@@ -31,7 +31,6 @@ from __future__ import annotations
 import os
 import struct
 import uuid
-import zlib
 from hashlib import sha1
 
 import numpy as np
@@ -47,6 +46,8 @@ from indicast.llm.common import Shelf, blobs, chunks, row_key, worker_cache
 from indicast.llm.pieces import Recent, pieces, simple_words
 
 FRAME_BYTES = 1 << 20
+#: Frames that one read takes after opening a file.
+FRAMES_PER_READ = 16
 END_ID = 1
 LEVEL = 1
 # Fixed values of the seekable zstandard format.
@@ -219,14 +220,15 @@ def _read(folder: str):
     def run(batches):
         files, path = open_folder(folder)
         for batch in batches:
-            for name, frame, before in zip(*(batch.column(c).to_pylist() for c in ("file", "frame", "before"))):
+            for name, low, before in zip(*(batch.column(c).to_pylist() for c in ("file", "low", "before"))):
                 with files.open_input_file(f"{path}/{name}") as source:
                     reader = FileReader(source)
-                    found = list(reader.documents_of(frame))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([d for _, d, _ in found], pa.int64()),
-                         pa.array([before + int(reader.starts[i]) for i, _, _ in found], pa.int64()),
-                         pa.array([b for _, _, b in found], pa.binary())], ["doc_id", "start", "ids"])
+                    for frame in range(low, min(low + FRAMES_PER_READ, reader.frames)):
+                        found = list(reader.documents_of(frame))
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([d for _, d, _ in found], pa.int64()),
+                             pa.array([before + int(reader.starts[i]) for i, _, _ in found], pa.int64()),
+                             pa.array([b for _, _, b in found], pa.binary())], ["doc_id", "start", "ids"])
     return run
 
 
@@ -235,10 +237,12 @@ def read_tokens(spark: SparkSession, manifest: DataFrame, folder: str) -> DataFr
     ids of all documents before it, ``ids`` are little-endian 32-bit."""
     # One row per file: the manifest is small, its running sum needs no partitioning.
     before = F.sum("n_tokens").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1))
-    frames = (manifest.withColumn("before", F.coalesce(before, F.lit(0)))
-              .select("file", "before", F.explode(F.sequence(F.lit(0), F.col("n_frames") - 1)).alias("frame"))
-              .repartition("file", "frame"))
-    out = frames.mapInArrow(_read(folder), "doc_id long, start long, ids binary")
+    reads = (manifest.withColumn("before", F.coalesce(before, F.lit(0))).select(
+        "file", "before", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_frames") - 1,
+                                               F.lit(FRAMES_PER_READ).cast("long"))).alias("low")))
+    # As many tasks as reads: their rows are a few bytes each, so their size says nothing of the work.
+    n = manifest.agg(F.sum(F.ceil(F.col("n_frames") / FRAMES_PER_READ))).first()[0]
+    out = reads.repartition(max(1, int(n or 0)), "file", "low").mapInArrow(_read(folder), "doc_id long, start long, ids binary")
     return out.withColumn("doc_id", F.when(F.col("doc_id") != NO_ID, F.col("doc_id")))
 
 
