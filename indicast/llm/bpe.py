@@ -2,7 +2,7 @@
 
 A text is cut at white space into pieces. No pre-token spans white space, a
 merge never leaves its pre-token, and the normaliser treats each piece alone,
-so a text's ids are its pieces' ids in a row; a worker remembers the words and
+so a text's ids are its pieces' ids in a row; a task remembers the words and
 pieces it met last and looks them up. The file's own normaliser and
 pre-tokeniser settings split a piece into words; the merging is done here:
 
@@ -36,8 +36,8 @@ from indicast.llm.pieces import Recent, pieces, simple_words
 
 LONG = 64
 NONE = 1 << 60
-#: Words and pieces remembered by a worker, in each of two generations.
-WORDS, PIECES = 400_000, 250_000
+#: Words and pieces remembered during a task, in each of two generations (about 350 bytes each).
+WORDS, PIECES = 200_000, 120_000
 
 
 def byte_symbols() -> dict[int, str]:
@@ -66,6 +66,9 @@ class Bpe:
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")")
         self.tokens = {i: t for t, i in (self.ids | special).items()}
         self.symbols = byte_symbols()
+        self.forget()
+
+    def forget(self) -> None:
         self.words = Recent(self._make_words, WORDS)
         self.pieces = Recent(self._make_pieces, PIECES)
 
@@ -176,6 +179,7 @@ def _encoder(content):
                 [part.column(n) for n in rest] + [pa.array(counts, pa.int64()), pa.array(ids, pa.string()),
                                                   pa.array(decoded, pa.string())],
                 rest + ["n_tokens", "ids", "decoded"])
+        bpe.forget()  # the worker may serve other stages next; it keeps the vocabulary only
     return run
 
 

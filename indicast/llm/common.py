@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from indicast.session import shared_folder
 
-#: Texts are handed to numpy in chunks of about this many bytes.
-CHUNK_BYTES = 4 << 20
+#: Texts are handed to numpy in chunks of about this many bytes (its temporary
+#: arrays take up to a hundred times that).
+CHUNK_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -41,6 +41,8 @@ FLOOR = 1e-4
 KEEP = 0.25
 SLOTS_LOG2 = 17
 HASHES = 3
+#: Texts of so many bytes are worked through in blocks of their own.
+LONG = 1 << 19
 UNKNOWN = "und"
 #: A text whose best language covers less of its n-grams is in none of them.
 MIN_COVERAGE = 0.2
@@ -70,23 +72,54 @@ def grams(texts: list[bytes], size: int = GRAM) -> tuple[np.ndarray, np.ndarray]
     ahead = np.append(text[1:], text[-1])
     low = np.where(gap, ahead, text)[:n]
     high = np.where(gap, np.append(text[:1], text[:-1]), text)[size - 1:]
+    whole = low == high
+    return _hashed(chars, size)[whole], low[whole]
+
+
+def _hashed(chars: np.ndarray, size: int) -> np.ndarray:
+    n = max(0, len(chars) - size + 1)
     out = np.zeros(n, U64)
     for i in range(size):
         out = (out ^ chars[i:i + n]) * U64(0x9E3779B97F4A7C15)
         out ^= out >> U64(29)
-    whole = low == high
-    return out[whole], low[whole]
+    return out
+
+
+def long_grams(text: bytes, size: int = GRAM, block: int = LONG):
+    """The hashes of one long text's n-grams, in blocks: the same as of :func:`grams`."""
+    plain = text.decode("utf-8", "replace").lower() + "\n"
+    tail, after_letter = np.array([32], U64), False
+    for i in range(0, len(plain), block):
+        part = np.frombuffer(plain[i:i + block].encode("utf-32-le", "replace"), np.uint32)
+        letter = worker_cache("letters", _letters)[part]
+        keep = letter | np.append(after_letter, letter[:-1])
+        after_letter = bool(letter[-1])
+        chars = np.concatenate((tail, np.where(letter, part, 32)[keep].astype(U64)))
+        yield _hashed(chars, size)
+        tail = chars[max(0, len(chars) - size + 1):]
+
+
+def gram_blocks(texts: list[bytes]):
+    """Pairs of hashes and text indices that cover all n-grams of all texts, a bounded number at a time."""
+    short = [i for i, t in enumerate(texts) if len(t) < LONG]
+    if short:
+        hashes, text = grams([texts[i] for i in short])
+        yield hashes, np.array(short)[text]
+    for i, t in enumerate(texts):
+        if len(t) >= LONG:
+            for hashes in long_grams(t):
+                yield hashes, np.full(len(hashes), i)
 
 
 def _count(batches):
     for part in chunks(batches, "text"):
-        hashes, text = grams(blobs(part.column("text")))
         langs = np.array(part.column("lang").to_pylist(), object)
-        for lang in sorted(set(langs)):
-            found, counts = np.unique(hashes[(langs == lang)[text]], return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(found), pa.string()), pa.array(found.view(np.int64)), pa.array(counts, pa.int64())],
-                ["lang", "gram", "n"])
+        for hashes, text in gram_blocks(blobs(part.column("text"))):
+            for lang in sorted(set(langs)):
+                found, counts = np.unique(hashes[(langs == lang)[text]], return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(found), pa.string()), pa.array(found.view(np.int64)), pa.array(counts, pa.int64())],
+                    ["lang", "gram", "n"])
 
 
 @dataclass
@@ -120,15 +153,16 @@ class Filters:
 
     def corrected(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Corrected hits by text and language, and the number of n-grams by text."""
-        hashes, text = grams(texts)
-        found = self.lookup(hashes)
-        total = np.bincount(text, minlength=len(texts))
-        out = np.empty((len(texts), len(self.langs)))
-        for i, rate in enumerate(self.false_rate):
-            bit = (found[:, i // 64] >> U64(i % 64)) & U64(1)
-            hits = np.bincount(text, weights=bit.astype(np.float64), minlength=len(texts))
-            out[:, i] = np.clip((hits - total * rate) / max(1 - rate, 1e-9), 0, total)
-        return out, total
+        total = np.zeros(len(texts), np.int64)
+        hits = np.zeros((len(texts), len(self.langs)))
+        for hashes, text in gram_blocks(texts):
+            found = self.lookup(hashes)
+            total += np.bincount(text, minlength=len(texts))
+            for i in range(len(self.langs)):
+                bit = (found[:, i // 64] >> U64(i % 64)) & U64(1)
+                hits[:, i] += np.bincount(text, weights=bit.astype(np.float64), minlength=len(texts))
+        rate = self.false_rate
+        return np.clip((hits - total[:, None] * rate) / np.maximum(1 - rate, 1e-9), 0, total[:, None]), total
 
 
 def learnable() -> Column:

@@ -61,3 +61,17 @@ def test_grams_do_not_cross_texts():
     single = [L.grams([t])[0].tolist() for t in (b"ab", b"cd e", "é".encode())]
     assert hashes[text == 0].tolist() == single[0] and hashes[text == 3].tolist() == single[1]
     assert hashes[text == 4].tolist() == single[2]
+
+
+def test_long_texts_give_the_same_grams_in_blocks():
+    text = ("Über  den 1,2 Fluß; " * 50 + "日本語" + "x" * 40 + " -- ").encode()
+    want = L.grams([text])[0].tolist()
+    for block in (1, 2, 7, 100, 10000):
+        assert [int(h) for part in L.long_grams(text, block=block) for h in part] == want
+    filters = L.Filters.build(["a"], [L.grams([text])[0]])
+    old, L.LONG = L.LONG, 64
+    try:
+        hits, total = filters.corrected([b"zz", text, b"", text])
+    finally:
+        L.LONG = old
+    assert total.tolist() == [2, len(want), 0, len(want)] and hits[1, 0] == hits[3, 0] > 0.99 * len(want)
