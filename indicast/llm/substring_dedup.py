@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from indicast.llm.common import Shelf, blobs, chunks, row_key
-from indicast.llm.wordhash import U64, Words, mix, powers, range_sums, windows, Tables
+from indicast.llm.wordhash import Tables, U64, Words, mix, range_sums, windows
 
 WIDTH = 35
 GRAM = 8
@@ -169,8 +169,12 @@ def covered(docs: DataFrame, shelf: Shelf, width: int = WIDTH, width_log2: int =
     partly = (single.filter("copies = 1").join(twice, ["anchor", "win"], "left_semi")
               .groupBy("anchor", "seg").agg(F.bit_or(F.expr("shiftleft(1L, nth)")).alias("mask")))
     whole = distinct.filter("copies > 1").select("anchor", "seg", F.expr("shiftleft(1L, size) - 1").alias("mask"))
-    return (found.select("k1", "k2", "start", "anchor", "seg").join(whole.unionByName(partly), ["anchor", "seg"])
-            .groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "mask")).alias("spots")))
+    spots = (found.select("k1", "k2", "start", "anchor", "seg").join(whole.unionByName(partly), ["anchor", "seg"])
+             .groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "mask")).alias("spots")))
+    spots = shelf.keep(spots, "spots")
+    for name in ("segments", "distinct", "windows"):  # no later step reads them
+        shelf.drop(name)
+    return spots
 
 
 def _strip(width: int):
