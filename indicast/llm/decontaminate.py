@@ -10,12 +10,19 @@ non-ASCII characters, so case and punctuation do not matter.
    frequencies one expects fewer than one in the whole corpus by chance. (That
    rests on single words, so a passage copied a million times keeps its seeds.)
    An item without ``LEAST_SEEDS`` of them also gets its most telling grams.
+   Of an item of ``LEAST_SHORT`` to ``SHORT`` words every gram is a seed, and under
+   ``PAIRS`` words every pair of words, so that a copy with ``EDITS`` words
+   replaced always has one.
 3. Where a document has a seed, the stretch around it that the item could cover
    is aligned with the item, word by word: ``MATCH`` for equal words, ``MISS``
    and ``GAP`` otherwise. A document is contaminated by an item if the best
    local alignment reaches ``SHARE`` of the item's full score, or the score of
-   ``LONG_RUN`` equal words; for short items not below the score of ``SHORT_RUN``
-   equal words or ``NEARLY_ALL`` of the item.
+   ``LONG_RUN`` equal words. Against chance, a score below that of ``SHORT_RUN``
+   equal words and of ``NEARLY_ALL`` of the item counts only if no more than
+   ``EDITS`` words' worth of it is missing (and at least ``HALF`` is there) and the
+   equal words carry ``TELLING`` bits of information, less ``EDIT_BITS`` for every
+   edit. A word's bits come from its share of the corpus' words, ``UNREAD`` further
+   words assumed, so the bar does not rise with the size of the input.
 
 Documents are scanned where they lie; nothing is shuffled but word counts.
 
@@ -45,6 +52,10 @@ MATCH, MISS, GAP = 2, -1, -1
 SHARE = 0.4
 LONG_RUN = 25
 SHORT_RUN, NEARLY_ALL = 10, 0.9
+EDITS, HALF = 2, 0.5
+TELLING, EDIT_BITS = 28, 3
+UNREAD = 1 << 16
+LEAST_SHORT, PAIRS, SHORT = 6, 9, 14
 FILTER_LOG2 = 22
 
 _PLAIN = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
@@ -70,6 +81,7 @@ class Block:
     seed_item: np.ndarray | None = None
     seed_at: np.ndarray | None = None  # position in the item
     sieve: np.ndarray | None = None
+    bits: np.ndarray | None = None  # information of each word of the items
 
     @classmethod
     def of(cls, item_ids: list, texts: list[bytes]) -> Block:
@@ -80,7 +92,9 @@ class Block:
     def choose(self, counts: np.ndarray, total: int) -> None:
         """Choose the seeds; ``counts`` are the corpus counts of the vocabulary."""
         bits = -np.log2(np.maximum(counts, 0.5) / max(total, 1))
-        own = bits[np.searchsorted(self.vocabulary, self.words)]
+        at = np.searchsorted(self.vocabulary, self.words)
+        own = bits[at]
+        self.bits = -np.log2(np.maximum(counts, 0.5) / (total + UNREAD))[at]
         needed = np.log2(max(total, 2))
         hashes, items, places = [np.empty(0, U64)], [np.empty(0, int)], [np.empty(0, int)]
         for i in range(len(self.item_ids)):
@@ -88,11 +102,13 @@ class Block:
             n = high - low
             if not n:
                 continue
-            size = min(GRAM, n)
+            size = gram_size(n)
             grams = gram_hashes(self.words[low:high], size)
             told = np.convolve(own[low:high], np.ones(size), "valid")
             rare = told >= needed
-            if rare.sum() < LEAST_SEEDS and n >= MIN_WORDS:
+            if LEAST_SHORT <= n <= SHORT:
+                rare[:] = True
+            elif rare.sum() < LEAST_SEEDS and n >= MIN_WORDS:
                 rare |= told >= np.sort(told)[-min(LEAST_SEEDS, len(told))]
             at = np.flatnonzero(rare)
             hashes.append(grams[at])
@@ -105,34 +121,78 @@ class Block:
         self.sieve[(self.seeds >> U64(64 - FILTER_LOG2)).astype(np.int64)] = True
 
     def sizes(self) -> list[int]:
-        """The gram sizes in use: ``GRAM``, and less for items that are shorter."""
-        n = np.diff(self.first)
-        return sorted({GRAM} | {int(x) for x in n[(n > 0) & (n < GRAM)]})
+        """The gram sizes in use."""
+        return sorted({gram_size(int(n)) for n in np.diff(self.first) if n})
+
+
+def gram_size(n: int) -> int:
+    """Words of a seed of an item of ``n`` words."""
+    return 2 if LEAST_SHORT <= n < PAIRS else min(GRAM, n)
 
 
 def gram_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return mix(windows(words, size, 6) + U64(size), 41)
 
 
-def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
-    """Score of the best local alignment and where it ends in ``text`` (exclusive)."""
-    ramp = np.arange(1, len(text) + 1) * -GAP
-    row = np.zeros(len(text) + 1, np.int64)
+def align(item: np.ndarray, text: np.ndarray, gains=None, miss=MISS, gap=GAP):
+    """Score of the best local alignment and where it ends in ``text`` (exclusive).
+    ``gains`` are the scores of the item's words, ``MATCH`` each if not given."""
+    gains = np.full(len(item), MATCH) if gains is None else gains
+    ramp = np.arange(1, len(text) + 1) * -gap
+    row = np.zeros(len(text) + 1, gains.dtype)
     best, end = 0, 0
-    for word in item:
-        step = row[:-1] + np.where(text == word, MATCH, MISS)
-        up = np.maximum(np.maximum(step, row[1:] + GAP), 0)
+    for word, gain in zip(item, gains):
+        step = row[:-1] + np.where(text == word, gain, miss)
+        up = np.maximum(np.maximum(step, row[1:] + gap), 0)
         # A gap in the item: the best earlier cell less a gap for every step from it.
         row[1:] = np.maximum.accumulate(up + ramp) - ramp
         at = int(row.argmax())
         if row[at] > best:
-            best, end = int(row[at]), at
+            best, end = row[at].item(), at
     return best, end
 
 
-def contaminated(score: int, size: int) -> bool:
+def least(size: int) -> tuple[float, float]:
+    """The least score that counts, and the least that counts however common the words are."""
     full = MATCH * size
-    return score >= max(min(SHARE * full, LONG_RUN * MATCH), min(NEARLY_ALL * full, SHORT_RUN * MATCH))
+    low = min(SHARE * full, LONG_RUN * MATCH)
+    sure = max(low, min(NEARLY_ALL * full, SHORT_RUN * MATCH))
+    return min(sure, max(low, HALF * full, full - EDITS * (MATCH - MISS))), sure
+
+
+def placed(item: np.ndarray, text: np.ndarray, bits: np.ndarray, rarest: bool = False) -> tuple[int, int, int]:
+    """``score, start, end`` of the best alignment, or of the one with the most information."""
+    by = (bits, -EDIT_BITS, -EDIT_BITS) if rarest else (None, MISS, GAP)
+    score, end = align(item, text, *by)
+    back = by[0][::-1] if rarest else None
+    _, length = align(item[::-1], text[:end][::-1], back, *by[1:])
+    return (align(item, text[end - length:end])[0] if rarest else score), end - length, end
+
+
+def promising(item: np.ndarray, bits: np.ndarray, text: np.ndarray, begin: np.ndarray, width: int) -> np.ndarray:
+    """The stretches of ``width`` words that hold enough of the item's words for an alignment that counts."""
+    low, sure = least(len(item))
+    order = np.argsort(item)
+    at = order[np.minimum(np.searchsorted(item[order], text), len(item) - 1)]
+    same = item[at] == text
+    words = np.append(0, np.cumsum(same))
+    told = np.append(0, np.cumsum(np.where(same, bits[at], 0)))
+    first, last = np.clip(begin, 0, len(text)), np.clip(begin + width, 0, len(text))
+    score = MATCH * (words[last] - words[first])
+    return begin[(score >= sure) | ((score >= low) & (told[last] - told[first] >= TELLING - 1e-6))]
+
+
+def found_in(item: np.ndarray, text: np.ndarray, bits: np.ndarray):
+    """``score, start, end`` of the best alignment of an item with a stretch that contaminates it, or None."""
+    low, sure = least(len(item))
+    got = placed(item, text, bits)
+    if got[0] >= sure:
+        return got
+    if low < sure and got[0] >= low:
+        for score, start, end in (got, placed(item, text, bits, rarest=True)):
+            if score >= low and align(item, text[start:end], bits, -EDIT_BITS, -EDIT_BITS)[0] >= TELLING:
+                return score, start, end
+    return None
 
 
 def matches(block: Block, hashes: np.ndarray, hits: np.ndarray):
@@ -144,21 +204,24 @@ def matches(block: Block, hashes: np.ndarray, hits: np.ndarray):
         own = block.words[block.first[i]:block.first[i + 1]]
         size = len(own)
         slack = size // 4 + 5
-        begin = np.sort((place - block.seed_at[seed])[item == i]) - slack
+        begin = np.unique((place - block.seed_at[seed])[item == i]) - slack
+        bits = block.bits[block.first[i]:block.first[i + 1]]
+        if size <= SHORT:
+            begin = promising(own, bits, hashes, begin, size + 2 * slack)
         low = high = None
         best = (0, 0, 0)
         for b in [*begin.tolist(), None]:
-            if low is not None and (b is None or b > high):
+            # The stretches of a short item are not joined: each is judged by its own best alignment.
+            if low is not None and (b is None or b > high or size <= SHORT):
                 lo, hi = max(low, 0), min(high, len(hashes))
-                score, end = align(own, hashes[lo:hi])
-                if score > best[0]:
-                    back, length = align(own[::-1], hashes[lo:lo + end][::-1])
-                    best = (score, lo + end - length, lo + end)
+                got = found_in(own, hashes[lo:hi], bits)
+                if got and got[0] > best[0]:
+                    best = (got[0], lo + got[1], lo + got[2])
                 low = None
             if b is not None:
                 low = b if low is None else low
                 high = b + size + 2 * slack
-        if contaminated(best[0], size):
+        if best[0]:
             yield int(i), best[0] / (MATCH * size), best[1], best[2]
 
 

@@ -66,3 +66,23 @@ def test_alignment_against_a_plain_table(seed):
             h[i + 1, j + 1] = max(0, h[i, j] + (D.MATCH if a[i] == b[j] else D.MISS), h[i, j + 1] + D.GAP, h[i + 1, j] + D.GAP)
             best = max(best, h[i + 1, j + 1])
     assert D.align(a, b)[0] == best
+
+
+def test_edited_copies_of_short_items_are_found(run, spark):
+    r = random.Random(4)
+    new = lambda: r.choice(VOCABULARY)
+    short, rows = [], list(ROWS[:200])
+    for n in range(6, 15):
+        for edits in (0, 1, 2):
+            words = [r.choice(COMMON) if k % 3 == 1 else new() for k in range(n)]
+            item = 100 * n + edits
+            short.append((item, " ".join(words)))
+            for k in r.sample(range(1, n - 1), edits):
+                words[k] = f"other{k}"
+            rows.append((10000 + item, f"{filler(70)} {' '.join(words)}. {filler(50)}"))
+    # Six words that are everywhere: a copy is found, four of them in a row are not a copy.
+    short.append((1, "the of and to in a"))
+    rows += [(5000 + i, filler(20) + " the of and to w1ord w2ord " + filler(20)) for i in range(300)] + [(10001, "x the of and to in a x")]
+    bench = spark.createDataFrame(short, "item_id long, text string")
+    got = run("op6_decontamination", rows, ["doc_id", "item_id"], benchmark=bench)
+    assert got == sorted((10000 + i, i) for i, _ in short)
