@@ -9,8 +9,9 @@ non-ASCII characters, so case and punctuation do not matter.
 2. Seeds are the block's ``GRAM``-word grams that are rare: by their words'
    frequencies one expects fewer than one in the whole corpus by chance. (That
    rests on single words, so a passage copied a million times keeps its seeds.)
-   An item without ``LEAST_SEEDS`` of them also gets its most telling grams.
-   Of an item of ``LEAST_SHORT`` to ``SHORT`` words every gram is a seed, and under
+   Whatever the size of the corpus, the most telling gram of every ``STRETCH``
+   grams is one too, and an item has ``LEAST_SEEDS`` at least. Of an item of three
+   to ``SHORT`` words every gram is a seed, and from ``LEAST_SHORT`` to under
    ``PAIRS`` words every pair of words, so that a copy with ``EDITS`` words
    replaced always has one.
 3. Where a document has a seed, the stretch around it that the item could cover
@@ -27,7 +28,8 @@ non-ASCII characters, so case and punctuation do not matter.
 Documents are scanned where they lie; nothing is shuffled but word counts.
 
 Edge cases: null or empty texts and items match nothing; items of fewer than
-``MIN_WORDS`` words have only truly rare seeds; repeated rows and items each
+``LEAST_SHORT`` words count only as a whole, those of one or two words only if they
+are rarer than once in the corpus or carry ``TELLING`` bits; repeated rows and items each
 give their own rows; a null id is returned as null; empty tables give an empty result.
 """
 
@@ -47,7 +49,7 @@ from indicast.llm.wordhash import U64, Words, mix, windows
 GRAM = 3
 BLOCK_WORDS = 2_000_000
 LEAST_SEEDS = 8
-MIN_WORDS = 8
+STRETCH = 5
 MATCH, MISS, GAP = 2, -1, -1
 SHARE = 0.4
 LONG_RUN = 25
@@ -106,10 +108,15 @@ class Block:
             grams = gram_hashes(self.words[low:high], size)
             told = np.convolve(own[low:high], np.ones(size), "valid")
             rare = told >= needed
-            if LEAST_SHORT <= n <= SHORT:
+            if n < GRAM:
+                rare[:] = self.bits[low:high].sum() >= min(needed, TELLING)
+            elif n <= SHORT:
                 rare[:] = True
-            elif rare.sum() < LEAST_SEEDS and n >= MIN_WORDS:
-                rare |= told >= np.sort(told)[-min(LEAST_SEEDS, len(told))]
+            else:
+                if rare.sum() < LEAST_SEEDS:
+                    rare |= told >= np.sort(told)[-LEAST_SEEDS]
+                for j in range(0, len(told), STRETCH):
+                    rare[j + told[j:j + STRETCH].argmax()] = True
             at = np.flatnonzero(rare)
             hashes.append(grams[at])
             items.append(np.full(len(at), i))
@@ -157,6 +164,8 @@ def least(size: int) -> tuple[float, float]:
     full = MATCH * size
     low = min(SHARE * full, LONG_RUN * MATCH)
     sure = max(low, min(NEARLY_ALL * full, SHORT_RUN * MATCH))
+    if size < LEAST_SHORT:
+        return sure, sure
     return min(sure, max(low, HALF * full, full - EDITS * (MATCH - MISS))), sure
 
 

@@ -86,3 +86,19 @@ def test_edited_copies_of_short_items_are_found(run, spark):
     bench = spark.createDataFrame(short, "item_id long, text string")
     got = run("op6_decontamination", rows, ["doc_id", "item_id"], benchmark=bench)
     assert got == sorted((10000 + i, i) for i, _ in short)
+
+
+@pytest.mark.parametrize("times", [1, 300, 100_000])
+def test_every_item_has_seeds_whatever_the_size_of_the_corpus(times):
+    r = random.Random(6)
+    items = [[r.choice(COMMON) for _ in range(n)] for n in [3, 4, 5, 6, 7, 8, 12, 14, 15, 20, 40, 59]]
+    texts = [" ".join(w).encode() for w in items]
+    block = D.Block.of(list(range(len(items))), texts)
+    # Every word makes up 5 % of the corpus.
+    block.choose(np.full(len(block.vocabulary), 2000. * times), 40_000 * times)
+    docs = [f"{' '.join(f'a{k}' for k in range(60))} {t.decode()}! {' '.join(f'b{k}' for k in range(60))}".encode() for t in texts]
+    pairs = {(d, f[0]) for d, found in D.find(block, docs) for f in found}
+    assert {(i, i) for i in range(len(items))} <= pairs
+    for i, words in enumerate(items):
+        at = np.unique(block.seed_at[block.seed_item == i])
+        assert np.diff(np.concatenate(([-1], at, [len(words) - 2]))).max() < 2 * D.STRETCH
