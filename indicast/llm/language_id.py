@@ -44,8 +44,11 @@ HASHES = 3
 #: Texts of so many bytes are worked through in blocks of their own.
 LONG = 1 << 19
 UNKNOWN = "und"
-#: A text whose best language covers less of its n-grams is in none of them.
+#: A text is in none of the languages if each covers less of its n-grams than this,
+#: and less than this share of what the language's filter covers of its own texts
+#: (which is little where the n-grams are many and alike in frequency).
 MIN_COVERAGE = 0.2
+MIN_OF_OWN = 1 / 3
 
 
 def _letters() -> np.ndarray:
@@ -129,15 +132,16 @@ class Filters:
     langs: list[str]
     slots: np.ndarray
     false_rate: np.ndarray
+    mass: np.ndarray  # share of a language's own n-grams that its filter holds
 
     @classmethod
-    def build(cls, langs: list[str], members: list[np.ndarray], slots_log2: int = SLOTS_LOG2) -> Filters:
+    def build(cls, langs: list[str], members: list[np.ndarray], slots_log2: int = SLOTS_LOG2, mass=None) -> Filters:
         slots = np.zeros((1 << slots_log2, max(1, -(-len(langs) // 64))), U64)
         for i, hashes in enumerate(members):
             for at in cls._places(hashes, slots_log2):
                 slots[at, i // 64] |= U64(1 << i % 64)
         fill = np.array([((slots[:, i // 64] >> U64(i % 64)) & U64(1)).mean() for i in range(len(langs))])
-        return cls(langs, slots, fill ** HASHES)
+        return cls(langs, slots, fill ** HASHES, np.ones(len(langs)) if mass is None else np.asarray(mass, float))
 
     @staticmethod
     def _places(hashes: np.ndarray, slots_log2: int) -> list[np.ndarray]:
@@ -194,7 +198,9 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Filters:
     found = shares.toPandas()
     best = found.groupby("gram")["p"].transform("max")
     found = found[found["p"] >= KEEP * best]
-    return Filters.build(langs, [found.loc[found["lang"] == lang, "gram"].to_numpy(np.int64).view(U64) for lang in langs])
+    own = {lang: found[found["lang"] == lang] for lang in langs}
+    return Filters.build(langs, [own[lang]["gram"].to_numpy(np.int64).view(U64) for lang in langs],
+                         mass=[own[lang]["p"].sum() for lang in langs])
 
 
 def _predict(filters):
@@ -227,7 +233,8 @@ def predict(docs: DataFrame, filters: Filters) -> DataFrame:
 
 def accepted(docs: DataFrame, filters: Filters, min_coverage: float = MIN_COVERAGE) -> DataFrame:
     """The rows of ``docs`` in a known language, all columns as they are. Rejected
-    are texts without a letter and those whose best language covers too little."""
+    are texts without a letter and those of which every language covers too little."""
+    bars = np.minimum(min_coverage, MIN_OF_OWN * filters.mass)
     model = docs.sparkSession.sparkContext.broadcast(filters)
     names = docs.columns
     at = names.index("text")
@@ -237,7 +244,6 @@ def accepted(docs: DataFrame, filters: Filters, min_coverage: float = MIN_COVERA
         for part in chunks(batches, "text"):
             column = part.column(at)
             hits, total = model.value.corrected(blobs(column.cast(pa.binary())))
-            best = hits.max(axis=1) if hits.shape[1] else np.zeros(len(total))
-            keep = (total > 0) & (best >= min_coverage * total)
+            keep = (total > 0) & ((hits > 0) & (hits >= bars * total[:, None])).any(axis=1)
             yield part.filter(pa.array(keep))
     return docs.mapInArrow(run, schema)

@@ -75,3 +75,14 @@ def test_long_texts_give_the_same_grams_in_blocks():
     finally:
         L.LONG = old
     assert total.tolist() == [2, len(want), 0, len(want)] and hits[1, 0] == hits[3, 0] > 0.99 * len(want)
+
+
+def test_a_language_with_flat_frequencies_is_not_rejected(docs):
+    r = np.random.default_rng(3)
+    signs = lambda n: "".join(map(chr, r.integers(0x4E00, 0x9F00, n)))
+    pool = [signs(6) for _ in range(100)]
+    flat = lambda: "".join(pool[r.integers(100)] if r.random() < .25 else signs(6) for _ in range(100))
+    rows = [*TEXTS, *[(100 + i, flat(), "zz") for i in range(60)]]
+    strange = [(500, "".join(map(chr, r.integers(0xAC00, 0xD700, 600))), None), (501, "qzx vkj wqx zvq kxj " * 20, None)]
+    kept = L.accepted(docs(rows + strange), L.fit(docs(rows)))
+    assert {x.doc_id for x in kept.collect()} == {d for d, _, _ in rows}
