@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indicast.llm import (
-    bpe, decontaminate, html_text, language_id, line_dedup, pii, quality, simhash, substring_dedup, token_files,
+    bpe, decontaminate, html_text, language_id, line_dedup, pii, quality, runs, search, simhash, substring_dedup,
+    token_files, warc,
 )
 from indicast.llm.common import table
 
 QUERIES = {}
-ORACLES: dict[str, str] = {"op1_line_dedup": line_dedup.ORACLE}
+ORACLES: dict[str, str] = {
+    "op1_line_dedup": line_dedup.ORACLE, "op12_warc": warc.ORACLE, "op13_search": search.ORACLE}
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -86,3 +88,21 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(table(spark, sf_dir, "documents")))
+
+
+@query
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = runs.with_echoes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return runs.digest(runs.find_runs(docs))
+
+
+@query
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest, folder = warc.write_archives(table(spark, sf_dir, "pages"))
+    out = warc.read_archives(spark, manifest, folder)
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(search.build(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
