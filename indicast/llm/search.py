@@ -173,6 +173,7 @@ class Segment:
         at = np.minimum(np.searchsorted(terms, block.vocabulary), max(len(terms) - 1, 0))
         there = terms[at] == block.vocabulary if len(terms) else np.zeros(len(at), bool)
         m = 25 + (75 * sizes * block.n_docs) // max(block.n_terms, 1)
+        self.most = max(ACCUMULATE, len(self.ids) // 4)  # postings that are summed term at a time
         self.lists: list = [None] * len(at)
         for term in np.flatnonzero(there).tolist():
             low, high = first[at[term]], first[at[term] + 1]
@@ -187,8 +188,8 @@ class Segment:
         if sum(top * n for _, _, top, n in lists) < best.bar:
             return
         # Term at a time: the short lists become one.
-        limit, held, short = max(ACCUMULATE, len(self.ids) // 4), 0, 0
-        while short < len(lists) and held + len(lists[short][0]) <= limit:
+        held = short = 0
+        while short < len(lists) and held + len(lists[short][0]) <= self.most:
             held += len(lists[short][0])
             short += 1
         walks = [(where, gain * n, top * n) for where, gain, top, n in lists[short:]]

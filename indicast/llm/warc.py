@@ -60,6 +60,7 @@ LEVEL = 6
 VERSION = b"WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RESPONSE_TYPE = "application/http;msgtype=response"
+_END = b"\r\n\r\n"
 _UNSAFE = re.compile("[\x00-\x20\x7f]")
 _ID = re.compile(r"<urn:page:(-?[0-9]*):([A-Z2-7]{32})>")
 
@@ -149,7 +150,7 @@ class Member:
     def rest(self) -> bytes:
         """What is left of the member; raises if its checksum is wrong."""
         while self.more():
-            if len(self.ready) > READ_BYTES:
+            if len(self.ready) > len(_END):
                 raise ValueError("the record is longer than its Content-Length")
         return self.ready
 
@@ -220,7 +221,7 @@ class RecordReader:
             n_bytes += len(part)
             if self.with_payload:
                 kept.append(part)
-        if member.rest() != b"\r\n\r\n":
+        if member.rest() != _END:
             raise ValueError("no two empty lines after the record's block")
         self._verify(fields, "warc-block-digest", block.digest())
         found["payload_digest"] = fields.get("warc-payload-digest", "").removeprefix("sha1:") or base32_sha1(payload.digest())
