@@ -263,7 +263,7 @@ def _frequencies(vocabulary):
 
 def _rank(block, k: int):
     def run(batches):
-        own = block.value
+        own = Block(**block.value)
         best = [Best(k) for _ in own.item_ids]
         for batch in batches:
             for row in batch.to_pylist():
@@ -296,7 +296,7 @@ def search(index: DataFrame, benchmark: DataFrame, k: int = TOP, block_words: in
         for place, n in counted.groupBy("place").agg(F.sum("n")).collect():  # bounded by the block's words
             found_in[place] = n
         block.weigh(found_in, n_docs, n_terms)
-        shared = spark.sparkContext.broadcast(block)
+        shared = spark.sparkContext.broadcast(vars(block))
         names = spark.createDataFrame(list(enumerate(block.item_ids)), f"item long, item_id {kind}")
         ranked = index.drop("n_docs", "n_terms").coalesce(tasks).mapInArrow(
             _rank(shared, k), "item long, doc_id long, score long")

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from indicast.llm import queries, search as S
+from indicast.llm.common import chunks
 
 ITEMS = "item_id long, text string"
 COLUMNS = ["item_id", "rank", "doc_id", "score"]
@@ -128,10 +129,11 @@ def test_ties_repeated_rows_null_ids_and_clashing_columns(spark, docs):
     assert found == sorted((i, r, d) for i in ("7", "7", "None") for r, d in one)
 
 
-def test_blocks_of_items_give_the_same(spark, docs):
+def test_blocks_of_items_give_the_same(spark, docs, monkeypatch):
     rng = random.Random(4)
     rows, items = corpus(rng, 80, 50), items_of(rng, 30, 50)
     bench = spark.createDataFrame(items, ITEMS)
+    monkeypatch.setattr(S, "chunks", lambda batches, size_by: chunks(batches, size_by, 1000))
     index = S.build(docs(rows).repartition(3), segment_bytes=2000)
     assert index.count() > 3
     got = sorted(tuple(r) for r in S.search(index, bench, k=4, block_words=20).collect())
