@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from indicast.functions.scalars import (
     label_of, lenient_double, lenient_int, strip_upper, strip_ws,
 )
+from indicast.operators.ordinals import with_ordinals
 from indicast.schema import COUNTRY_ISO3, HARMONIZED_COLS, LONG_COLS, QA, country_df
 
 KEY = ["INDICATOR_ID", "ISO3", "YEAR"]
@@ -61,13 +62,14 @@ def union_feeds(*feeds: DataFrame) -> DataFrame:
 
 
 def dedup_by_priority(df: DataFrame, order: list[str] | tuple = ("SOURCE",), prefer_non_null: bool = False,
-                      keys: list[str] = KEY) -> DataFrame:
+                      keys: list[str] = KEY, count_as: str | None = None) -> DataFrame:
     """Keep the first row per key by ``order`` (ascending, NULLs last).
 
     Readers supply (FILE, POS) so that the first record within a source wins.
     Where ``order`` leaves a tie, a value wins over NULL, then the smaller
     value, so a value is never lost to a NULL by accident. ``prefer_non_null``
-    puts that rule right after the first order column (the source).
+    puts that rule right after the first order column (the source). ``count_as``
+    names a further column with the number of rows a key had.
 
     Implemented as ``min(struct(order..., payload...))`` per key: an aggregate
     with a map-side partial step instead of a window, so skewed keys are
@@ -84,9 +86,10 @@ def dedup_by_priority(df: DataFrame, order: list[str] | tuple = ("SOURCE",), pre
             sort_fields.insert(2 if order else 0, no_value.alias("_pn"))
         sort_fields += [no_value.alias("_vn"), F.col("VALUE").alias("_vv")]
     best = F.min(F.struct(*sort_fields, *[F.col(c).alias(f"_p_{c}") for c in payload]))
-    return (df.groupBy(*keys).agg(best.alias("_best"))
-            .select(*keys, *[F.col(f"_best._p_{c}").alias(c) for c in payload])
-            .select(*df.columns))
+    counts = [F.count(F.lit(1)).alias(count_as)] if count_as else []
+    return (df.groupBy(*keys).agg(best.alias("_best"), *counts)
+            .select(*keys, *[F.col(f"_best._p_{c}").alias(c) for c in payload], *([count_as] if count_as else []))
+            .select(*df.columns, *([count_as] if count_as else [])))
 
 
 def filter_known_countries(df: DataFrame, countries: DataFrame | None = None) -> DataFrame:
@@ -154,9 +157,10 @@ def drop_counters(combined: DataFrame) -> DataFrame:
     )
 
 
-def long_order(df: DataFrame) -> DataFrame:
-    """O1: final order of the long table (apply only at export)."""
-    return df.orderBy(*KEY)
+def long_order(df: DataFrame, index: str | None = None) -> DataFrame:
+    """O1: final order of the long table (apply only at export); ``index`` names
+    a column for each row's place, counted from 0."""
+    return with_ordinals(df, KEY, index) if index else df.orderBy(*KEY)
 
 
 __all__ = [

@@ -8,7 +8,8 @@ receiver the donors are the rows where that feature is present; the cell gets
 the mean of the k nearest donors (ties broken by distance rounded to 1e-9,
 then donor ISO3, YEAR) or, when no donor has a distance, the column mean.
 
-There is one path at every size. Receivers (rows with a NULL) are hashed into
+The exact form streams donors past slices of receivers (``neighbors.nearest_streamed``).
+The blocked form has one path at every size: receivers (rows with a NULL) are hashed into
 slices of about ``RECEIVERS_PER_TASK`` rows and donors (rows with a value) into
 chunks of about ``DONORS_PER_TASK``, both sized from a count per block;
 ``cogroup`` on (block, slice, chunk) hands each task one slice and one chunk, so
@@ -171,13 +172,30 @@ _PARTIAL_SCHEMA = StructType([
 ])
 
 
-def _fill(wide: DataFrame, k: int, cols: list[str] | None, block: list[str],
-          receivers_per_task: int, donors_per_task: int) -> DataFrame:
-    orig = wide
-    cols0 = [c for c in (cols or INDICATOR_IDS) if c in wide.columns]
-    wide, cols = _safe_names(wide, cols0)
+def _top_k(part: DataFrame, k: int) -> DataFrame:
+    """The k nearest donors of every missing cell. A group limit keeps k rows
+    a cell of every map task before the shuffle."""
+    w = Window.partitionBy("ISO3", "YEAR", "J").orderBy("DD", "D_ISO3", "D_YEAR")
+    return part.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
+
+
+def _filled(orig: DataFrame, wide: DataFrame, cols0: list[str], top: DataFrame, means: list[Column]) -> DataFrame:
+    """``orig`` with missing cells filled by the mean of their neighbours in
+    ``top``, or the column's mean; ``wide`` and the cells' numbers are those of ``_safe_names``."""
+    cols = [f"_x{i}" for i in range(len(cols0))]
     keep = [c for c in wide.columns if c not in cols]
-    means = _column_means(wide, cols)
+    any_null = _any(cols, lambda c: c.isNull())
+    found = top.groupBy("ISO3", "YEAR").pivot("J", list(range(len(cols)))).agg(F.avg("V"))
+    filled = wide.where(any_null).join(found, KEYS, "left").select(
+        *keep, *[F.coalesce(qcol(c), F.col(f"`{i}`"), means[i]).alias(c) for i, c in enumerate(cols)])
+    return _restore(wide.where(~any_null).unionByName(filled), orig, cols0)
+
+
+def nearest_donors(wide: DataFrame, k: int, cols0: list[str], block: list[str] = (),
+                   receivers_per_task: int = RECEIVERS_PER_TASK, donors_per_task: int = DONORS_PER_TASK) -> DataFrame:
+    """``ISO3, YEAR, J, DD, D_ISO3, D_YEAR, V``: for every missing cell (J is the
+    column's place in ``cols0``) its k nearest donors, their distances and values."""
+    wide, cols = _safe_names(wide, cols0)
     any_null = _any(cols, lambda c: c.isNull())
     any_val = _any(cols, lambda c: c.isNotNull())
     blocks = [f"_b{i}" for i in range(len(block))]
@@ -199,21 +217,34 @@ def _fill(wide: DataFrame, k: int, cols: list[str] | None, block: list[str],
     dons = (sized.where(any_val).select(*[F.col(c).alias(c) for c in [*blocks, "_slices", "_chunks", *KEYS, *cols]])
             .withColumn("_chunk", F.pmod(F.xxhash64("ISO3", "YEAR", F.lit(7)), F.col("_chunks")))
             .withColumn("_slice", every("_slices")))
-    group = [*blocks, "_slice", "_chunk"]
-    part = recv.groupBy(*group).cogroup(dons.groupBy(*group)).applyInPandas(_knn_partial(cols, k), _PARTIAL_SCHEMA)
-    w = Window.partitionBy("ISO3", "YEAR", "J").orderBy("DD", "D_ISO3", "D_YEAR")
-    top = (part.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
-           .groupBy("ISO3", "YEAR").pivot("J", list(range(len(cols)))).agg(F.avg("V")))
-    filled = wide.where(any_null).join(top, KEYS, "left").select(
-        *keep, *[F.coalesce(qcol(c), F.col(f"`{i}`"), means[i]).alias(c) for i, c in enumerate(cols)])
-    return _restore(wide.where(~any_null).unionByName(filled), orig, cols0)
+    return _top_k(_compared(recv, dons, [*blocks, "_slice", "_chunk"], cols, k), k)
+
+
+def _compared(recv: DataFrame, dons: DataFrame, group: list[str], cols: list[str], k: int) -> DataFrame:
+    """The k nearest donors of each group's donors for every missing cell of the group's receivers."""
+    return recv.groupBy(*group).cogroup(dons.groupBy(*group)).applyInPandas(_knn_partial(cols, k), _PARTIAL_SCHEMA)
+
+
+def _fill(wide: DataFrame, k: int, cols: list[str] | None, block: list[str],
+          receivers_per_task: int, donors_per_task: int) -> DataFrame:
+    cols0 = [c for c in (cols or INDICATOR_IDS) if c in wide.columns]
+    top = nearest_donors(wide, k, cols0, block, receivers_per_task, donors_per_task)
+    safe, names = _safe_names(wide, cols0)
+    return _filled(wide, safe, cols0, top, _column_means(safe, names))
 
 
 def knn_impute(wide: DataFrame, k: int = IMPUTE.knn_neighbors, cols: list[str] | None = None,
-               receivers_per_task: int = RECEIVERS_PER_TASK, donors_per_task: int = DONORS_PER_TASK) -> DataFrame:
+               receivers_per_task: int | None = None, donors_per_task: int | None = None) -> DataFrame:
     """Exact k-NN imputation of the indicator columns; keys and other
-    columns pass through. Complete rows never enter the Python side."""
-    return _fill(wide, k, cols, [], receivers_per_task, donors_per_task)
+    columns pass through. Complete rows never enter the Python side.
+
+    Donors stream past slices of receivers, and no candidates are shuffled (see
+    ``indicast.operators.neighbors``). With a size given, slices and chunks of
+    that size meet in pairs instead, as in the blocked form."""
+    if receivers_per_task is None and donors_per_task is None:
+        from indicast.operators.neighbors import knn_impute_streamed
+        return knn_impute_streamed(wide, k, cols)
+    return _fill(wide, k, cols, [], receivers_per_task or RECEIVERS_PER_TASK, donors_per_task or DONORS_PER_TASK)
 
 
 def knn_impute_blocked(wide: DataFrame, block: str | list[str] = "REGION", k: int = IMPUTE.knn_neighbors,
@@ -276,5 +307,5 @@ def total_imputed(report: DataFrame) -> DataFrame:
     return report.agg(F.coalesce(F.sum("N_IMPUTED"), F.lit(0)).cast("bigint").alias("TOTAL_IMPUTED"))
 
 
-__all__ = ["audit_missing", "knn_impute", "knn_impute_blocked", "clip_round",
+__all__ = ["audit_missing", "nearest_donors", "knn_impute", "knn_impute_blocked", "clip_round",
            "impute_wide", "imputation_report", "total_imputed"]

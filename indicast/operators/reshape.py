@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from indicast.functions.scalars import pct
+from indicast.operators.ordinals import with_ordinals
 from indicast.schema import INDICATOR_IDS, META_COLS, catalogue_df
 
 
@@ -76,6 +77,7 @@ def pivot_wide(long: DataFrame) -> DataFrame:
             .agg(F.max("VALUE")))
 
 
-def wide_order(wide: DataFrame) -> DataFrame:
-    """O2: order of the wide table (apply only at export)."""
-    return wide.orderBy("ISO3", "YEAR")
+def wide_order(wide: DataFrame, index: str | None = None) -> DataFrame:
+    """O2: order of the wide table (apply only at export); ``index`` names a
+    column for each row's place, counted from 0."""
+    return with_ordinals(wide, ["ISO3", "YEAR"], index) if index else wide.orderBy("ISO3", "YEAR")

@@ -18,8 +18,11 @@ from indicast.operators import anomaly as A
 from indicast.operators import harmonize as H
 from indicast.operators import impute as I
 from indicast.operators import metadata as M
+from indicast.operators import neighbors as N
 from indicast.operators import quality as Q
+from indicast.operators import quantiles as QT
 from indicast.operators import reshape as R
+from indicast.operators.ordinals import with_ordinals
 from indicast.operators import views as V
 from indicast.plans import stages as S
 from indicast.plans.oracle_sql import (
@@ -475,9 +478,25 @@ def q_a15_indicators(spark, sf):
 @register("o2_wide_order", with_stages("wide", """
 SELECT ISO3, YEAR, row_number() OVER (ORDER BY ISO3, YEAR) AS PLACE FROM wide"""))
 def q_o2(spark, sf):
-    """O2: the wide table in export order, with each row's place (the table is bounded: 930 rows)."""
-    ordered = R.wide_order(S.wide(spark, sf)).withColumn("_id", F.monotonically_increasing_id())
-    return ordered.select("ISO3", "YEAR", F.row_number().over(Window.orderBy("_id")).cast("bigint").alias("PLACE"))
+    """O2: the wide table with each row's place in export order."""
+    return with_ordinals(S.wide(spark, sf), ["ISO3", "YEAR"], "PLACE", start=1).select("ISO3", "YEAR", "PLACE")
+
+
+@register("o1_long_order", with_stages("long", """
+SELECT INDICATOR_ID, ISO3, YEAR, VALUE, SOURCE, row_number() OVER (
+  ORDER BY INDICATOR_ID NULLS LAST, ISO3 NULLS LAST, YEAR NULLS LAST, SOURCE NULLS LAST, ORD_A, ORD_B, VALUE NULLS LAST) - 1
+  AS PLACE FROM long"""))
+def q_o1(spark, sf):
+    """O1: the raw long table with each row's place in its order (index reset)."""
+    placed = with_ordinals(S.raw_long(spark, sf), [*H.KEY, "SOURCE", *TIE_BREAK, "VALUE"])
+    return placed.select("INDICATOR_ID", "ISO3", "YEAR", "VALUE", "SOURCE", "PLACE")
+
+
+@register("o1_harmonized_index", with_stages("harmonized", """
+SELECT *, row_number() OVER (ORDER BY INDICATOR_ID, ISO3, YEAR) - 1 AS PLACE FROM harmonized"""))
+def q_o1_harmonized(spark, sf):
+    """O1: the harmonised table's final order with its index."""
+    return H.long_order(S.harmonized(spark, sf), index="PLACE")
 
 
 @register("k4_manifest", with_stages("wide", f"""
@@ -674,6 +693,20 @@ def q_n5(spark, sf):
     return A.quantile_thresholds(h, col="VALUE").select("INDICATOR_ID", F.round("THRESHOLD", 9).alias("THRESHOLD"))
 
 
+@register("n5_sketched_cut", ORACLES["n5_exact_cut"])
+def q_n5_sketch(spark, sf):
+    """The same cut-off from merged quantile sketches, refined between their rank bounds."""
+    h = S.harmonized(spark, sf, materialized=True).where(F.col("VALUE").isNotNull() & F.col("INDICATOR_ID").isin(*INDICATOR_IDS))
+    return QT.grouped_quantile(h, 0.05, "VALUE").select("INDICATOR_ID", F.round("THRESHOLD", 9).alias("THRESHOLD"))
+
+
+@register("n5_sketched_cut_raw", with_stages("long", """
+SELECT INDICATOR_ID, round(quantile_cont(VALUE, 0.05), 9) AS THRESHOLD FROM long WHERE VALUE IS NOT NULL GROUP BY INDICATOR_ID"""))
+def q_n5_sketch_raw(spark, sf):
+    """N5 over the raw long table, which grows with the input."""
+    return QT.grouped_quantile(S.raw_long(spark, sf), 0.05, "VALUE").select("INDICATOR_ID", F.round("THRESHOLD", 9).alias("THRESHOLD"))
+
+
 @register("a7_summary_counts", with_stages("harmonized", _SCORED_SQL + """
 SELECT c.INDICATOR_ID, c.INDICATOR_LABEL, st.n AS N_OBSERVATIONS, true AS COUNTS_FIT, true AS RATE_FITS
 FROM st JOIN cat c ON c.INDICATOR_ID = st.INDICATOR_ID"""))
@@ -858,6 +891,49 @@ def q_i1b_supplier(spark, sf):
     return I.clip_round(I.knn_impute_blocked(S.supplier_wide(spark, sf), block=["REGION", "YEAR"]))
 
 
+@register("w5_knn_streamed", ORACLES["i1_knn_supplier_entities"])
+def q_w5_streamed(spark, sf):
+    """I1/W5 + I4 on the supplier-keyed wide table: k best donors a cell kept while the donors stream by."""
+    return I.clip_round(N.knn_impute_streamed(S.supplier_wide(spark, sf)))
+
+
+_N_MISSING_SQL = " + ".join(f"CAST({dq(c)} IS NULL AS BIGINT)" for c in INDICATOR_IDS)
+
+
+@register("i1_knn_pruned", ORACLES["i1_knn_supplier_entities"])
+def q_i1_pruned(spark, sf):
+    """I1/J8 + I4 on the supplier-keyed wide table, exact, by leaves that can hold a nearer donor only."""
+    return I.clip_round(N.knn_impute_pruned(S.supplier_wide(spark, sf)))
+
+
+@register("i1_knn_pruned_work", with_supplier_stages("wide", f"""
+SELECT count(*) AS N_RECEIVERS, (SELECT count(*) FROM wide WHERE {" OR ".join(f"{dq(c)} IS NOT NULL" for c in INDICATOR_IDS)}) AS N_DONORS,
+       true AS WITHIN_ALL_PAIRS FROM wide WHERE {_N_MISSING_SQL} > 0"""))
+def q_i1_pruned_work(spark, sf):
+    """Pairs the pruned index compares, against all receivers with all donors."""
+    w = S.supplier_wide(spark, sf)
+    done = N.knn_impute_pruned(w, count_pairs="N_PAIRS").agg(F.sum("N_PAIRS").alias("n"))
+    any_null, any_val = (I._any(INDICATOR_IDS, f) for f in (lambda c: c.isNull(), lambda c: c.isNotNull()))
+    n = w.agg(F.count_if(any_null).alias("N_RECEIVERS"), F.count_if(any_val).alias("N_DONORS"))
+    return n.select("N_RECEIVERS", "N_DONORS", (done.select("n").scalar() <= F.col("N_RECEIVERS") * F.col("N_DONORS")).alias("WITHIN_ALL_PAIRS"))
+
+
+@register("i1b_knn_lsh")
+def q_i1b_lsh(spark, sf):
+    """I1b + I4 on the supplier-keyed wide table: donors that share a hash bucket."""
+    return I.clip_round(N.knn_impute_lsh(S.supplier_wide(spark, sf)))
+
+
+@register("i1b_knn_lsh_recall", with_supplier_stages("wide", "\nUNION ALL ".join(
+    f"SELECT '{c}' AS INDICATOR_ID, count(*) AS N_CELLS, true AS RECALL_OK FROM wide WHERE {dq(c)} IS NULL" for c in INDICATOR_IDS)))
+def q_i1b_recall(spark, sf):
+    """Missing cells per indicator, and whether the buckets give 0.9 of the exact neighbours."""
+    w = S.supplier_wide(spark, sf)
+    got = N.recall(N.nearest_streamed(w, 5, INDICATOR_IDS), N.nearest_by_buckets(w, 5, INDICATOR_IDS))
+    ids = F.array(*[F.lit(c) for c in INDICATOR_IDS])
+    return got.select(F.get(ids, F.col("J")).alias("INDICATOR_ID"), "N_CELLS", (F.col("RECALL") >= 0.9).alias("RECALL_OK"))
+
+
 @register("i2_iterative_supplier_observed", with_supplier_stages("wide", _OBSERVED_SQL))
 def q_i2_supplier(spark, sf):
     """I2 on the supplier-keyed wide table: observed cells kept, none missing."""
@@ -951,3 +1027,7 @@ def q_s4_broken(spark, sf):
     """The series that do not parse are reported."""
     _, broken = feeds.parse_series(_xml_documents(spark, sf), "text", F.lit("CR.2"), ["DOC"])
     return broken.select("DOC")
+
+
+# The queries that go through files register themselves.
+from indicast.plans import storage_queries  # noqa: E402, F401

@@ -8,6 +8,7 @@ the setting is absent, which happens in local tests.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,6 +65,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A new folder of this session's own within the shared folder. It is removed
+    when the session's JVM ends, so that runs do not pile up in the shared folder."""
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return path
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the shared checkpoint folder
     (never a local checkpoint: a lost executor must not lose the stage)."""

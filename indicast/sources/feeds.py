@@ -21,7 +21,7 @@ from pyspark.sql.types import (
 )
 from pyspark.errors import AnalysisException
 
-from indicast.functions.scalars import label_of, lenient_double, lenient_int
+from indicast.functions.scalars import label_of, lenient_double, lenient_int, qcol
 from indicast.schema import HARMONIZED_SCHEMA
 
 # ---------------------------------------------------------------- S1 / S2
@@ -43,7 +43,7 @@ def read_csv_table(spark: SparkSession, path: str, schema: StructType = HARMONIZ
             "FILE": F.concat_ws("#", "_metadata.file_path", F.lpad(F.col("_metadata.file_block_start").cast("string"), 19, "0")),
             "POS": F.monotonically_increasing_id()})
     parse = {"int": lenient_int, "double": lenient_double}
-    cols = [parse.get(f.dataType.simpleString(), F.col)(f.name).alias(f.name) for f in schema.fields]
+    cols = [parse.get(f.dataType.simpleString(), lambda c: c)(qcol(f.name)).alias(f.name) for f in schema.fields]
     return raw.select(*cols, *(POSITION if with_position else []))
 
 
@@ -92,6 +92,11 @@ def parse_payload(docs: DataFrame, text: str, ind: Column, keep: list[str] = ())
     doc = F.from_json(F.col(text), JSON_PAYLOAD_SCHEMA, {"mode": "PERMISSIVE"})
     parsed = docs.select(*keep, text, ind.alias("_ind"), doc["data"].alias("_doc"))
     rows = parsed.select(*keep, "_ind", F.posexplode("_doc").alias("POS", "o"))
+    return observation_columns(rows, keep), _split_parsed(parsed, text, keep)
+
+
+def observation_columns(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """Feed-A rows of parsed observations ``o`` with their id ``_ind`` and place ``POS``."""
     return rows.select(
         F.col("_ind").alias("INDICATOR_ID"),
         F.coalesce("o.countryId", "o.country_id", F.lit("")).alias("ISO3"),
@@ -100,8 +105,7 @@ def parse_payload(docs: DataFrame, text: str, ind: Column, keep: list[str] = ())
         F.coalesce("o.magnitude", F.lit("")).alias("MAGNITUDE"),
         F.coalesce("o.qualifier", F.lit("")).alias("QUALIFIER"),
         label_of(F.col("_ind")).alias("INDICATOR_LABEL"),
-        *keep, F.col("POS").cast("bigint").alias("POS"),
-    ), _split_parsed(parsed, text, keep)
+        *keep, F.col("POS").cast("bigint").alias("POS"))
 
 
 def _documents(spark: SparkSession, path: str) -> DataFrame:
