@@ -2,12 +2,14 @@
 
 1. A page is cut into blocks: the text between block-level tags, with the open
    elements around it. Comments, scripts, styles, heads and form controls are no text.
-2. Each block gets log-odds of being content. The elements around it speak
-   first (semantic tags, roles, and words of classes and ids); a logistic model
-   of the text itself (length, links, sentence marks, kind of block) adds to
-   that. The model is fitted on the blocks of a sample of an expected
-   ``SAMPLE_PAGES`` pages whose elements leave no doubt; without enough of both
-   kinds ``DEFAULT_WEIGHTS`` stand in.
+2. Each block gets log-odds of being content, a sum of what the elements around
+   it say (semantic tags and roles, and the names in ``class`` and ``id``) and of a logistic
+   model of the text itself (length, links, sentence marks, kind of block). Tags, roles and
+   names that stand for boilerplate alone ("sidebar", "cookie-notice") weigh more than any text; content
+   tags, and names that an article's sections have too ("related", "legal"), weigh less; a word
+   that is only part of a name ("related-work") weighs least. The model is fitted on the blocks of a sample of an expected
+   ``SAMPLE_PAGES`` pages (twice as many at most, ``PAGE_EXAMPLES`` blocks of each) whose elements leave
+   no doubt; without enough of both kinds ``DEFAULT_WEIGHTS`` stand in.
 3. Log-odds become terminal capacities. Neighbouring blocks, and blocks with
    the same parent, are tied by edges whose capacity halves with every step to
    their nearest common ancestor, and falls where only one of the two is marked
@@ -18,7 +20,9 @@ the content blocks are joined in page order by one line feed.
 
 Edge cases: a null or empty page, or one without text, gives an empty text; an
 element that is never closed ends with its parent; a comment or script that is
-never closed runs to the end of the page; repeated rows repeat; pages of any length are whole.
+never closed runs to the end of the page; repeated rows repeat; pages of any length are whole (a page, its
+blocks and its graph take some 20 times its bytes); other columns are ignored, whatever their names; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -53,30 +57,41 @@ BOILERPLATE_TAGS = {"nav", "footer", "aside", "menu", "dialog"}
 CONTENT_TAGS = {"article", "main"}
 BOILERPLATE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog",
                      "menu", "menubar", "form", "status", "toolbar"}
-BOILERPLATE_WORDS = {
-    "ad", "ads", "advert", "adverts", "advertisement", "advertising", "alert", "banner", "breadcrumb", "breadcrumbs",
-    "comment", "comments", "commentlist", "consent", "cookie", "cookies", "copyright", "disclaimer", "disqus", "feedback",
-    "footer", "foot", "form", "gdpr", "legal", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation",
-    "newsletter", "notice", "notices", "notification", "overlay", "pager", "pagination", "popup", "promo", "promotion",
-    "recommended", "related", "replies", "reply", "respond", "search", "share", "sharing", "sidebar", "signup", "sitemap",
-    "skip", "social", "sponsor", "sponsored", "sponsors", "subscribe", "teaser", "toolbar", "topbar", "widget", "widgets"}
+# Names that stand for boilerplate alone, and words that also name sections of an article.
+FIRM_WORDS = {
+    "ad", "ads", "advert", "adverts", "advertisement", "advertising", "breadcrumb", "breadcrumbs", "comment", "comments",
+    "commentlist", "consent", "cookie", "cookies", "disqus", "footer", "gdpr", "login", "masthead", "menu", "modal", "nav",
+    "navbar", "navigation", "newsletter", "notification", "overlay", "pager", "pagination", "popup", "sidebar", "signup",
+    "sitemap", "sponsor", "sponsored", "sponsors", "subscribe", "toolbar", "topbar", "widgets"}
+LOOSE_WORDS = {
+    "alert", "banner", "copyright", "disclaimer", "feedback", "foot", "form", "legal", "notice", "notices", "promo",
+    "promotion", "recommended", "related", "replies", "reply", "respond", "search", "share", "sharing", "skip", "social",
+    "teaser", "widget"}
 HEADER_WORDS = {"header", "head", "top"}
 CONTENT_WORDS = {"article", "content", "entry", "main", "post", "story", "text"}
+# Words that name a part of the layout beside another word.
+LAYOUT_WORDS = {
+    "area", "bar", "block", "body", "bottom", "box", "button", "buttons", "col", "column", "container", "global", "holder",
+    "inner", "item", "items", "left", "links", "list", "outer", "page", "panel", "posts", "primary", "right", "row",
+    "secondary", "section", "site", "stories", "wrap", "wrapper"}
 COMMENT_TITLES = {"comments", "reader comments", "leave a comment", "leave a reply", "kommentare", "commentaires",
                   "comentarios"}
 
 _TAG = re.compile(r"<(?:!--(?:.*?-->|.*)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|[!?/][^>]*>)", re.S)
 _LOOSE = re.compile(r"(/?)([a-zA-Z][^\s/>]*)([^>]*)")
-_ATTRIBUTE = re.compile(r"(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _WORD = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _RAW_END = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in ("script", "style", "title", "textarea", "noscript", "iframe")}
 
-#: What the elements around a block say, as log-odds.
-INSIDE, OUTSIDE, HIDDEN = 4.0, -6.0, -30.0
-#: The text model's log-odds are kept within this.
-TEXT_LIMIT = 3.0
+#: What the elements around a block say, as log-odds: content (tags, roles, names), boilerplate (tags, roles, firm
+#: names), a name of a loose word, a name with such a word among others, the same for words of content, hidden.
+INSIDE, OUTSIDE, LOOSE, HINT_OUT, HINT_IN, HIDDEN = 2.5, -6.0, -3.5, -1.5, 1.0, -30.0
+#: The text model's log-odds are kept within this: it can outvote names and content tags.
+TEXT_LIMIT = 4.0
 TIE, MARKED = 2.0, 0.25
+#: Blocks of one page that the text model is fitted to, at most.
+PAGE_EXAMPLES = 200
 
 
 @dataclass
@@ -86,6 +101,7 @@ class Element:
     depth: int
     cue: int = 0  # 1 in content, -1 in boilerplate, -2 hidden, 0 unknown
     firm: bool = False  # boilerplate that no class word inside can turn
+    odds: float = 0.0  # log-odds of content that the elements around give
 
 
 @dataclass
@@ -96,36 +112,71 @@ class Block:
     text: str = ""
 
 
-def _cue(tag: str, attributes: str, parent: Element) -> tuple[int, bool]:
-    cue, firm = parent.cue, parent.firm
+def _attributes(raw: str) -> dict[str, str]:
+    """Names (lower case) and values of a tag's attributes; of a repeated name the first."""
+    out: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(raw):
+        out.setdefault(m[1].lower(), next((v for v in m.groups()[1:] if v is not None), ""))
+    return out
+
+
+def _names(found: dict[str, str]) -> tuple[set[str], float]:
+    """What the names in ``class`` and ``id`` stand for (``firm``, ``loose``, ``header``, ``content``,
+    ``comment``), and log-odds of the words that are only parts of other names."""
+    kinds: set[str] = set()
+    hint = 0.0
+    for name in (*found.get("class", "").split(), *found.get("id", "").split()):
+        words = _WORD.findall(_CAMEL.sub(" ", name).lower())
+        told = [w for w in words if w not in LAYOUT_WORDS]
+        if not told:
+            continue
+        out = [w for w in told if w in FIRM_WORDS or w in LOOSE_WORDS]
+        if len(out) == len(told):  # nothing else is in the name
+            kinds.add("firm" if any(w in FIRM_WORDS for w in told) else "loose")
+            if "comment" in told or "comments" in told:
+                kinds.add("comment")
+        elif all(w in HEADER_WORDS for w in told):
+            kinds.add("header")
+        elif all(w in CONTENT_WORDS for w in told):
+            kinds.add("content")
+        elif out:
+            hint += HINT_OUT
+        elif any(w in CONTENT_WORDS for w in told):
+            hint += HINT_IN
+    return kinds, hint
+
+
+def _cue(tag: str, attributes: str, parent: Element) -> tuple[int, bool, float]:
+    cue, firm, odds = parent.cue, parent.firm, parent.odds
     if cue == -2:
-        return cue, True
-    words: list[str] = []
-    role = ""
+        return cue, True, odds
+    kinds: set[str] = set()
+    hint, role = 0.0, ""
     if attributes:
-        for m in _ATTRIBUTE.finditer(attributes):
-            name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-            if name in ("class", "id"):
-                words += _WORD.findall(_CAMEL.sub(" ", value).lower())
-            elif name == "role":
-                role = value.lower()
-            elif name == "hidden" or name == "aria-hidden" and value == "true" \
-                    or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                return -2, True
-    marked = not BOILERPLATE_WORDS.isdisjoint(words)
+        found = _attributes(attributes)
+        if "hidden" in found and found["hidden"].lower() != "until-found" or found.get("aria-hidden", "").lower() == "true" \
+                or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""), re.I):
+            return -2, True, HIDDEN
+        role = found.get("role", "").lower()
+        kinds, hint = _names(found)
+    page = tag in ("body", "html")
     if tag in BOILERPLATE_TAGS or role in BOILERPLATE_ROLES:
-        return -1, True
+        return -1, True, OUTSIDE
     if tag in CONTENT_TAGS or role in ("main", "article"):
-        return (-1, True) if marked else (cue, firm) if firm else (1, False)
-    if tag == "form" and cue != 1:
-        return -1, False
-    if tag == "form" or marked and tag not in ("body", "html"):
-        return -1, cue == 1 or "comments" in words or "comment" in words or not words or words[0] in BOILERPLATE_WORDS
-    if (tag == "header" or not HEADER_WORDS.isdisjoint(words)) and cue != 1 and tag not in ("body", "html"):
-        return -1, tag == "header"
-    if not firm and not CONTENT_WORDS.isdisjoint(words):
-        return 1, False
-    return cue, firm
+        if kinds & {"firm", "loose"}:
+            return -1, True, OUTSIDE
+        return (cue, firm, odds) if firm else (1, False, INSIDE)
+    if tag == "form":
+        return -1, cue == 1, OUTSIDE
+    if "firm" in kinds and not page:
+        return -1, True, OUTSIDE
+    if (tag == "header" or "header" in kinds) and cue != 1 and not page:
+        return -1, tag == "header", OUTSIDE
+    if "loose" in kinds and not page and not firm:
+        return (0 if cue == 1 else cue), False, odds + LOOSE
+    if not firm and "content" in kinds and cue != 1:
+        return 1, False, INSIDE
+    return cue, firm, odds + (0.0 if firm or page else hint)
 
 
 def blocks(page: str) -> list[Block]:
@@ -243,8 +294,7 @@ def blocks(page: str) -> list[Block]:
             head = find({"head"}, set())
             if head is not None:
                 close(head)
-        cue, firm = _cue(tag, attributes, open_now)
-        open_now = Element(tag, open_now, open_now.depth + 1, cue, firm)
+        open_now = Element(tag, open_now, open_now.depth + 1, *_cue(tag, attributes, open_now))
         silent += tag in NO_TEXT
         links += tag == "a"
         count[tag] = count.get(tag, 0) + 1
@@ -257,16 +307,27 @@ def blocks(page: str) -> list[Block]:
 
 def _comment_titles(found: list[Block]) -> None:
     """Blocks that follow a heading such as "Comments" under its parent are comments."""
+    homes: dict[int, int] = {}  # parents of such headings, with the first one's place
     for i, b in enumerate(found):
         if b.element.tag in ("h2", "h3", "h4", "h5") and b.text.lower().strip(" :0123456789()") in COMMENT_TITLES:
-            home = b.element.parent
-            for c in found[i:]:
-                node = c.element
-                while node is not None and node is not home:
-                    node = node.parent
-                if node is None:
-                    break
-                c.element = Element(c.element.tag, c.element.parent, c.element.depth, -1, True)
+            homes.setdefault(id(b.element.parent), i)
+    if not homes:
+        return
+    since: dict[int, int] = {}  # for each element, the first such place around it
+
+    def first(element: Element) -> int:
+        path = []
+        while element is not None and id(element) not in since:
+            path.append(element)
+            element = element.parent
+        at = len(found) if element is None else since[id(element)]
+        for e in reversed(path):
+            at = min(at, homes.get(id(e), len(found)))
+            since[id(e)] = at
+        return at
+    for i, b in enumerate(found):
+        if i >= first(b.element):
+            b.element = Element(b.element.tag, b.element.parent, b.element.depth, -1, True, OUTSIDE)
 
 
 FEATURES = ["one", "log_words", "linked", "stops", "capitals", "digits", "heading", "paragraph", "item", "cell"]
@@ -290,8 +351,7 @@ def features(found: list[Block]) -> np.ndarray:
 
 def log_odds(found: list[Block], weights: np.ndarray) -> list[float]:
     text = np.clip(features(found) @ weights, -TEXT_LIMIT, TEXT_LIMIT) if found else []
-    prior = {1: INSIDE, 0: 0.0, -1: OUTSIDE, -2: HIDDEN}
-    return [float(t) + prior[b.element.cue] for t, b in zip(text, found)]
+    return [float(t) + b.element.odds for t, b in zip(text, found)]
 
 
 def _distance(a: Element, b: Element) -> int:
@@ -341,6 +401,7 @@ def _examples(batches):
         rows, marks = [np.empty((0, len(FEATURES)))], []
         for page in part.column("html").to_pylist():
             clear = [b for b in blocks(page or "") if b.element.cue in (1, -1)]
+            clear = clear[::-(-len(clear) // PAGE_EXAMPLES) or 1]
             rows.append(features(clear))
             marks += [b.element.cue > 0 for b in clear]
         x = np.concatenate(rows)
@@ -351,8 +412,8 @@ def _examples(batches):
 def fit(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> np.ndarray:
     """Weights of the text model, from the blocks whose elements leave no doubt."""
     total = pages.count()
-    share = F.xxhash64("html").bitwiseAND(F.lit((1 << 40) - 1)) / float(1 << 40)
-    sample = pages.filter(share * total < sample_pages).select("html")
+    share = F.xxhash64("page_id", "url", "html").bitwiseAND(F.lit((1 << 40) - 1)) / float(1 << 40)
+    sample = pages.filter(share * total < sample_pages).select("html").limit(2 * sample_pages)
     schema = "content boolean, " + ", ".join(f"{name} double" for name in FEATURES)
     # Equal rows are counted, so that no page's length matters.
     rows = sample.mapInArrow(_examples, schema).groupBy("content", *[F.round(c, 2).alias(c) for c in FEATURES]).agg(

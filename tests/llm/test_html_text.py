@@ -101,3 +101,60 @@ def test_smoothing_settles_weak_blocks():
     chain = [2.0] + [-0.01] * 500 + [2.0]
     assert mincut.label(chain, [(i, i + 1, 1.0) for i in range(501)]) == [False] * 502 or \
         mincut.label(chain, [(i, i + 1, 3.0) for i in range(501)])
+
+
+@pytest.mark.parametrize("inner", [
+    f'<p title="hidden gems">{LONG}</p>', f'<p data-id="menu" data-class="ad" alt="x id=nav">{LONG}</p>',
+    f'<section id="related-work"><p>{LONG}</p></section>', f'<section class="legal-history"><p>{LONG}</p></section>',
+    f'<div class="legal"><p>{LONG}</p></div>', f'<div class="advertising-history-of-rome"><p>{LONG}</p></div>',
+    f'<p aria-hidden="false">{LONG}</p>', f'<p data-hidden>{LONG}</p>', f"<div data-x='class=\"menu\"'>{LONG}</div>",
+    f'<section id="search-for-truth"><p>{LONG}</p></section>', f'<p class="content-style hidden-valley">{LONG}</p>'])
+def test_names_inside_other_attributes_and_names_do_not_drop_text(inner):
+    page = f"<html><body><nav><a>Home</a></nav><article>{BODY}{inner}</article></body></html>"
+    assert text(page) == WANT + "\n" + LONG
+
+
+@pytest.mark.parametrize("page", [
+    f'<article data-teaser="The hidden valley"><p>{LONG}</p></article>', f'<div data-grid="menu"><p>{LONG}</p></div>',
+    f'<article TITLE=menu><p>{LONG}</p></article>', f'<div myid="sidebar" class="story"><p>{LONG}</p></div>'])
+def test_whole_pages_with_such_attributes(page):
+    assert text(f"<html><body>{page}</body></html>") == LONG
+
+
+@pytest.mark.parametrize("mark", [
+    'class="site-footer"', 'id="mainNav"', 'class="wrap page-sidebar"', 'class="cookie-notice box"', 'ID="comments-list"',
+    "class=newsletter", 'role="NAVIGATION"', 'hidden=""', 'style="color: red; DISPLAY:none"', 'aria-hidden=true',
+    'class="related-posts"', 'class="share-buttons"'])
+def test_names_of_boilerplate_alone_still_drop_it(mark):
+    assert text(f"<html><body><article>{BODY}<div {mark}><ul><li><a>One link</a></li></ul></div></article></body></html>") == WANT
+
+
+def test_the_cut_settles_what_the_blocks_alone_get_wrong():
+    """Pages without any tag or name: short blocks of an article, and a sentence among links."""
+    links = "".join(f"<li><a href='/{i}'>Item {i}</a></li>" for i in range(6))
+    pages = [
+        (f"<div><p>{LONG}</p><p>Yes.</p><p>{LONG}</p></div>", f"{LONG}\nYes.\n{LONG}"),
+        (f"<div><p>{LONG}</p><p>12 May</p><p>{LONG}</p><ul>{links}</ul></div>", f"{LONG}\n12 May\n{LONG}"),
+        (f"<div><h2>Rome</h2><p>{LONG}</p><li>a b</li><p>{LONG}</p></div><div><ul>{links}</ul></div>",
+         f"Rome\n{LONG}\na b\n{LONG}")]
+    better = 0
+    for page, want in pages:
+        found = H.blocks(f"<html><body>{page}</body></html>")
+        alone = "\n".join(b.text for b, u in zip(found, H.log_odds(found, W)) if u > 0)
+        assert text(f"<html><body>{page}</body></html>") == want
+        better += alone != want
+    assert better >= 2
+
+
+def test_many_headings_of_comments_take_linear_time():
+    import time
+    began = time.time()
+    page = "<article>" + f"<p>{LONG}</p>" + "<section><h3>Comments</h3><p>x y z</p></section>" * 20000 + "</article>"
+    assert text(page) == LONG
+    assert time.time() - began < 60
+
+
+def test_clashing_columns(spark):
+    pages = spark.createDataFrame([(1, "u", f"<article><p>{LONG}</p></article>")], "page_id long, url string, html string")
+    clash = pages.selectExpr("*", "1 AS content", "'x' AS text", "2.0 AS one", "3 AS n_chars")
+    assert [tuple(r) for r in H.extract(clash).collect()] == [(1, "u", LONG)]
