@@ -1,7 +1,7 @@
 """Quality rules: fixed base rules, and gradient-boosted trees over document statistics.
 
 The statistics of a text are counted in numpy for many texts at once. The trees
-are fitted to at most (an expected) ``SAMPLE_ROWS`` rows of the quality labels, and
+are fitted to at most (an expected) ``SAMPLE_ROWS`` distinct rows of the quality labels, and
 the flat node arrays are broadcast to score all documents. Rates of symbols,
 repetition, repeated lines, bars, exclamation marks and capitals can only lower
 the verdict, distinct words can only raise it, whatever the labels say.
@@ -10,9 +10,11 @@ A document is kept if the base rules do not fail it and the trees give it a
 probability of good quality of at least ``THRESHOLD``.
 
 Edge cases: a null or empty text has no words and fails the base rules; labels
-that are null or whose document is missing are not learned from, an id with
-several labels gives several rows; with nothing to learn from, only the base
-rules decide; repeated rows repeat; an empty table gives an empty result.
+that are null or whose document is missing are not learned from; a label counts once
+however often it is repeated, an id with both labels counts for both, and of several texts
+under one id one is learned from; a score of exactly ``THRESHOLD`` is kept; with nothing to learn
+from, only the base rules decide; repeated rows repeat; other columns are ignored, whatever their
+names; an empty table gives an empty result. A text is handed to numpy whole: it takes some 24 times its bytes.
 """
 
 from __future__ import annotations
@@ -98,13 +100,16 @@ def _statistics(batches):
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> gbt.Trees:
     """Fit the trees to ``labels(doc_id, quality)`` over ``docs(doc_id, text)``."""
-    known = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
+    # A label counts once however often it is repeated, and an id stands for one text.
+    known = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).select("doc_id", "quality").distinct()
     total = known.count()
-    share = F.xxhash64("doc_id").bitwiseAND(F.lit((1 << 40) - 1)) / float(1 << 40)
-    # sample_rows rows on average; few enough to broadcast.
+    share = F.xxhash64("doc_id", "quality").bitwiseAND(F.lit((1 << 40) - 1)) / float(1 << 40)
+    # sample_rows distinct rows on average; few enough to broadcast.
     sample = known.filter(share * total < sample_rows).select("doc_id", F.col("quality").cast("double").alias("label"))
     schema = "label double, " + ", ".join(f"{name} double" for name in FEATURES)
-    rows = (docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(F.broadcast(sample), "doc_id")
+    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    rows = (docs.select("doc_id", text.alias("text")).join(F.broadcast(sample), "doc_id")
+            .groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
             .select("label", "text").mapInArrow(_statistics, schema).toPandas())
     rows = rows.sort_values(list(rows.columns))  # the fit does not depend on the order of partitions
     return gbt.fit(rows[list(FEATURES)].to_numpy(), rows["label"].to_numpy(), list(FEATURES.values()))
@@ -112,7 +117,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> g
 
 def _score(model):
     def run(batches):
-        trees = model.value
+        trees = gbt.Trees(**model.value)
         for part in chunks(batches, "text"):
             counts, features = statistics(blobs(part.column("text")))
             rest = [n for n in part.schema.names if n != "text"]
@@ -129,7 +134,7 @@ def base_failed() -> Column:
 
 def judge(docs: DataFrame, trees: gbt.Trees, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id``, the counts, ``quality_score``, ``base_failed`` and ``kept`` of every row."""
-    model = docs.sparkSession.sparkContext.broadcast(trees)  # a few hundred nodes
+    model = docs.sparkSession.sparkContext.broadcast(vars(trees))  # a few hundred nodes
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, " + ", ".join(f"{c} long" for c in COUNTS) + ", quality_score double"
     own = docs.select("doc_id", F.col("text").cast("binary").alias("text"))

@@ -79,3 +79,25 @@ def test_trees_fit_an_interaction_and_constants():
     assert ((gbt.fit(x, y, [0, 0]).probability(x) > 0.5) == (y > 0)).mean() > 0.97
     assert gbt.fit(np.empty((0, 2)), np.empty(0), [0, 0]).probability(x).std() == 0
     assert gbt.fit(x, np.ones(800), [0, 0]).probability(x).min() > 0.99
+
+
+def test_sample_is_bounded_under_repeated_ids_and_texts(spark, docs, monkeypatch):
+    text = " ".join(f"word{i}" for i in range(60))
+    rows = docs([(i, f"{text} {i}") for i in range(1000)] + [(0, f"{text} other {i}") for i in range(500)])
+    known = labels(spark, [(0, 1, 0)] * 3000 + [(0, 0, 0)] * 50 + [(i, i % 2, 0) for i in range(1, 1000)])
+    seen = []
+    monkeypatch.setattr(Q.gbt, "fit", lambda x, y, *a: seen.append(len(y)) or gbt.Trees(
+        *(np.empty(0) for _ in range(5)), np.empty(0, int), 1, 0.0))
+    Q.fit(rows, known, sample_rows=50)
+    assert 15 <= seen[0] <= 100
+    Q.fit(rows, known, sample_rows=100_000)
+    assert seen[1] == 1001  # every distinct label, the repeated id's two among them
+
+
+def test_clashing_columns_empty_tables_and_long_texts(spark, docs):
+    text = " ".join(f"w{i}" for i in range(400_000))  # past a chunk
+    rows = docs([(1, text), (2, "a b")]).selectExpr("*", "1 AS n_words", "'x' AS kept", "2 AS label")
+    known = labels(spark, [(1, 1, 0), (2, 0, 0)]).selectExpr("*", "'t' AS text")
+    out = {r.doc_id: (r.n_words, r.base_failed) for r in Q.judge(rows, Q.fit(rows, known)).collect()}
+    assert out == {1: (400_000, False), 2: (2, True)}
+    assert Q.judge(rows.limit(0), Q.fit(rows.limit(0), known.limit(0))).collect() == []
