@@ -30,7 +30,9 @@ Documents are scanned where they lie; nothing is shuffled but word counts.
 Edge cases: null or empty texts and items match nothing; items of fewer than
 ``LEAST_SHORT`` words count only as a whole, those of one or two words only if they
 are rarer than once in the corpus or carry ``TELLING`` bits; repeated rows and items each
-give their own rows; a null id is returned as null; empty tables give an empty result.
+give their own rows; a null id is returned as null; of alignments with equal scores the first one's
+place is returned, and a score equal to the least that counts does count; other columns are ignored, whatever their
+names; empty tables give an empty result. A text is normalised and hashed whole: it takes some 25 times its bytes.
 """
 
 from __future__ import annotations
@@ -58,6 +60,7 @@ EDITS, HALF = 2, 0.5
 TELLING, EDIT_BITS = 28, 3
 UNREAD = 1 << 16
 LEAST_SHORT, PAIRS, SHORT = 6, 9, 14
+GAPS = (1, 2, 3)
 FILTER_LOG2 = 22
 
 _PLAIN = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
@@ -83,6 +86,11 @@ class Block:
     seed_item: np.ndarray | None = None
     seed_at: np.ndarray | None = None  # position in the item
     sieve: np.ndarray | None = None
+    pairs: np.ndarray | None = None  # the same for gapped pairs
+    pair_item: np.ndarray | None = None
+    pair_at: np.ndarray | None = None
+    pair_sieve: np.ndarray | None = None
+    copies: np.ndarray | None = None  # how often the benchmark has each item
     bits: np.ndarray | None = None  # information of each word of the items
 
     @classmethod
@@ -99,6 +107,7 @@ class Block:
         self.bits = -np.log2(np.maximum(counts, 0.5) / (total + UNREAD))[at]
         needed = np.log2(max(total, 2))
         hashes, items, places = [np.empty(0, U64)], [np.empty(0, int)], [np.empty(0, int)]
+        pairs = [(np.empty(0, U64), np.empty(0, int), np.empty(0, int))]
         for i in range(len(self.item_ids)):
             low, high = self.first[i], self.first[i + 1]
             n = high - low
@@ -121,17 +130,36 @@ class Block:
             hashes.append(grams[at])
             items.append(np.full(len(at), i))
             places.append(at)
-        seeds = np.concatenate(hashes)
-        order = np.argsort(seeds, kind="stable")
-        self.seeds, self.seed_item, self.seed_at = seeds[order], np.concatenate(items)[order], np.concatenate(places)[order]
-        self.sieve = np.zeros(1 << FILTER_LOG2, bool)
-        self.sieve[(self.seeds >> U64(64 - FILTER_LOG2)).astype(np.int64)] = True
+            if n > SHORT:
+                for gap in GAPS:
+                    told = own[low:high - gap] + own[low + gap:high]
+                    best = np.array([j + told[j:j + STRETCH].argmax() for j in range(0, len(told), STRETCH)])
+                    pairs.append((pair_hashes(self.words[low:high], gap)[best], np.full(len(best), i), best))
+        self.seeds, self.seed_item, self.seed_at, self.sieve = _sorted(*(np.concatenate(c) for c in (hashes, items, places)))
+        self.pairs, self.pair_item, self.pair_at, self.pair_sieve = _sorted(*(np.concatenate(c) for c in zip(*pairs)))
 
     def sizes(self) -> list[int]:
         """The gram sizes in use."""
         return sorted({gram_size(int(n)) for n in np.diff(self.first) if n})
 
 
+def _sorted(hashes: np.ndarray, items: np.ndarray, places: np.ndarray):
+    """The seeds by hash, and a table of bits of at least 16 for each."""
+    order = np.argsort(hashes, kind="stable")
+    sieve = np.zeros(1 << max(FILTER_LOG2, int(16 * len(hashes)).bit_length()), bool)
+    sieve[_slot(hashes, sieve)] = True
+    return hashes[order], items[order], places[order], sieve
+
+
+def _slot(hashes: np.ndarray, sieve: np.ndarray) -> np.ndarray:
+    return (hashes >> U64(65 - len(sieve).bit_length())).astype(np.int64)
+
+
+def pair_hashes(words: np.ndarray, gap: int) -> np.ndarray:
+    """Hash of every two words ``gap`` apart, the same for all gaps."""
+    return mix(words[:-gap] * U64(0x9E3779B97F4A7C15) + words[gap:], 43) if len(words) > gap else np.empty(0, U64)
+
+
 def gram_size(n: int) -> int:
     """Words of a seed of an item of ``n`` words."""
     return 2 if LEAST_SHORT <= n < PAIRS else min(GRAM, n)
@@ -204,16 +232,19 @@ def found_in(item: np.ndarray, text: np.ndarray, bits: np.ndarray):
     return None
 
 
-def matches(block: Block, hashes: np.ndarray, hits: np.ndarray):
+def slack_of(size: int) -> int:
+    """Words by which a copy of ``size`` words may begin earlier or end later than a seed tells."""
+    return size // 4 + 5
+
+
+def matches(block: Block, hashes: np.ndarray, item: np.ndarray, place: np.ndarray):
     """``item, score, start, end`` of the items that contaminate one document,
-    given its word hashes and its (position, seed) hits."""
-    place, seed = hits
-    item = block.seed_item[seed]
+    given its word hashes and the places at which its seeds let items begin."""
     for i in np.unique(item):
         own = block.words[block.first[i]:block.first[i + 1]]
         size = len(own)
-        slack = size // 4 + 5
-        begin = np.unique((place - block.seed_at[seed])[item == i]) - slack
+        slack = slack_of(size)
+        begin = np.unique(place[item == i]) - slack
         bits = block.bits[block.first[i]:block.first[i + 1]]
         if size <= SHORT:
             begin = promising(own, bits, hashes, begin, size + 2 * slack)
@@ -234,42 +265,63 @@ def matches(block: Block, hashes: np.ndarray, hits: np.ndarray):
             yield int(i), best[0] / (MATCH * size), best[1], best[2]
 
 
+def _hits(grams: np.ndarray, reach: int, words: Words, seeds: np.ndarray, sieve: np.ndarray):
+    """``document, place, seed`` of the grams that are seeds and lie within one document."""
+    at = np.flatnonzero(sieve[_slot(grams, sieve)])
+    first = np.searchsorted(seeds, grams[at], "left")
+    n = np.searchsorted(seeds, grams[at], "right") - first
+    place = np.repeat(at, n)
+    seed = np.repeat(first - np.concatenate(([0], np.cumsum(n)))[:-1], n) + np.arange(n.sum())
+    doc = np.searchsorted(words.first, place, "right") - 1
+    inside = place + reach <= words.first[doc + 1]
+    return doc[inside], place[inside], seed[inside]
+
+
+def seeded(block: Block, words: Words, hashes: np.ndarray):
+    """``document, item, begin``: where the seeds let items begin, in order of documents."""
+    out = [(np.empty(0, int),) * 3]
+    for size in block.sizes():
+        if len(hashes) >= size:
+            doc, place, seed = _hits(gram_hashes(hashes, size), size, words, block.seeds, block.sieve)
+            out.append((doc, block.seed_item[seed], place - block.seed_at[seed]))
+    pairs = [(np.empty(0, int),) * 4]
+    for gap in GAPS if len(block.pairs) else ():
+        if len(hashes) > gap:
+            doc, place, seed = _hits(pair_hashes(hashes, gap), gap + 1, words, block.pairs, block.pair_sieve)
+            pairs.append((doc, block.pair_item[seed], place - block.pair_at[seed], block.pair_at[seed]))
+    doc, item, begin, at = (np.concatenate(c) for c in zip(*pairs))
+    order = np.lexsort((begin, item, doc))
+    doc, item, begin, at = doc[order], item[order], begin[order], at[order]
+    # Two pairs of the item, at different places of it, that let it begin near one place.
+    slack = slack_of(np.diff(block.first)[item])
+    both = (doc[1:] == doc[:-1]) & (item[1:] == item[:-1]) & (begin[1:] - begin[:-1] <= slack[1:]) & (at[1:] != at[:-1])
+    good = np.zeros(len(doc), bool)
+    good[1:] |= both
+    good[:-1] |= both
+    out.append((doc[good], item[good], begin[good]))
+    doc, item, begin = (np.concatenate(c) for c in zip(*out))
+    order = np.argsort(doc, kind="stable")
+    return doc[order], item[order], begin[order]
+
+
 def find(block: Block, texts: list[bytes]):
     """For each text that some item contaminates: its index and its matches."""
     if not len(block.seeds):
         return
     words = Words([normal(t) for t in texts])
     hashes = words.hashes()
-    place, seed = [], []
-    for size in block.sizes():
-        if len(hashes) < size:
-            continue
-        grams = gram_hashes(hashes, size)
-        at = np.flatnonzero(block.sieve[(grams >> U64(64 - FILTER_LOG2)).astype(np.int64)])
-        first = np.searchsorted(block.seeds, grams[at], "left")
-        n = np.searchsorted(block.seeds, grams[at], "right") - first
-        place.append(np.repeat(at, n))
-        seed.append(np.repeat(first - np.concatenate(([0], np.cumsum(n)))[:-1], n) + np.arange(n.sum()))
-        doc = np.searchsorted(words.first, place[-1], "right")
-        inside = place[-1] + size <= words.first[doc]
-        place[-1], seed[-1] = place[-1][inside], seed[-1][inside]
-    if not place:
-        return
-    place, seed = np.concatenate(place), np.concatenate(seed)
-    order = np.argsort(place, kind="stable")
-    place, seed = place[order], seed[order]
-    doc = np.searchsorted(words.first, place, "right") - 1
+    doc, item, begin = seeded(block, words, hashes)
     for d in np.unique(doc):
         low, high = words.first[d], words.first[d + 1]
         mine = slice(*np.searchsorted(doc, [d, d + 1]))
-        found = list(matches(block, hashes[low:high], (place[mine] - low, seed[mine])))
+        found = list(matches(block, hashes[low:high], item[mine], begin[mine] - low))
         if found:
             yield int(d), found
 
 
 def _count(block):
     def run(batches):
-        known = block.value.vocabulary
+        known = block.value
         for part in chunks(batches, "text"):
             hashes = Words([normal(t) for t in blobs(part.column("text"))]).hashes()
             at = np.minimum(np.searchsorted(known, hashes), max(len(known) - 1, 0))
@@ -284,7 +336,8 @@ def blocks(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS
     """The benchmark's blocks, one after the other, with their seeds chosen by
     the counts over all of ``docs``; each comes as a broadcast."""
     spark = docs.sparkSession
-    items = benchmark.select("item_id", "text").filter(F.col("text").isNotNull())
+    # An item that the benchmark repeats is taken once, with its number.
+    items = benchmark.filter(F.col("text").isNotNull()).groupBy("item_id", "text").agg(F.count("*").alias("copies"))
     spaces = F.sum(F.octet_length(F.col("text"))).alias("n")
     total = items.agg(spaces).first()["n"] or 0
     n = max(1, -(-total // (4 * block_words)))
@@ -294,25 +347,26 @@ def blocks(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS
         # About block_words words, whatever the size of the benchmark.
         rows = sorted(own.collect(), key=lambda r: (r["item_id"] is not None, r["item_id"], r["text"]))
         block = Block.of([r["item_id"] for r in rows], [r["text"].encode() for r in rows])
+        block.copies = np.array([r["copies"] for r in rows], int)
         if not len(block.words):
             continue
-        counted = texts.mapInArrow(_count(spark.sparkContext.broadcast(block)), "place long, n long")
+        counted = texts.mapInArrow(_count(spark.sparkContext.broadcast(block.vocabulary)), "place long, n long")
         sums = {r["place"]: r["n"] for r in counted.groupBy("place").agg(F.sum("n").alias("n")).collect()}
         counts = np.zeros(len(block.vocabulary))
         for place, k in sums.items():
             if place >= 0:
                 counts[place] = k
         block.choose(counts, sums.get(-1, 0))
-        yield spark.sparkContext.broadcast(block)
+        yield spark.sparkContext.broadcast(vars(block))
 
 
 def _matches(block):
     def run(batches):
-        own = block.value
+        own = Block(**block.value)
         for part in chunks(batches, "text"):
             ids = part.column("doc_id")
             rows = [(d, own.item_ids[i], score, lo, hi) for d, found in find(own, blobs(part.column("text")))
-                    for i, score, lo, hi in found]
+                    for i, score, lo, hi in found for _ in range(own.copies[i])]
             if rows:
                 at, items, scores, lows, highs = zip(*rows)
                 yield pa.RecordBatch.from_arrays(
@@ -342,9 +396,10 @@ def clean(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS)
 
     def keep(block):
         def run(batches):
+            own = Block(**block.value)
             for part in chunks(batches, "text"):
                 stay = np.ones(part.num_rows, bool)
-                stay[[d for d, _ in find(block.value, blobs(part.column(at).cast(pa.binary())))]] = False
+                stay[[d for d, _ in find(own, blobs(part.column(at).cast(pa.binary())))]] = False
                 yield part.filter(pa.array(stay))
         return run
     for block in blocks(docs, benchmark, block_words):

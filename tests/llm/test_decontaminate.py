@@ -102,3 +102,56 @@ def test_every_item_has_seeds_whatever_the_size_of_the_corpus(times):
     for i, words in enumerate(items):
         at = np.unique(block.seed_at[block.seed_item == i])
         assert np.diff(np.concatenate(([-1], at, [len(words) - 2]))).max() < 2 * D.STRETCH
+
+
+def every_third_replaced(words, new):
+    return [next(new) if i % 3 == 2 else w for i, w in enumerate(words)]
+
+
+def one_inserted_after_every_second(words, new):
+    return [x for i, w in enumerate(words) for x in ([w, next(new)] if i % 2 else [w])]
+
+
+def random_edits(words, new):
+    return [next(new) if rnd.random() < .3 else w for w in words]
+
+
+def given(spark):
+    from indicast.llm.common import table
+    home = "/root/testdata/sf0.001"
+    docs = [(r.doc_id, r.text) for r in table(spark, home, "documents").collect()]
+    return docs, [(r.item_id, r.text) for r in table(spark, home, "benchmark").collect()]
+
+
+def test_recall_against_aligning_every_item_with_every_document(spark):
+    """Evenly edited copies of the given items, planted in the given documents' words."""
+    docs, items = given(spark)
+    pool = [w for _, t in docs for w in (t or "").split()]
+    new = iter(lambda: rnd.choice(pool), None)
+    planted = {}
+    for k, edit in enumerate((every_third_replaced, one_inserted_after_every_second, random_edits)):
+        for i, text in items:
+            d = 10_000 + 1000 * k + i
+            planted[d] = " ".join([*(next(new) for _ in range(60)), *edit(text.split(), new), *(next(new) for _ in range(40))])
+    rows = docs + list(planted.items())
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {(r.doc_id, r.item_id) for r in D.contamination(frame, bench).collect()}
+    block = D.Block(**next(D.blocks(frame, bench)).value)
+    texts = [(d, D.Words([D.normal((t or "").encode())]).hashes()) for d, t in rows]
+    cells = [(block.item_ids[i], block.words[a:b], block.bits[a:b]) for i, (a, b) in enumerate(zip(block.first[:-1], block.first[1:]))]
+    true = {(d, i) for d, words in texts if len(words) for i, own, bits in cells if D.found_in(own, words, bits)}
+    assert found <= true and len(true) > 2 * len(items)
+    for k in range(3):
+        mine = {p for p in true if 10_000 + 1000 * k <= p[0] < 11_000 + 1000 * k}
+        assert len(mine) >= 0.5 * len(items) and len(mine & found) >= 0.9 * len(mine), (k, len(mine), len(mine & found))
+    assert len(true & found) >= 0.95 * len(true)
+
+
+def test_repeated_items_long_texts_and_clashing_columns(spark, docs):
+    long = filler(200_000) + " " + ITEMS[7][1]  # past a chunk
+    rows = docs([(1, long), (2, ITEMS[8][1])]).selectExpr("*", "0.5 AS score", "'x' AS item_id", "1 AS copies")
+    bench = spark.createDataFrame([ITEMS[7]] * 300 + [ITEMS[8]], "item_id long, text string").selectExpr("*", "'x' AS copies", "1 AS doc_id")
+    got = [(r.doc_id, r.item_id) for r in D.contamination(rows, bench).collect()]
+    assert sorted(got) == [(1, 7)] * 300 + [(2, 8)]
+    assert next(D.blocks(rows, bench)).value["item_ids"] == [7, 8]
