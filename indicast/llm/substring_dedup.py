@@ -6,14 +6,18 @@ consecutive words whose word sequence also starts anywhere else.
    occurrences of an anchor bounds a window's count from above. Every partition
    builds a count-min sketch of its anchors (the cells that are set, with their
    counts); the sketches are merged by summing cells.
-2. The cells with a count of two or more are broadcast as bit sets. Their size
-   is ``DEPTH * 2**width_log2 / 8`` bytes (16 MB by default) whatever the
-   input. An overloaded sketch lets more windows through and loses none.
+2. The cells with a count of two or more are broadcast as bit sets of
+   ``DEPTH * 2**width_log2 / 8`` bytes. The width follows from a count of the
+   input's words (two to four cells an anchor) up to ``MAX_WIDTH_LOG2``, that
+   is 256 MB, enough for some 30 GB of text. An overloaded sketch lets more
+   windows through and loses none.
 3. The second pass takes the windows estimated repeated. Consecutive windows
    with one anchor travel as one segment. Segments are grouped exactly; a
    segment that occurs twice has only repeated windows. Where an anchor also
    has segments that occur once, the distinct segments of that anchor are
-   unfolded into windows and those are grouped exactly.
+   unfolded into windows and those are grouped exactly. The joins that find
+   them deal an anchor's segments to ``SALTS`` places, since a common phrase
+   may anchor very many different segments.
 4. The covered positions go back to the documents by row key.
 
 A window is compared by 128 bits (its anchor's hash and its own). No group is
@@ -23,13 +27,17 @@ document or segment is bounded by that document's length or by ``width``.
 Edge cases: a null or empty text, or one of fewer than ``width`` words, has no
 window and keeps all its words; repeated rows are repeats of one another;
 a null id is a document like any other; an empty table gives an empty result.
+A very long text is held whole by its task (some 20 times its bytes). Columns
+other than ``doc_id`` and ``text`` are not read.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from indicast.llm.common import Shelf, blobs, chunks, row_key
@@ -38,7 +46,20 @@ from indicast.llm.wordhash import Tables, U64, Words, mix, range_sums, windows
 WIDTH = 35
 GRAM = 8
 DEPTH = 2
-WIDTH_LOG2 = 26
+MIN_WIDTH_LOG2, MAX_WIDTH_LOG2 = 16, 30
+SALTS = 16
+
+
+def sketch_width(docs: DataFrame, width: int = WIDTH) -> int:
+    """``width_log2`` of a sketch with two to four cells for each anchor that
+    ``docs`` can be expected to have, within the bounds above.
+
+    Words are counted by the white space around them, which is never too few;
+    of all windows, two in ``width - gram + 2`` begin a new anchor."""
+    space = F.length("text") - F.length(F.translate("text", " \t\n\x0b\x0c\r", ""))
+    words = docs.agg(F.sum(space + 1).alias("n")).first()["n"] or 0
+    anchors = 2 * words / (width - min(GRAM, width) + 2)
+    return min(max(math.ceil(math.log2(2 * anchors + 1)), MIN_WIDTH_LOG2), MAX_WIDTH_LOG2)
 
 
 def cells(anchors: np.ndarray, width_log2: int) -> list[np.ndarray]:
@@ -95,7 +116,7 @@ def _sketch(width: int, width_log2: int):
     return run
 
 
-def repeated_cells(docs: DataFrame, width: int = WIDTH, width_log2: int = WIDTH_LOG2) -> np.ndarray:
+def repeated_cells(docs: DataFrame, width: int, width_log2: int) -> np.ndarray:
     """Bit set over all sketch cells: those whose merged count is at least two."""
     merged = (docs.select(F.col("text").cast("binary").alias("text"))
               .mapInArrow(_sketch(width, width_log2), "cell long, n long")
@@ -151,10 +172,20 @@ def _unfold(batches):
             ["anchor", "seg", "nth", "win", "copies"])
 
 
-def covered(docs: DataFrame, shelf: Shelf, width: int = WIDTH, width_log2: int = WIDTH_LOG2) -> DataFrame:
+def _salted_semi(left: DataFrame, right: DataFrame, keys: list[str], salt: Column) -> DataFrame:
+    """Rows of ``left`` with a partner in ``right``; rows of one key are dealt
+    to ``SALTS`` places by ``salt``, a copy of the partner to each."""
+    places = F.explode(F.array(*[F.lit(i) for i in range(SALTS)]))
+    dealt = left.withColumn("salt", F.pmod(salt, F.lit(SALTS)).cast("int"))
+    return dealt.join(right.select(*keys, places.alias("salt")), [*keys, "salt"], "left_semi").drop("salt")
+
+
+def covered(docs: DataFrame, shelf: Shelf, width: int = WIDTH, width_log2: int | None = None) -> DataFrame:
     """Per row key: the starts of its repeated windows, as ``spots`` of a
     first position and a bit for each of up to ``width`` positions from it."""
     spark = docs.sparkSession
+    if width_log2 is None:
+        width_log2 = sketch_width(docs, width)
     keyed = docs.select(*row_key(), F.col("text").cast("binary").alias("text"))
     bits = spark.sparkContext.broadcast(repeated_cells(docs, width, width_log2))
     found = shelf.keep(keyed.mapInArrow(_candidates(width, width_log2, bits), SEGMENT), "segments")
@@ -162,11 +193,11 @@ def covered(docs: DataFrame, shelf: Shelf, width: int = WIDTH, width_log2: int =
         F.count("*").alias("copies"), F.first("size").alias("size"), F.first("wins").alias("wins")), "distinct")
     mixed = (distinct.groupBy("anchor").agg(F.count("*").alias("n"), F.min("copies").alias("least"))
              .filter("n > 1 and least = 1").select("anchor"))
-    single = distinct.join(mixed, "anchor", "left_semi").mapInArrow(
+    single = _salted_semi(distinct, mixed, ["anchor"], F.col("seg")).mapInArrow(
         _unfold, "anchor long, seg long, nth int, win long, copies long")
     single = shelf.keep(single, "windows")
     twice = single.groupBy("anchor", "win").agg(F.sum("copies").alias("n")).filter("n > 1").select("anchor", "win")
-    partly = (single.filter("copies = 1").join(twice, ["anchor", "win"], "left_semi")
+    partly = (_salted_semi(single.filter("copies = 1"), twice, ["anchor", "win"], F.col("seg"))
               .groupBy("anchor", "seg").agg(F.bit_or(F.expr("shiftleft(1L, nth)")).alias("mask")))
     whole = distinct.filter("copies > 1").select("anchor", "seg", F.expr("shiftleft(1L, size) - 1").alias("mask"))
     spots = (found.select("k1", "k2", "start", "anchor", "seg").join(whole.unionByName(partly), ["anchor", "seg"])
@@ -205,7 +236,7 @@ def _strip(width: int):
     return run
 
 
-def substring_dedup(docs: DataFrame, width: int = WIDTH, width_log2: int = WIDTH_LOG2) -> DataFrame:
+def substring_dedup(docs: DataFrame, width: int = WIDTH, width_log2: int | None = None) -> DataFrame:
     """``doc_id, kept_text, n_words, n_removed`` for every row of ``docs(doc_id, text)``."""
     if not 1 < width < 64:
         raise ValueError("width must lie between 2 and 63")

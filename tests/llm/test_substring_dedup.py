@@ -67,3 +67,37 @@ def test_clashing_extra_columns(docs):
     from pyspark.sql import functions as F
     df = docs([(1, "a b")]).withColumns({"k1": F.lit("x"), "anchor": F.lit(1), "n_words": F.lit(5)})
     assert S.substring_dedup(df).collect()[0].asDict() == {"doc_id": 1, "kept_text": "a b", "n_words": 2, "n_removed": 0}
+
+
+def test_sketch_grows_with_the_words_and_stays_selective(docs):
+    import numpy as np
+
+    from indicast.llm.wordhash import Words
+    sizes = [S.sketch_width(docs([(i, "a b\tc\n " * n) for i in range(20)])) for n in (1, 10_000, 40_000)]
+    assert sizes[0] == S.MIN_WIDTH_LOG2 and sizes[2] == sizes[1] + 2
+    assert S.sketch_width(docs([])) == S.MIN_WIDTH_LOG2 == S.sketch_width(docs([(1, None)]))
+    text = " ".join(f"u{i}" for i in range(400_000))
+    log2 = S.sketch_width(docs([(1, text)]))
+    bits = S.repeated_cells(docs([(1, text)]), S.WIDTH, log2)
+    anchors = np.unique(S.Segments(Words([text.encode()])).anchor)
+    hit = np.ones(len(anchors), bool)
+    for cell in S.cells(anchors, log2):
+        hit &= (bits[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1
+    assert hit.mean() < .2
+
+
+def test_phrase_that_anchors_very_many_segments(docs, run):
+    """Segments with one anchor: most single, some with windows in common."""
+    from indicast.llm.wordhash import Words, windows
+    words = [f"p{i}" for i in range(50_000)]
+    at = int(windows(Words([" ".join(words).encode()]).hashes(), S.GRAM, 1).argmin())
+    phrase, rows = words[at:at + S.GRAM], []
+    for i in range(400):
+        left, right = [f"l{i}x{j}" for j in range(40)], [f"r{i}x{j}" for j in range(40)]
+        if i % 40 == 0:
+            right[:30] = [f"shared{j}" for j in range(30)]
+        rows.append((i, " ".join(left + phrase + right)))
+    segments = S.Segments(Words([t.encode() for _, t in rows]))
+    assert max(Counter(segments.anchor.tolist()).values()) >= 390
+    got = run("op3_substring_dedup", rows, COLUMNS)
+    assert got == brute(rows) and sum(r[2] > 0 for r in got) == 10
