@@ -7,10 +7,10 @@ consecutive words whose word sequence also starts anywhere else.
    builds a count-min sketch of its anchors (the cells that are set, with their
    counts); the sketches are merged by summing cells.
 2. The cells with a count of two or more are broadcast as bit sets of
-   ``DEPTH * 2**width_log2 / 8`` bytes. The width follows from a count of the
-   input's words (two to four cells an anchor) up to ``MAX_WIDTH_LOG2``, that
-   is 256 MB, enough for some 30 GB of text. An overloaded sketch lets more
-   windows through and loses none.
+   ``DEPTH * 2**width_log2 / 8`` bytes. The width follows from the input's
+   bytes (two to four cells an anchor, if words take four bytes with the space
+   behind) up to ``MAX_WIDTH_LOG2``, that is 256 MB, enough for some 30 GB of
+   text. An overloaded sketch lets more windows through and loses none.
 3. The second pass takes the windows estimated repeated. Consecutive windows
    with one anchor travel as one segment. Segments are grouped exactly; a
    segment that occurs twice has only repeated windows. Where an anchor also
@@ -54,10 +54,9 @@ def sketch_width(docs: DataFrame, width: int = WIDTH) -> int:
     """``width_log2`` of a sketch with two to four cells for each anchor that
     ``docs`` can be expected to have, within the bounds above.
 
-    Words are counted by the white space around them, which is never too few;
-    of all windows, two in ``width - gram + 2`` begin a new anchor."""
-    space = F.length("text") - F.length(F.translate("text", " \t\n\x0b\x0c\r", ""))
-    words = docs.agg(F.sum(space + 1).alias("n")).first()["n"] or 0
+    Four bytes are taken for a word and its space; shorter words only load the
+    sketch more. Of all windows, two in ``width - gram + 2`` begin a new anchor."""
+    words = (docs.agg(F.sum(F.octet_length("text").cast("long")).alias("n")).first()["n"] or 0) / 4
     anchors = 2 * words / (width - min(GRAM, width) + 2)
     return min(max(math.ceil(math.log2(2 * anchors + 1)), MIN_WIDTH_LOG2), MAX_WIDTH_LOG2)
 

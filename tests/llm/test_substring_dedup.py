@@ -69,7 +69,7 @@ def test_clashing_extra_columns(docs):
     assert S.substring_dedup(df).collect()[0].asDict() == {"doc_id": 1, "kept_text": "a b", "n_words": 2, "n_removed": 0}
 
 
-def test_sketch_grows_with_the_words_and_stays_selective(docs):
+def test_sketch_grows_with_the_text_and_stays_selective(docs):
     import numpy as np
 
     from indicast.llm.wordhash import Words
