@@ -15,8 +15,8 @@ consecutive words whose word sequence also starts anywhere else.
    with one anchor travel as one segment. Segments are grouped exactly; a
    segment that occurs twice has only repeated windows. Where an anchor also
    has segments that occur once, the distinct segments of that anchor are
-   unfolded into windows and those are grouped exactly. The joins that find
-   them deal an anchor's segments to ``SALTS`` places, since a common phrase
+   unfolded into windows and those are grouped exactly. The join that finds
+   them deals an anchor's segments to ``SALTS`` places, since a common phrase
    may anchor very many different segments.
 4. The covered positions go back to the documents by row key.
 
@@ -196,7 +196,7 @@ def covered(docs: DataFrame, shelf: Shelf, width: int = WIDTH, width_log2: int |
         _unfold, "anchor long, seg long, nth int, win long, copies long")
     single = shelf.keep(single, "windows")
     twice = single.groupBy("anchor", "win").agg(F.sum("copies").alias("n")).filter("n > 1").select("anchor", "win")
-    partly = (_salted_semi(single.filter("copies = 1"), twice, ["anchor", "win"], F.col("seg"))
+    partly = (single.filter("copies = 1").join(twice, ["anchor", "win"], "left_semi")
               .groupBy("anchor", "seg").agg(F.bit_or(F.expr("shiftleft(1L, nth)")).alias("mask")))
     whole = distinct.filter("copies > 1").select("anchor", "seg", F.expr("shiftleft(1L, size) - 1").alias("mask"))
     spots = (found.select("k1", "k2", "start", "anchor", "seg").join(whole.unionByName(partly), ["anchor", "seg"])
