@@ -283,22 +283,34 @@ def impute_wide(wide: DataFrame, method: str = IMPUTE.method, **kw) -> DataFrame
 # ---------------------------------------------------------------- report
 
 def imputation_report(before: DataFrame, after: DataFrame, method: str = IMPUTE.method) -> DataFrame:
-    """before/after audit joined by indicator; N_IMPUTED floored at 0."""
-    b = audit_missing(before, "before")
-    a = audit_missing(after, "after").select(
-        "INDICATOR_ID", F.col("N_MISSING").alias("N_MISSING_AFTER"),
-        F.col("PCT_MISSING").alias("PCT_MISSING_AFTER"))
+    """Missing cells before and after, by indicator; N_IMPUTED floored at 0.
+
+    One aggregate over the null marks of both tables, for the indicators both have."""
+    cols = [c for c in INDICATOR_IDS if c in before.columns and c in after.columns]
+
+    def marks(wide: DataFrame, side: int) -> DataFrame:
+        return wide.select(F.lit(side).alias("_side"), *[qcol(c).isNull().alias(f"_m{i}") for i, c in enumerate(cols)])
+
+    def total(side: int, mark: Column = F.lit(True)) -> Column:
+        return F.count_if((F.col("_side") == side) & mark)
+
+    agg = marks(before, 0).unionAll(marks(after, 1)).agg(
+        total(0).alias("_n0"), total(1).alias("_n1"),
+        *[total(side, F.col(f"_m{i}")).alias(f"_c{i}_{side}") for i in range(len(cols)) for side in (0, 1)])
+    rows = agg.select("_n0", "_n1", F.inline(F.array(*[
+        F.struct(F.lit(c).alias("INDICATOR_ID"), F.col(f"_c{i}_0").alias("_b"), F.col(f"_c{i}_1").alias("_a"))
+        for i, c in enumerate(cols)])))
     cat = catalogue_df(before.sparkSession).select("INDICATOR_ID", "INDICATOR_LABEL")
-    return (b.join(a, "INDICATOR_ID").join(cat, "INDICATOR_ID", "left")
+    return (rows.join(cat, "INDICATOR_ID", "left")
             .select(
                 "INDICATOR_ID",
                 F.coalesce("INDICATOR_LABEL", F.lit("")).alias("INDICATOR_LABEL"),
-                "N_TOTAL",
-                F.col("N_MISSING").alias("N_MISSING_BEFORE"),
-                F.col("PCT_MISSING").alias("PCT_MISSING_BEFORE"),
-                "N_MISSING_AFTER", "PCT_MISSING_AFTER",
-                F.greatest(F.col("N_MISSING") - F.col("N_MISSING_AFTER"), F.lit(0))
-                .cast("bigint").alias("N_IMPUTED"),
+                F.col("_n0").alias("N_TOTAL"),
+                F.col("_b").alias("N_MISSING_BEFORE"),
+                pct(F.col("_b"), F.col("_n0")).alias("PCT_MISSING_BEFORE"),
+                F.col("_a").alias("N_MISSING_AFTER"),
+                pct(F.col("_a"), F.col("_n1")).alias("PCT_MISSING_AFTER"),
+                F.greatest(F.col("_b") - F.col("_a"), F.lit(0)).cast("bigint").alias("N_IMPUTED"),
                 F.lit(method.upper()).alias("METHOD")))
 
 

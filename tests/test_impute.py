@@ -110,6 +110,21 @@ def test_clip_round_and_report(spark):
     rep = {r["INDICATOR_ID"]: r for r in I.imputation_report(df, filled).collect()}
     assert rep["CR.1"]["N_MISSING_BEFORE"] == 1 and rep["CR.1"]["N_IMPUTED"] == 1
     assert rep["CR.1"]["PCT_MISSING_BEFORE"] == 33.33 and rep["CR.1"]["METHOD"] == "KNN"
+    assert rep["GPIA.CR.1"]["N_MISSING_AFTER"] == 0 and rep["CR.1"]["PCT_MISSING_AFTER"] == 0.0
+
+
+def test_report_of_two_tables_that_differ(spark):
+    """Indicators of one table only are left out; more gaps than before count as none imputed."""
+    schema = "ISO3 string, YEAR int, `CR.1` double, `CR.2` double"
+    before = spark.createDataFrame([("A", 2000, 1.0, None), ("B", 2000, 2.0, 3.0)], schema)
+    after = spark.createDataFrame([("A", 2000, None), ("B", 2000, None), ("C", 2000, 5.0)],
+                                  "ISO3 string, YEAR int, `CR.1` double")
+    row, = I.imputation_report(before, after, "iterative").collect()
+    assert (row.INDICATOR_ID, row.N_TOTAL, row.N_MISSING_BEFORE, row.N_MISSING_AFTER) == ("CR.1", 2, 0, 2)
+    assert (row.PCT_MISSING_BEFORE, row.PCT_MISSING_AFTER, row.N_IMPUTED, row.METHOD) == (0.0, 66.67, 0, "ITERATIVE")
+    empty = I.imputation_report(before.limit(0), after.limit(0)).collect()
+    assert [(r.N_TOTAL, r.N_MISSING_BEFORE, r.PCT_MISSING_AFTER) for r in empty] == [
+        (r.N_TOTAL, r.N_MISSING, r.PCT_MISSING) for r in I.audit_missing(before.limit(0), cols=["CR.1"]).collect()]
 
 
 def test_audit_missing(spark):
