@@ -119,3 +119,38 @@ def test_buckets_look_at_a_part_of_the_donors(spark):
         has = ~np.isnan(sample[:, t.features]).any(axis=1) & ((~np.isnan(sample)).sum(axis=1) <= t.most)
         _, n = np.unique(t.cells(sample[has]), axis=0, return_counts=True)
         assert t.most == len(t.features) or (n * n).sum() / n.sum() * 400 <= 2 * 500 * 1.5
+
+
+def test_streamed_prunes_and_gives_the_same_lists(spark):
+    df = grouped(spark)
+    keys = ["ISO3", "YEAR", "J", "DD", "D_ISO3", "D_YEAR", "V"]
+    found = N.nearest_streamed(df, 3, COLS, slice_rows=200, leaf_rows=20, piece_rows=7, pairs=True).cache()
+    lists = [sorted(map(tuple, d.select(*keys).collect())) for d in (found.where("J >= 0"), I.nearest_donors(df, 3, COLS, (), 400, 500))]
+    assert lists[0] == lists[1]
+    pairs = found.where("J = -1")
+    receivers = df.where(I._any(COLS, lambda c: c.isNull())).count()
+    assert pairs.count() == receivers and 0 < pairs.agg({"DD": "sum"}).first()[0] < 0.4 * receivers * df.count()
+
+
+def test_tree_puts_every_row_in_a_leaf():
+    rng = np.random.default_rng(4)
+    rows = rng.random((400, 3)).round(1)
+    rows[rng.random(rows.shape) < 0.3] = np.nan
+    rows[:, 2] = 1.0
+    tree = N.fit_tree(rows[:100], 40)
+    leaf = N.leaf_of(tree, rows)
+    assert 20 < len(np.unique(leaf)) <= 42 and set(leaf) <= set(tree["leaf"][tree["feature"] < 0])
+    assert len(np.unique(N.leaf_of(N.fit_tree(rows[:0], 40), rows))) == 1
+
+
+def test_pairs_in_memory_do_not_grow_with_the_chunk(monkeypatch):
+    import pandas as pd
+    rng = np.random.default_rng(2)
+    frame = lambda n: pd.DataFrame({"ISO3": [f"C{i:04d}" for i in range(n)], "YEAR": 1, "a": rng.random(n).round(2), "b": rng.random(n)})
+    recv, donors = frame(60).assign(a=np.nan), frame(500)
+    want = I._knn_partial(["a", "b"], 5)((0,), recv, donors)
+    sizes, plain = [], I._sq_dist
+    monkeypatch.setattr(I, "_PAIRS", 2000, raising=False)
+    monkeypatch.setattr(I, "_sq_dist", lambda r, d: sizes.append(len(r) * len(d)) or plain(r, d))
+    pd.testing.assert_frame_equal(I._knn_partial(["a", "b"], 5)((0,), recv, donors), want)
+    assert max(sizes) <= 2000
