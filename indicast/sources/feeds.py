@@ -168,7 +168,9 @@ def parse_series(docs: DataFrame, text: str, ind: Column, keep: list[str] = ())
     rows, and the elements that do not parse."""
     keep = list(keep)
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record", "rowTag": "Series", "ignoreNamespace": "true"}
-    parsed = docs.select(*keep, text, ind.alias("_ind"), F.from_xml(F.col(text), SDMX_SERIES_SCHEMA, options).alias("s"))
+    # Made by a generator, the parsed element is kept: a filter on it would parse the text again.
+    parsed = docs.select(*keep, text, ind.alias("_ind"),
+                         F.explode(F.array(F.from_xml(F.col(text), SDMX_SERIES_SCHEMA, options))).alias("s"))
     parsed = parsed.withColumn("_doc", F.when(F.col("s._corrupt_record").isNull(), F.col("s")))
     good = parsed.where(F.col("_doc").isNotNull())
     rows = series_rows(good.select(*keep, "_ind", "s"), F.col("_ind"), keep)
