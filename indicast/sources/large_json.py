@@ -37,7 +37,7 @@ from indicast.sources.feeds import JSON_PAYLOAD_SCHEMA, observation_columns
 RANGE_BYTES = 32 << 20
 _KEY_BEFORE = re.compile(rb'(?<!\\)"data"\s*:\s*$')
 _LOOK_BACK = 4096
-_STEP = 1 << 20
+_STEP = 1 << 14
 
 
 def _open(path: str):
@@ -123,7 +123,7 @@ def _elements(parts):
                 *(part[c] for c in ("FILE", "begin", "end", "inside", "depth", "first", "last"))):
             with _open(path) as source:
                 raw, escapes = _bytes(source, begin, end), _escapes_before(source, begin)
-                reach = end
+                reach, step_bytes = end, _STEP
                 while True:
                     marks = Marks(raw, escapes)
                     out = marks.outside(bool(inside))
@@ -135,8 +135,9 @@ def _elements(parts):
                     if not len(opened) or (len(closed) and closed[-1] > opened[-1]) or reach >= last:
                         break
                     # The last element goes on behind the range.
-                    raw += _bytes(source, reach, reach + _STEP)
-                    reach += _STEP
+                    raw += _bytes(source, reach, reach + step_bytes)
+                    reach += step_bytes
+                    step_bytes *= 2
             ends = closed[np.searchsorted(closed, opened)] if len(opened) else opened
             yield _frame([(path, begin + int(a), raw[a:b + 1].decode("utf-8", "replace")) for a, b in zip(opened, ends)],
                          {"FILE", "element"}, "FILE", "POS", "element")
@@ -152,7 +153,9 @@ def read_large_json(spark: SparkSession, path: str, indicator_id: str | None = N
                                        F.lit(range_bytes).cast("bigint")))
     ranges = files.select("FILE", first_bytes.alias("begin"), "length").select(
         "FILE", "begin", F.least(F.col("begin") + range_bytes, "length").alias("end"))
-    tasks = max(1, ranges.count())
+    # A task takes several ranges where they are small and many.
+    n, size = ranges.agg(F.count("*"), F.sum(F.col("end") - F.col("begin"))).first()
+    tasks = max(1, min(n, max(4 * spark.sparkContext.defaultParallelism, -(-(size or 0) // RANGE_BYTES))))
     told = ranges.repartition(tasks, "FILE", "begin").mapInPandas(
         _scan, "FILE string, begin bigint, end bigint, quotes bigint, d0 bigint, m0 bigint, d1 bigint, m1 bigint")
     # A few numbers for each range: the window sees one row per range of a file.
