@@ -67,7 +67,7 @@ def test_the_rest_imports_without_these_parts(tmp_path):
                               env=os.environ | {"PYTHONPATH": str(tmp_path)})
         assert said.returncode == 0, said.stderr
         return int(said.stdout.split()[0])
-    assert seen() == 11
+    assert seen() == 14
     shutil.rmtree(tmp_path / "indicast" / "llm")
     (tmp_path / "corpus_pipeline.py").unlink()
     assert seen() == 0
