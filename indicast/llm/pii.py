@@ -9,11 +9,13 @@
    either end are proposed too, so candidates overlap.
 2. Base spans (email, ip, card, phone) are what the fixed rules confirm; they stay.
 3. Every candidate gets features of its format and context. Gradient-boosted
-   trees (``gbt``) are fitted on the driver to a bounded sample: candidates that
-   a format rule confirms or refutes (an expected ``SAMPLE`` of each), base spans rewritten as the other
-   generators would meet them, and the ``EXAMPLES`` below. The trees' flat node arrays are walked by array functions.
+   trees (``gbt``) are fitted to all candidates that a format rule confirms or refutes (those of a
+   label weigh as ``SAMPLE`` rows at most), all base spans rewritten as the other
+   generators would meet them, and the ``EXAMPLES`` below. Spark counts them by their features, cut to ``BINS`` parts;
+   the trees grow from sums of these counts, on the driver up to ``HELD_ROWS`` of them, by an aggregate for each
+   level of a tree beyond. The trees' flat node arrays are walked by array functions.
 4. For each kind the threshold is the lowest with a precision of ``PRECISION`` on those rows of the held-out
-   quarter of the sample that are subject to it (no base candidates); with too few of them it is
+   quarter that are subject to it (no base candidates); with too few of them it is
    ``DEFAULT_THRESHOLD``. Of the candidates above it those are added, from the highest odds
    down, that overlap no base span and none added before.
 
@@ -27,7 +29,7 @@ length are whole; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,7 +40,9 @@ from indicast.llm import gbt
 from indicast.llm.common import Shelf, row_key
 
 KINDS = ["email", "ip", "card", "phone", "secret", "id"]
-SAMPLE = 4000
+SAMPLE = 4000  # rows that all candidates of a label weigh as much as, at most
+BINS, TREES, DEPTH = 32, 40, 4
+HELD_ROWS = 100_000
 PRECISION = 0.95
 DEFAULT_THRESHOLD = 0.8
 LEAST_HELD_OUT = 20
@@ -249,7 +253,7 @@ def features() -> dict[str, Column]:
     for name, words in WORDS.items():
         near = near | ((kind == name) & before.rlike(words))
     return {
-        "size": F.char_length(hit).cast("double"), "n_digits": F.col("n_digits").cast("double"), "letters": _count(hit, "[A-Za-z]"),
+        "size": F.char_length(hit).cast("double"), "n_digits": F.least("n_digits", F.lit(SHOWN)).cast("double"), "letters": _count(hit, "[A-Za-z]"),
         "capitals": _count(hit, "[A-Z]"), "groups": F.size(F.split(hit, "[^0-9A-Za-z]+")).cast("double"), "spaces": _count(hit, " "),
         "dots": _count(hit, "[.]"), "dashes": _count(hit, "[-_/]"), "parens": _count(hit, "[()]"), "colons": _count(hit, ":"),
         "swaps": F.size(F.split(hit, "(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z])(?=[0-9])")).cast("double"),
@@ -329,41 +333,120 @@ def masked(found: DataFrame) -> DataFrame:
     return described(as_found).withColumn("label", F.lit(1))
 
 
-def fit(found: DataFrame, sample: int = SAMPLE) -> tuple[gbt.Trees, dict[str, float]]:
-    """Trees and a threshold of log-odds for each kind, from described candidates."""
-    names = list(features())
+class SparkRows:
+    """The rows of :class:`gbt.HeldRows` as a table: the margins are kept with the rows and every
+    set of sums is an aggregate. ``df`` has ``y, kind, open, held, codes`` and the weight ``w``."""
+
+    def __init__(self, df: DataFrame, shelf: Shelf):
+        self.df, self.shelf, self.turn = df, shelf, 0
+
+    def totals(self) -> list[tuple[float, float]]:
+        part = F.rint(F.col("w") * float(gbt.UNIT)).cast("long")
+        rows = [~F.col("held"), F.lit(True)]
+        got = self.df.agg(*[F.coalesce(F.sum(F.when(m, part * y)), F.lit(0)) for m in rows for y in (F.lit(1), F.col("y"))]).first()
+        return [(got[0] / gbt.UNIT, got[1] / gbt.UNIT), (got[2] / gbt.UNIT, got[3] / gbt.UNIT)]
+
+    def start(self, bases: list[float]) -> None:
+        self.df = self.df.withColumns({f"m{i}": F.lit(b) for i, b in enumerate(bases)})
+
+    def sums(self, growing: list[gbt.Trees], bins: int) -> dict[tuple[int, int], np.ndarray]:
+        def values(fit: int, tree: gbt.Trees) -> Column:
+            numbered = replace(tree, value=np.arange(len(tree.value), dtype=float))
+            p = 1 / (1 + F.exp(-F.col(f"m{fit}")))
+            parts = (F.col("w"), F.col("w") * (p - F.col("y")), F.col("w") * (p * (1 - p)))
+            return F.struct(F.lit(fit).alias("fit"), score(numbered, "codes").cast("int").alias("node"), *[
+                F.rint(v * float(gbt.UNIT)).cast("long").alias(f"s{i}") for i, v in enumerate(parts)])
+        both = F.array(F.when(~F.col("held"), values(0, growing[0])), values(1, growing[1]))
+        rows = self.df.select("codes", F.explode(F.array_compact(both)).alias("v"))
+        listed = rows.select("v.*", F.posexplode("codes").alias("feature", "code")).groupBy("fit", "node", "feature", "code").agg(
+            *[F.sum(f"s{i}").alias(f"s{i}") for i in range(3)])
+        out: dict[tuple[int, int], np.ndarray] = {}
+        width = len(features())
+        # No more rows than fits, nodes of a level, features and bins.
+        for r in listed.collect():
+            hist = out.setdefault((r["fit"], r["node"]), np.zeros((width, bins, 3)))
+            hist[r["feature"], r["code"]] = [r[f"s{i}"] / gbt.UNIT for i in range(3)]
+        return out
+
+    def advance(self, grown: list[gbt.Trees]) -> None:
+        more = {f"m{i}": F.col(f"m{i}") + score(t, "codes") for i, t in enumerate(grown)}
+        self.df = self.shelf.keep(self.df.withColumns(more), f"margins{self.turn}")
+        if self.turn:
+            self.shelf.drop(f"margins{self.turn - 1}")
+        self.turn += 1
+
+
+def fit(found: DataFrame, sample: int = SAMPLE, most: int = HELD_ROWS) -> tuple[gbt.Trees, dict[str, float]]:
+    """Trees and a threshold of log-odds for each kind, from all described candidates that have a label.
+
+    Those of a label weigh as much as ``sample`` rows, if they are more. They are counted by their features; up to
+    ``most`` rows of these counts are fitted to in memory, more by aggregates of the table, to the same trees."""
+    names, shelf = list(features()), Shelf(found.sparkSession, "pii-fit")
     known = found.filter("label is not null")
     sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    spread = F.xxhash64("k1", "k2", "gen", "start").bitwiseAND(F.lit((1 << 40) - 1)) / float(1 << 40)
-    quota = F.lit(False)
-    for value, n in sizes.items():
-        quota = quota | ((F.col("label") == value) & (spread * n < sample))
+    weights = {label: min(1.0, sample / n) for label, n in sizes.items()}
     columns = ["label", "kind", "gen", "x", "hit", "before"]
-    drawn = known.filter(quota)
-    chosen = drawn.select(*columns).union(masked(drawn).select(*columns)).union(examples(found.sparkSession).select(*columns))
-    fold = F.pmod(F.xxhash64("hit", "before"), F.lit(4))
-    # At most an expected 3 * sample rows and the examples.
-    rows = sorted((r["label"], r["kind"], r["gen"], r["fold"], *r["x"])
-                  for r in chosen.select("label", "kind", "gen", fold.alias("fold"), "x").collect())
-    y = np.array([r[0] for r in rows], float)
-    kind, test = np.array([r[1] for r in rows]), np.array([r[3] == 0 for r in rows])
-    x = np.array([r[4:] for r in rows], float)
+    rows = known.select(*columns).union(masked(known).select(*columns)).withColumn("example", F.lit(False)).union(
+        examples(found.sparkSession).select(*columns, F.lit(True)))
     # Base candidates are settled by their rules: thresholds are for the others.
-    open_to = np.array([not GENERATORS[r[2]].base for r in rows])[test]
+    open_to = ~F.col("gen").isin([n for n, g in GENERATORS.items() if g.base])
+    held = F.pmod(F.xxhash64("hit", "before"), F.lit(4)) == 0
+    by = [F.col("label").alias("y"), "kind", open_to.alias("open"), held.alias("held"), "example"]
+    counted = shelf.keep(rows.groupBy(*by, "x").agg(F.count("*").alias("n")), "counted")
+    own = ["y", "kind", "open", "held", "example"]
+
+    def weight_of(label: int, example: bool) -> float:
+        return 1.0 if example else weights.get(label, 1.0)
+    # A feature is a count over the characters shown, or a flag: it has no more than SHOWN values.
+    values: dict[int, dict[float, float]] = {j: {} for j in range(len(names))}
+    for r in sorted(counted.select("y", "example", "n", F.posexplode("x").alias("j", "v")).groupBy("y", "example", "j", "v").agg(
+            F.sum("n").alias("n")).collect()):
+        values[r["j"]][r["v"]] = values[r["j"]].get(r["v"], 0.0) + r["n"] * weight_of(r["y"], r["example"])
+    cuts = [gbt.weighted_cuts(np.array(sorted(v)), np.array([v[x] for x in sorted(v)]), BINS) for v in values.values()]
+    # A code is the number of cuts below a value, written as one character.
+    letters = "".join(chr(48 + i) for i in range(BINS))
+    code = [sum(((F.get("x", F.lit(j)) > cut).cast("int") for cut in c.tolist()), F.lit(0)) for j, c in enumerate(cuts)]
+    coded = counted.withColumn("code", F.concat(*[F.substr(F.lit(letters), c + 1, F.lit(1)) for c in code])).groupBy(*own, "code").agg(
+        F.sum("n").alias("n"))
     signs = [1 if n == "word" else -1 if n in ("against", "date", "cut") else 0 for n in names]
-    grow = dict(trees=40, depth=4, min_rows=2, bins=32)
-    trial = gbt.fit(x[~test], y[~test], signs, **grow)
-    limits, odds = {}, trial.margin(x[test])
+    grow = dict(trees=TREES, depth=DEPTH, min_rows=2)
+    first = sorted(coded.limit(most + 1).collect())
+    if len(first) <= most:
+        held_out = np.array([r["held"] for r in first])
+        table = gbt.HeldRows(np.array([[ord(c) - 48 for c in r["code"]] for r in first]), np.array([r["y"] for r in first], float),
+                             np.array([r["n"] * weight_of(r["y"], r["example"]) for r in first]), [~held_out, np.ones(len(first), bool)])
+        trees = gbt.boost(table, cuts, signs, **grow)
+        judged = found.sparkSession.createDataFrame(
+            [(r["kind"], float(m), r["n"], r["n"] * r["y"], int(w), int(w * r["y"])) for r, m, w in zip(
+                first, table.margins[0], np.rint(table.weight * gbt.UNIT)) if r["open"] and r["held"]],
+            "kind string, odds double, n long, right long, w long, right_w long")
+    else:
+        w = F.lit(1.0)
+        for label, each in weights.items():
+            w = F.when(~F.col("example") & (F.col("y") == label), each).otherwise(w)
+        places = F.transform(F.sequence(F.lit(1), F.lit(len(names))), lambda j: F.ascii(F.substr("code", j, F.lit(1))) - 48)
+        table = SparkRows(shelf.keep(coded.withColumns({"w": F.col("n") * w, "codes": places}).drop("code"), "coded"), shelf)
+        trees = gbt.boost(table, cuts, signs, **grow)
+        part = F.rint(F.col("w") * float(gbt.UNIT)).cast("long")
+        judged = table.df.filter("open and held").select("kind", F.col("m0").alias("odds"), "n", (F.col("n") * F.col("y")).alias("right"),
+                                                         part.alias("w"), (part * F.col("y")).alias("right_w"))
+    return trees[1], thresholds(judged)
+
+
+def thresholds(judged: DataFrame) -> dict[str, float]:
+    """For each kind the lowest odds from which on at least ``PRECISION`` of the weight is right; ``judged`` has the
+    ``kind, odds, n, right, w, right_w`` of held-out rows."""
+    sums = [F.sum(c).alias(c) for c in ("n", "right", "w", "right_w")]
+    down = W.partitionBy("kind").orderBy(F.desc("odds")).rowsBetween(W.unboundedPreceding, W.currentRow)
+    # Odds are settled by few nodes of the trees; equal ones are judged together.
+    so_far = judged.groupBy("kind", "odds").agg(*sums).withColumn("share", F.sum("right_w").over(down) / F.sum("w").over(down))
+    got = {r["kind"]: r for r in so_far.groupBy("kind").agg(*sums[:2], F.min(F.when(F.col("share") >= PRECISION, F.col("odds"))).alias("least")).collect()}
+    limits = {}
     for k in KINDS:
-        mine = (kind[test] == k) & open_to
         limits[k] = float(np.log(DEFAULT_THRESHOLD / (1 - DEFAULT_THRESHOLD)))
-        if mine.sum() >= LEAST_HELD_OUT and y[test][mine].any():
-            order = np.argsort(-odds[mine], kind="stable")
-            right = np.cumsum(y[test][mine][order]) / np.arange(1, mine.sum() + 1)
-            good = np.flatnonzero(right >= PRECISION)
-            if len(good):  # never below even odds
-                limits[k] = max(float(odds[mine][order][good[-1]]), 0.0)
-    return gbt.fit(x, y, signs, **grow), limits
+        if k in got and got[k]["n"] >= LEAST_HELD_OUT and got[k]["right"] and got[k]["least"] is not None:
+            limits[k] = max(got[k]["least"], 0.0)  # never below even odds
+    return limits
 
 
 def spans(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:

@@ -166,3 +166,62 @@ def test_precision_and_recall_of_added_spans(run):
         right = len(want & found)
         assert right >= 0.9 * len(want), (kind, len(want), right, sorted(want - found)[:3])
         assert right >= 0.9 * len(found), (kind, len(found), right, sorted(found - want)[:3])
+
+
+def labelled(spark, docs, n=400):
+    """Candidates of texts with spans of every kind and base spans, and the same under twice as many other ids."""
+    rows, _ = planted(n, seed=5)
+    base = [(1000 + i, f"write to a{i}@mail.org or +1 (499) 555-{6000 + i} and 10.0.{i}.7 or 10.0.{i}.700") for i in range(60)]
+    found = pii.described(pii.candidates(docs(rows + base))).cache()
+    more = [found.withColumn("k2", found["k2"] + i) for i in (1, 2)]
+    return found, found.union(more[0]).union(more[1])
+
+
+def test_every_labelled_candidate_counts(spark, docs, monkeypatch):
+    monkeypatch.setattr(pii, "TREES", 6, raising=False)
+    found, thrice = labelled(spark, docs)
+    (one, _), (three, _) = (pii.fit(f, sample=40) for f in (found, thrice))
+    assert one.feature.tolist() == three.feature.tolist() and one.threshold.tolist() == three.threshold.tolist()
+    assert one.value == pytest.approx(three.value, abs=1e-6)
+    # No candidate is left out: other ones among many change the sums.
+    seen = []
+    monkeypatch.setattr(pii.gbt, "boost", lambda rows, *a, **k: seen.append(rows) or (_ for _ in ()).throw(StopIteration))
+    with pytest.raises(StopIteration):
+        pii.fit(thrice, sample=40)
+    known = thrice.filter("label is not null").count() + pii.masked(thrice).count()
+    zeros = thrice.filter("label = 0").count()
+    ones = known - zeros
+    codes, (n, right) = seen[0].codes, seen[0].totals()[1]
+    assert codes.max(axis=0)[list(pii.features()).index("is_email")] == 1
+    example_ones = sum(e[2] for e in pii.EXAMPLES)
+    assert n - right == pytest.approx(40 + len(pii.EXAMPLES) - example_ones, abs=1e-3)
+    assert right == pytest.approx(40 / thrice.filter("label = 1").count() * ones + example_ones, abs=1e-3)
+
+
+def test_trees_grown_by_aggregates_are_those_grown_in_memory(spark, docs, monkeypatch):
+    monkeypatch.setattr(pii, "TREES", 2)
+    found, _ = labelled(spark, docs, 100)
+    (here, low), (there, high) = (pii.fit(found, sample=30, most=m) for m in (100_000, 0))
+    assert len(here.roots) == 2 and here.feature.tolist() == there.feature.tolist() and here.threshold.tolist() == there.threshold.tolist()
+    assert here.value == pytest.approx(there.value, abs=1e-6) and low == pytest.approx(high, abs=1e-6)
+
+
+def test_threshold_is_the_lowest_that_is_precise(spark):
+    rows = [("phone", 3.0, 18, 18, 18, 18), ("phone", 2.0, 1, 0, 1, 0), ("phone", 1.5, 20, 20, 20, 20), ("phone", 1.0, 9, 0, 9, 0),
+            ("card", 3.0, 5, 5, 5, 5), ("id", -1.0, 30, 30, 30, 30), ("ip", 1.0, 30, 0, 30, 0)]
+    got = pii.thresholds(spark.createDataFrame(rows, "kind string, odds double, n long, right long, w long, right_w long"))
+    default = pytest.approx(1.386, abs=1e-3)
+    assert got == {"email": default, "ip": default, "card": default, "phone": 1.5, "secret": default, "id": 0.0}
+
+
+def test_boosting_from_sums_is_that_over_rows():
+    import numpy as np
+    rng = np.random.default_rng(1)
+    x = rng.integers(0, 9, (300, 4)).astype(float)
+    y = (x[:, 0] + rng.normal(size=300) > x[:, 1]).astype(float)
+    grow = dict(trees=5, depth=3, min_rows=2)
+    want = pii.gbt.fit(x, y, [1, 0, 0, 0], bins=16, **grow)
+    cuts = [pii.gbt.weighted_cuts(*map(np.array, np.unique(c, return_counts=True)), 16) for c in x.T]
+    codes = np.column_stack([np.searchsorted(c, v) for c, v in zip(cuts, x.T)])
+    got, = pii.gbt.boost(pii.gbt.HeldRows(codes, y, np.ones(300), [np.ones(300, bool)]), cuts, [1, 0, 0, 0], **grow)
+    assert got.margin(x) == pytest.approx(want.margin(x), abs=1e-5)
