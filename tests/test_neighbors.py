@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from test_impute import COLS, as_map, brute_knn, close, fixture
 
 from indicast.operators import impute as I
@@ -154,3 +155,27 @@ def test_pairs_in_memory_do_not_grow_with_the_chunk(monkeypatch):
     monkeypatch.setattr(I, "_sq_dist", lambda r, d: sizes.append(len(r) * len(d)) or plain(r, d))
     pd.testing.assert_frame_equal(I._knn_partial(["a", "b"], 5)((0,), recv, donors), want)
     assert max(sizes) <= 2000
+
+
+def test_rows_that_ask_are_searched_against_all(spark):
+    df, _ = fixture(spark, n=80, seed=6)
+    keys = ["ISO3", "YEAR", "J", "DD", "D_ISO3", "D_YEAR", "V"]
+    asking = df["YEAR"] % 2 == 0
+    odd = df.where(asking & I._any(COLS, lambda c: c.isNull())).count()
+    assert 0 < odd < df.where(I._any(COLS, lambda c: c.isNull())).count()
+    for near in (N.nearest_streamed, N.nearest_by_buckets):
+        some, every = (sorted(map(tuple, d.select(*keys).collect())) for d in (
+            near(df, 3, COLS, asking=F.expr("YEAR % 2 = 0")), near(df, 3, COLS).where("YEAR % 2 = 0")))
+        assert some == every and some
+
+
+def test_lists_leave_a_slice_in_small_parts(monkeypatch):
+    import pandas as pd
+    monkeypatch.setattr(N, "RESULT_CELLS", 7, raising=False)
+    rng = np.random.default_rng(2)
+    frame = lambda n, a: pd.DataFrame({"ISO3": [f"C{i:04d}" for i in range(n)], "YEAR": 1, "a": a, "b": rng.random(n)})
+    recv, donors = frame(60, np.nan).assign(_slice=0, _side=0), frame(90, rng.random(90)).assign(_slice=0, _side=1)
+    parts = list(N._stream(["a", "b"], 3, 50, True)([recv, donors]))
+    assert len(parts) > 9 and max(map(len, parts)) <= 7 * 3
+    out = pd.concat(parts)
+    assert (out["J"] >= 0).sum() == 60 * 3 and (out["J"] == -1).sum() == 60 and (out.loc[out["J"] == -1, "DD"] == 90).all()
