@@ -179,3 +179,48 @@ def test_lists_leave_a_slice_in_small_parts(monkeypatch):
     assert len(parts) > 9 and max(map(len, parts)) <= 7 * 3
     out = pd.concat(parts)
     assert (out["J"] >= 0).sum() == 60 * 3 and (out["J"] == -1).sum() == 60 and (out.loc[out["J"] == -1, "DD"] == 90).all()
+
+
+def test_buckets_hold_many_copies_and_sparse_rows(spark):
+    rng = np.random.default_rng(8)
+    x = (rng.random((600, 8)) * 100).round(1)
+    x[rng.random(x.shape) < 0.2] = np.nan
+    x[:6, 1:] = np.nan
+    cols = [f"f{i}" for i in range(8)]
+    rows = [(f"C{i % 600:03d}", i // 600, *[None if np.isnan(v) else float(v) for v in x[i % 600]]) for i in range(600 * 20)]
+    df = spark.createDataFrame(rows, "ISO3 string, YEAR int, " + ", ".join(f"{c} double" for c in cols)).repartition(8).cache()
+    asking = F.col("YEAR") == 3
+    exact, found = (near(df, 5, cols, asking=asking, **kw).cache() for near, kw in (
+        (N.nearest_streamed, {}), (N.nearest_by_buckets, {"bucket_rows": 100})))
+    told = N.recall(exact, found).collect()
+    assert {r.J for r in told} == set(range(8)) and all(r.RECALL >= 0.9 for r in told)
+    # No more than k different donors a cell, those of the smallest keys among copies.
+    cells = found.groupBy("ISO3", "YEAR", "J").agg(F.count("*").alias("n"), F.countDistinct("D_ISO3", "D_YEAR").alias("d"))
+    assert cells.where("n <> d OR n > 5").count() == 0
+    assert found.groupBy("ISO3", "J", "D_ISO3").agg(F.count("*").alias("n"), F.max("D_YEAR").alias("y")).where("y <> n - 1").count() == 0
+
+
+def test_receivers_are_compared_with_the_leaves_they_ask(spark):
+    import pandas as pd
+    rng = np.random.default_rng(9)
+    rows = rng.random((2000, 6)) * 100
+    rows[rng.random(rows.shape) < 0.2] = np.nan
+    leaf = N.leaf_of(N.fit_tree(rows, 40), rows)
+    ids = np.unique(leaf)
+    parts = [N._ranges(rows[leaf == i]) for i in ids]
+    known = N.Leaves(ids, *[np.concatenate([getattr(p, n) for p in parts]) for n in ("rows", "fewest", "has", "low", "high")])
+    recv = rows[np.isnan(rows).any(axis=1)][:150]
+    asked = known.nearest(recv, 5)
+    assert asked.shape == (150, 5) and all(len(set(a)) == 5 for a in asked)
+    cols = list("abcdef")
+    frame = lambda x, key: pd.DataFrame(x, columns=cols).assign(ISO3=[f"{key}{i:04d}" for i in range(len(x))], YEAR=1)
+    order = np.argsort(leaf, kind="stable")
+    run = N._Running(frame(recv, "R").assign(_probes=list(ids[asked].astype("int32"))), cols, 3)
+    run.add(frame(rows[order], "D").assign(_leaf=leaf[order]), cols)
+    most = np.array([known.rows[a].sum() for a in asked])
+    assert (run.pairs <= most).all() and run.pairs.max() > 0
+    whole = N._Running(frame(recv, "R"), cols, 3)
+    whole.add(frame(rows[order], "D"), cols)
+    keys = ["ISO3", "J", "D_ISO3"]
+    every, some = (set(map(tuple, r.result()[keys].to_numpy())) for r in (whole, run))
+    assert len(every & some) > 0.3 * len(every)  # five of some forty leaves
